@@ -42,11 +42,16 @@ def local_dictionary(
     return {c: [v for _, v in sorted(values[c])] for c in columns if c not in large}, large
 
 
-def indexer(values: dict[str, list[str]], suffix: str, invalid: str = "error") -> StringIndexerModel:
-    columns = list(values)
-    return StringIndexerModel.from_arrays_of_labels(
-        [values[c] for c in columns], columns, [c + suffix for c in columns], handleInvalid=invalid
-    )
+def indexers(
+    values: dict[str, list[str]], spec: SurveySpec, source: str = "{}", invalid: str = "error"
+) -> list[StringIndexerModel]:
+    """One fitted indexer per column; its order is that of the dictionary, whatever the library's own sort order."""
+    return [
+        StringIndexerModel.from_labels(
+            values[c], inputCol=source.format(c), outputCol=c + spec.index_suffix, handleInvalid=invalid
+        )
+        for c in values
+    ]
 
 
 def encode_categoricals(df: DataFrame, spec: SurveySpec, limit: int = LOCAL_VALUES) -> DataFrame:
@@ -59,8 +64,8 @@ def encode_categoricals(df: DataFrame, spec: SurveySpec, limit: int = LOCAL_VALU
     dictionary = category_dictionary(df, columns, spec.missing_category)
     values, large = local_dictionary(dictionary, columns, limit)
     encoded = fill_unknown(df, spec)
-    if values:
-        encoded = indexer(values, spec.index_suffix).transform(encoded)
+    for model in indexers(values, spec):
+        encoded = model.transform(encoded)
     for c in large:
         ranks = dictionary.filter(F.col("column") == c).select(
             F.col("value").alias(c), F.col("idx").cast("double").alias(c + spec.index_suffix)

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexerModel
+from pyspark.ml.feature import IndexToString, SQLTransformer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +15,7 @@ from surveyflow.operators.encode import (
     LOCAL_VALUES,
     assembler,
     category_dictionary,
+    indexers,
     label_indexer,
     local_dictionary,
     median_imputer,
@@ -24,6 +25,7 @@ from surveyflow.sources.scratch import materialize
 from surveyflow.spec import SurveySpec
 
 PREDICTED_CLASS = "predicted_class"
+FILLED = "{}_filled"
 
 
 def fit_preparation(
@@ -38,15 +40,12 @@ def fit_preparation(
     values, large = local_dictionary(dictionary, columns)
     if large:
         raise ValueError(f"{large} have more than {LOCAL_VALUES} values each: not categories a model can store")
-    filled = [f"{c}_filled" for c in columns]
     fill = ", ".join(
-        f"coalesce(cast(`{c}` AS string), '{spec.missing_category}') AS `{f}`" for c, f in zip(columns, filled)
+        f"coalesce(cast(`{c}` AS string), '{spec.missing_category}') AS `{FILLED.format(c)}`" for c in columns
     )
     return [
         SQLTransformer(statement=f"SELECT *, {fill} FROM __THIS__"),
-        StringIndexerModel.from_arrays_of_labels(
-            [values[c] for c in columns], filled, spec.indexed, handleInvalid=invalid
-        ),
+        *indexers(values, spec, FILLED, invalid),
         label_indexer(spec),
         median_imputer(df, spec.numeric, approx_medians),
         assembler(spec),
