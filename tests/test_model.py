@@ -1,0 +1,86 @@
+"""Invariants of the forest, which no SQL can reproduce."""
+
+from __future__ import annotations
+
+import dataclasses
+
+import pytest
+from pyspark.sql import functions as F
+
+from surveyflow.operators import forest
+from surveyflow.operators.split import IS_TEST
+from surveyflow.plans import queries as Q
+
+
+@pytest.fixture(scope="module")
+def quick(spec):
+    return dataclasses.replace(spec, trees=10, depth=5)
+
+
+@pytest.fixture(scope="module")
+def fitted(spark, small_dir, quick):
+    return forest.train_forest(Q.gold(spark, small_dir), quick)
+
+
+def rows_of(fitted):
+    return sorted(map(tuple, fitted.predictions().collect()))
+
+
+def test_predictions_cover_the_test_rows(spark, spec, fitted, small_dir):
+    assert fitted.predictions().count() == 197 == fitted.prepared.filter(IS_TEST).count()
+    assert fitted.prepared.select(spec.key).distinct().count() == 984
+    assert {r[2] for r in rows_of(fitted)} <= set(spec.severity_classes)
+
+
+def test_importances(spark, spec, fitted):
+    scores = forest.importances(fitted, spark).toPandas()
+    assert list(scores["feature"]) == spec.features
+    assert (scores["importance"] >= 0).all() and scores["importance"].sum() == pytest.approx(1)
+    top = forest.top_features(forest.importances(fitted, spark)).toPandas()["importance"]
+    assert len(top) == 10 and top.is_monotonic_decreasing
+    shown = Q.charts.top_features(forest.importances(fitted, spark), spec).toPandas()
+    assert shown["importance"].is_monotonic_increasing and shown["feature_label"].notna().all()
+
+
+def test_better_than_the_majority_class(spark, spec, sf_dir):
+    metrics = Q.rf_metrics(spark, sf_dir).first()
+    assert metrics["accuracy"] > 1154 / 1970
+    assert metrics["accuracy"] == pytest.approx(metrics["recall"])
+
+
+def test_same_forest_from_reordered_input(spark, small_dir, quick, fitted):
+    shuffled = Q.gold(spark, small_dir).repartition(11, F.rand(3))
+    again = forest.train_forest(shuffled, quick)
+    assert rows_of(again) == rows_of(fitted)
+    assert again.forest.featureImportances == fitted.forest.featureImportances
+
+
+def test_parameters_reach_the_forest(fitted, quick):
+    assert fitted.forest.getNumTrees == quick.trees and fitted.forest.getMaxDepth() == quick.depth
+    assert fitted.forest.numFeatures == 25 and fitted.forest.numClasses == 5
+
+
+def test_ordinal_and_nominal_categories(spark, quick, fitted, small_dir):
+    gold = Q.gold(spark, small_dir)
+    assert "nominal" in fitted.prepared.schema["features"].metadata["ml_attr"]["attrs"]
+    nominal = forest.train_forest(gold, quick, categorical="nominal").forest
+    assert "in {" in nominal.toDebugString and "in {" not in fitted.forest.toDebugString
+
+
+def test_fit_on_train_only(spark, quick, small_dir):
+    fitted = forest.train_forest(Q.gold(spark, small_dir), quick, fit_on="train")
+    assert fitted.predictions().count() == 197
+
+
+def test_saved_model_scores_new_respondents(spark, spec, quick, fitted, small_dir, tmp_path):
+    path = str(tmp_path / "model")
+    forest.save_model(fitted.model, path)
+    unlabelled = Q.gold(spark, small_dir).drop(spec.severity, spec.score, *spec.items)
+    scored = forest.load_model(path).transform(unlabelled)
+    assert scored.filter(F.col(forest.PREDICTED_CLASS).isNull()).count() == 0
+
+
+def test_unseen_category_is_an_error(spark, fitted, small_dir):
+    strange = Q.gold(spark, small_dir).limit(5).withColumn("Gender", F.lit("L9"))
+    with pytest.raises(Exception):
+        fitted.model.transform(strange).select("prediction").collect()
