@@ -119,7 +119,7 @@ def train_forest(
     first seen in a test row then get an index of their own). The prepared rows are written once, because fitting
     reads them many times.
     """
-    split = stratified_split(df, spec.key, spec.severity, spec.test_size, spec.seed)
+    split = stratified_split(df, spec.key, spec.severity, spec.test_size, spec.seed, closed=True)
     if fit_on == "train":
         split = materialize(split, "split")
         stages = fit_preparation(split.filter(~F.col(IS_TEST)), spec, approx_medians, invalid="keep")

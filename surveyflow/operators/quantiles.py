@@ -28,21 +28,24 @@ def value_histogram(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (
     return long.filter(present).groupBy(*by, "measure", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join to a small aggregate of the same frame, one row (or a fixed number) per key; null keys match.
+def _on(left: DataFrame, right: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
+    """Inner join to an aggregate of the same frame with a fixed number of rows per key; null keys match.
 
-    The right side has one row per (group, measure[, range]): closed code lists times declared columns.
+    ``small`` says that the keys are declared lists (measures, classes, age groups), which bounds the right side by
+    the spec and not by the data: it is broadcast. Otherwise the join is left to Spark, which shuffles when it must
+    and splits frequent keys.
     """
     renamed = right.withColumnsRenamed({k: f"__{k}" for k in keys})
     condition = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-    return left.join(F.broadcast(renamed), condition).drop(*[f"__{k}" for k in keys])
+    side = F.broadcast(renamed) if small else renamed
+    return left.join(side, condition).drop(*[f"__{k}" for k in keys])
 
 
 def _position(probability: float, total: Column) -> Column:
     return (total - 1) * F.lit(float(probability))
 
 
-def _ranged(histogram: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _ranged(histogram: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
     """Adds each key's ``total`` and the number (0..RANGES-1) of the range a value falls into, ascending in value."""
     steps = F.expr(f"array({', '.join(f'{i / RANGES}D' for i in range(1, RANGES))})")
     cuts = histogram.groupBy(*keys).agg(
@@ -51,7 +54,7 @@ def _ranged(histogram: DataFrame, keys: Sequence[str]) -> DataFrame:
     coarse = F.expr(f"transform(sequence({STEP}, {RANGES - STEP}, {STEP}), i -> cuts[i - 1])")
     # A range is the number of cuts below the value: every STEP-th cut first, then the STEP - 1 cuts that follow.
     block = f"{STEP} * size(filter(coarse, cut -> cut < value))"
-    return _on(histogram, cuts.withColumn("coarse", coarse), keys).select(
+    return _on(histogram, cuts.withColumn("coarse", coarse), keys, small).select(
         *keys,
         "value",
         "n",
@@ -60,10 +63,15 @@ def _ranged(histogram: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def quantiles_of(histogram: DataFrame, probabilities: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
-    """(by..., measure, total, one column per probability) from a value histogram."""
-    keys = [*by, "measure"]
-    ranged = _ranged(histogram, keys)
+def quantiles_of(
+    histogram: DataFrame, probabilities: dict[str, float], by: Sequence[str] = (), closed: bool = False
+) -> DataFrame:
+    """(by..., measure, total, one column per probability) from a value histogram.
+
+    ``closed=True`` promises that the grouping columns only take values of a declared list.
+    """
+    keys, small = [*by, "measure"], closed or not by
+    ranged = _ranged(histogram, keys, small)
 
     # Range counts: at most RANGES rows per key, so the running sum over a key is a small window.
     counted = ranged.groupBy(*keys, "range").agg(F.sum("n").alias("held"), F.max("total").alias("all"))
@@ -78,7 +86,7 @@ def quantiles_of(histogram: DataFrame, probabilities: dict[str, float], by: Sequ
     )
 
     within = Window.partitionBy(*keys, "range").orderBy("value")
-    ranked = _on(ranged, hits, [*keys, "range"]).withColumn("upto", F.col("before") + F.sum("n").over(within))
+    ranked = _on(ranged, hits, [*keys, "range"], small).withColumn("upto", F.col("before") + F.sum("n").over(within))
     bounds = []
     for name, p in probabilities.items():
         position = _position(p, F.col("total"))
@@ -111,15 +119,15 @@ def column_medians(df: DataFrame, columns: Sequence[str], approx: bool = False)
     return quantiles_of(value_histogram(df, columns), {"median": 0.5}).select("measure", "median")
 
 
-def box_stats(df: DataFrame, measure: str, by: str) -> DataFrame:
+def box_stats(df: DataFrame, measure: str, by: str, closed: bool = False) -> DataFrame:
     """Quartiles, whiskers and number of outliers per group, all from one histogram of the measure.
 
     A whisker ends at the most extreme value within 1.5 IQR of its quartile, or at the quartile when there is none.
     """
     histogram = value_histogram(df.filter(F.col(by).isNotNull()), [measure], [by])
-    fences = _fences(histogram, by)
+    fences = _fences(histogram, by, closed)
     value, inside = F.col("value"), F.col("value").between(F.col("low_fence"), F.col("high_fence"))
-    found = _on(histogram, fences, [by, "measure"]).groupBy(by, "q1", "median", "q3").agg(
+    found = _on(histogram, fences, [by, "measure"], closed).groupBy(by, "q1", "median", "q3").agg(
         F.sum("n").alias("n"),
         F.min(F.when(value >= F.col("low_fence"), value)).alias("lowest"),
         F.max(F.when(value <= F.col("high_fence"), value)).alias("highest"),
@@ -137,18 +145,18 @@ def box_stats(df: DataFrame, measure: str, by: str) -> DataFrame:
     )
 
 
-def box_outliers(df: DataFrame, measure: str, by: str) -> DataFrame:
+def box_outliers(df: DataFrame, measure: str, by: str, closed: bool = False) -> DataFrame:
     """The rows beyond the fences of their group."""
     grouped = df.filter(F.col(by).isNotNull())
-    fences = _fences(value_histogram(grouped, [measure], [by]), by).select(by, "low_fence", "high_fence")
+    fences = _fences(value_histogram(grouped, [measure], [by]), by, closed).select(by, "low_fence", "high_fence")
     value = F.col(measure)
     beyond = (value < F.col("low_fence")) | (value > F.col("high_fence"))
-    return _on(grouped, fences, [by]).filter(beyond).drop("low_fence", "high_fence")
+    return _on(grouped, fences, [by], closed).filter(beyond).drop("low_fence", "high_fence")
 
 
-def _fences(histogram: DataFrame, by: str) -> DataFrame:
+def _fences(histogram: DataFrame, by: str, closed: bool) -> DataFrame:
     reach = (F.col("q3") - F.col("q1")) * 1.5
-    return quantiles_of(histogram, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by]).select(
+    return quantiles_of(histogram, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by], closed).select(
         by,
         "measure",
         "q1",

@@ -38,15 +38,17 @@ def class_quotas(sizes: DataFrame, label: str, test_size: Fraction) -> DataFrame
 
 
 def stratified_split(
-    df: DataFrame, key: str, label: str, test_size: Fraction = Fraction(1, 5), seed: int = 42
+    df: DataFrame, key: str, label: str, test_size: Fraction = Fraction(1, 5), seed: int = 42, closed: bool = False
 ) -> DataFrame:
     """Adds ``is_test``: in each class the rows with the smallest ``md5(seed:key)``, up to the class's quota.
 
     Ranking a class would put it into one task. The hash's prefix cuts each class into 65,536 even buckets instead;
     their counts give the one bucket per class in which the quota runs out, and only that bucket's rows are ranked.
     What comes back is one threshold row per class, so the split itself is a comparison in place: nothing but the
-    counts is shuffled, and the join is to as many rows as there are classes.
+    counts is shuffled, and the join is to as many rows as there are classes. ``closed=True`` promises that the label
+    only takes values of a declared list, so that those rows may be broadcast.
     """
+    small = F.broadcast if closed else lambda side: side
     hashed = df.select(
         F.col(label).alias("__label"),
         F.col(key).alias("__key"),
@@ -59,13 +61,13 @@ def stratified_split(
     upto = F.sum("held").over(Window.partitionBy("__label").orderBy("bucket"))
     last = (
         buckets.withColumn("before", upto - F.col("held"))
-        .join(F.broadcast(quotas), F.col("__label") == F.col("quota_label"))
+        .join(small(quotas), F.col("__label") == F.col("quota_label"))
         .filter((F.col("before") < F.col("n_test")) & (F.col("n_test") <= F.col("before") + F.col("held")))
         .select("quota_label", F.col("bucket").alias("last_bucket"), (F.col("n_test") - F.col("before")).alias("take"))
     )
 
     in_last = hashed.join(
-        F.broadcast(last), (F.col("__label") == F.col("quota_label")) & (F.col("bucket") == F.col("last_bucket"))
+        small(last), (F.col("__label") == F.col("quota_label")) & (F.col("bucket") == F.col("last_bucket"))
     )
     place = F.row_number().over(Window.partitionBy("__label").orderBy("__hash", "__key"))
     thresholds = (
@@ -76,7 +78,7 @@ def stratified_split(
 
     row_hash = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
     below = (row_hash < F.col("last_hash")) | ((row_hash == F.col("last_hash")) & (F.col(key) <= F.col("last_key")))
-    return df.join(F.broadcast(thresholds), F.col(label) == F.col("quota_label"), "left").select(
+    return df.join(small(thresholds), F.col(label) == F.col("quota_label"), "left").select(
         *df.columns, F.coalesce(below, F.lit(False)).alias(IS_TEST)
     )
 

@@ -35,14 +35,14 @@ def age_severity(gold: DataFrame, spec: SurveySpec) -> DataFrame:
 
 def severity_box(gold: DataFrame, spec: SurveySpec, measure: str) -> DataFrame:
     """Box-plot statistics of a measure per class, in clinical order."""
-    boxes = add_severity_label(add_severity_ordinal(quantiles.box_stats(gold, measure, spec.severity), spec), spec)
+    boxes = add_severity_label(add_severity_ordinal(quantiles.box_stats(gold, measure, spec.severity, closed=True), spec), spec)
     rest = [c for c in boxes.columns if c not in (spec.severity, SEVERITY_LABEL, SEVERITY_ORD)]
     return boxes.orderBy(SEVERITY_ORD).select(SEVERITY_LABEL, SEVERITY_ORD, *rest)
 
 
 def age_box(gold: DataFrame, spec: SurveySpec, measure: str) -> DataFrame:
     """Box-plot statistics of a measure per age group."""
-    return quantiles.box_stats(add_age_group(gold, spec), measure, AGE_GROUP).orderBy(AGE_GROUP)
+    return quantiles.box_stats(add_age_group(gold, spec), measure, AGE_GROUP, closed=True).orderBy(AGE_GROUP)
 
 
 def confusion(predicted: DataFrame, spec: SurveySpec, label: str, prediction: str) -> DataFrame:

@@ -64,6 +64,10 @@ def _database(spark: SparkSession) -> str:
     return name
 
 
+def _split(df: DataFrame) -> DataFrame:
+    return split.stratified_split(df, SPEC.key, SPEC.severity, SPEC.test_size, SPEC.seed, closed=True)
+
+
 def _columns(df: DataFrame, *names: str) -> DataFrame:
     return df.select(SPEC.key, *names)
 
@@ -226,7 +230,7 @@ def column_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def box_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = score.add_age_group(gold(spark, sf_dir), SPEC).select(SPEC.key, score.AGE_GROUP, SPEC.score)
-    return quantiles.box_outliers(grouped, SPEC.score, score.AGE_GROUP)
+    return quantiles.box_outliers(grouped, SPEC.score, score.AGE_GROUP, closed=True)
 
 
 def top_items_by_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,8 +276,7 @@ def assemble_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _columns(gold(spark, sf_dir), SPEC.severity)
-    return split.stratified_split(rows, SPEC.key, SPEC.severity, SPEC.test_size, SPEC.seed)
+    return _split(_columns(gold(spark, sf_dir), SPEC.severity))
 
 
 def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -297,7 +300,7 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, path = fitted(spark, sf_dir).model, scratch_path(spark, "model")
     forest.save_model(model, path)
     df = gold(spark, sf_dir)
-    test = split.stratified_split(df, SPEC.key, SPEC.severity, SPEC.test_size, SPEC.seed).filter(split.IS_TEST)
+    test = _split(df).filter(split.IS_TEST)
     before = model.transform(test).select(*df.columns, F.col(forest.PREDICTED_CLASS).alias("before"))
     after = forest.load_model(path).transform(before)
     return after.agg(

@@ -26,6 +26,7 @@ def spark(tmp_path_factory):
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="6g",
+        spark__sql__maxMetadataStringLength="10000",
         spark__sql__warehouse__dir=str(shared / "warehouse"),
         spark__checkpoint__dir=str(shared / "checkpoints"),
     )

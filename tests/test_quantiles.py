@@ -28,10 +28,11 @@ def distributions():
     }
 
 
-def test_against_numpy_by_group(spark):
+@pytest.mark.parametrize("closed", [True, False])
+def test_against_numpy_by_group(spark, closed):
     frames = [pd.DataFrame({"g": name, "x": values}) for name, values in distributions().items()]
     df = spark.createDataFrame(pd.concat(frames)).repartition(7)
-    found = QT.quantiles_of(QT.value_histogram(df, ["x"], ["g"]), PROBABILITIES, ["g"]).collect()
+    found = QT.quantiles_of(QT.value_histogram(df, ["x"], ["g"]), PROBABILITIES, ["g"], closed).collect()
     assert {r["g"] for r in found} == set(distributions())
     for row in found:
         values = distributions()[row["g"]]
@@ -69,7 +70,7 @@ def test_approximate_medians(spark):
 def test_ranges_are_even_and_ordered(spark):
     """No range of the second level is much larger than its share, however the values are spread."""
     df = spark.createDataFrame(pd.DataFrame({"x": distributions()["heavy_tail"]}))
-    ranged = QT._ranged(QT.value_histogram(df, ["x"]), ["measure"]).select("value", "range").toPandas()
+    ranged = QT._ranged(QT.value_histogram(df, ["x"]), ["measure"], small=True).select("value", "range").toPandas()
     assert ranged["range"].between(0, QT.RANGES - 1).all()
     assert ranged.sort_values("value")["range"].is_monotonic_increasing
     assert ranged["range"].value_counts().max() <= 3 * len(ranged) / QT.RANGES

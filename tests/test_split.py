@@ -55,10 +55,11 @@ def test_quotas(spark, sizes):
         assert found == expected_quotas(sizes, test_size)
 
 
-def test_same_rows_as_brute_force(spark):
+@pytest.mark.parametrize("closed", [True, False])
+def test_same_rows_as_brute_force(spark, closed):
     rows = skewed_rows()
     df = spark.createDataFrame(rows, "k bigint, c string")
-    split = stratified_split(df, "k", "c", Fraction(1, 4), seed=7)
+    split = stratified_split(df, "k", "c", Fraction(1, 4), seed=7, closed=closed)
     test = {r["k"] for r in split.filter("is_test").collect()}
     assert test == expected_test_keys(rows, Fraction(1, 4), 7)
     assert split.count() == len(rows)
