@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Imputer, ImputerModel, IndexToString, StringIndexerModel, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.feature import Imputer, ImputerModel, IndexToString, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from surveyflow.functions import fill_category
 from surveyflow.operators.clean import fill_unknown
@@ -43,14 +44,30 @@ def local_dictionary(
 
 
 def indexers(
-    values: dict[str, list[str]], spec: SurveySpec, source: str = "{}", invalid: str = "error"
+    spark: SparkSession, values: dict[str, list[str]], spec: SurveySpec, source: str = "{}", invalid: str = "error"
 ) -> list[StringIndexerModel]:
-    """One fitted indexer per column; its order is that of the dictionary, whatever the library's own sort order."""
+    """Fitted indexers whose index order is that of the dictionary.
+
+    Normally one stage for all columns, fitted on the dictionary itself (short columns repeat their first value). The
+    library sorts by code unit, not by code point; where that gives another order, each column gets its own stage.
+    """
+    columns = list(values)
+    if not columns:
+        return []
+    inputs = [source.format(c) for c in columns]
+    outputs = [c + spec.index_suffix for c in columns]
+    if all(values.values()):
+        height = max(len(v) for v in values.values())
+        padded = [values[c] + values[c][:1] * (height - len(values[c])) for c in columns]
+        table = spark.createDataFrame(list(zip(*padded)), T.StructType([T.StructField(i, T.StringType()) for i in inputs]))
+        fitted = StringIndexer(
+            inputCols=inputs, outputCols=outputs, stringOrderType="alphabetAsc", handleInvalid=invalid
+        ).fit(table)
+        if [list(labels) for labels in fitted.labelsArray] == [values[c] for c in columns]:
+            return [fitted]
     return [
-        StringIndexerModel.from_labels(
-            values[c], inputCol=source.format(c), outputCol=c + spec.index_suffix, handleInvalid=invalid
-        )
-        for c in values
+        StringIndexerModel.from_labels(values[c], inputCol=i, outputCol=o, handleInvalid=invalid)
+        for c, i, o in zip(columns, inputs, outputs)
     ]
 
 
@@ -64,7 +81,7 @@ def encode_categoricals(df: DataFrame, spec: SurveySpec, limit: int = LOCAL_VALU
     dictionary = category_dictionary(df, columns, spec.missing_category)
     values, large = local_dictionary(dictionary, columns, limit)
     encoded = fill_unknown(df, spec)
-    for model in indexers(values, spec):
+    for model in indexers(df.sparkSession, values, spec):
         encoded = model.transform(encoded)
     for c in large:
         ranks = dictionary.filter(F.col("column") == c).select(

@@ -45,7 +45,7 @@ def fit_preparation(
     )
     return [
         SQLTransformer(statement=f"SELECT *, {fill} FROM __THIS__"),
-        *indexers(values, spec, FILLED, invalid),
+        *indexers(df.sparkSession, values, spec, FILLED, invalid),
         label_indexer(spec),
         median_imputer(df, spec.numeric, approx_medians),
         assembler(spec),

@@ -23,7 +23,8 @@ RANGE_ACCURACY = 16 * RANGES
 def value_histogram(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """(by..., measure, value, n): how often each distinct non-missing value occurs."""
     doubles = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
-    long = doubles.unpivot(list(by), list(columns), "measure", "value")
+    # Groups are aliased so that every use of the histogram has the same plan and Spark shuffles it only once.
+    long = doubles.unpivot([F.col(b).alias(b) for b in by], list(columns), "measure", "value")
     present = F.col("value").isNotNull() & ~F.isnan("value")
     return long.filter(present).groupBy(*by, "measure", "value").agg(F.count(F.lit(1)).alias("n"))
 

@@ -53,7 +53,9 @@ def stratified_split(
         F.col(label).alias("__label"),
         F.col(key).alias("__key"),
         F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))).alias("__hash"),
-    ).withColumn("bucket", F.substring("__hash", 1, PREFIX))
+    )
+    # The joins below would infer this on some uses of the counts only, and those would no longer be shared.
+    hashed = hashed.filter(F.col("__label").isNotNull()).withColumn("bucket", F.substring("__hash", 1, PREFIX))
 
     buckets = hashed.groupBy("__label", "bucket").agg(F.count(F.lit(1)).alias("held"))
     sizes = buckets.groupBy("__label").agg(F.sum("held").alias("n"))
