@@ -275,6 +275,7 @@ def oracle_statements() -> dict[str, str]:
         "model_roundtrip": _sql(
             "SELECT count(*) AS rows_scored, count(*) AS rows_equal FROM split WHERE is_test", *_SPLIT
         ),
+        "rf_scored_rows": _sql("SELECT respondent_id, Depression_Severity, true AS has_class FROM split WHERE is_test", *_SPLIT),
         "confusion_cells": _sql("SELECT label, prediction, n FROM cells", *_GUESS),
         "confusion_matrix": _sql(
             "SELECT axis.label AS label, "

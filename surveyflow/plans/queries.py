@@ -76,9 +76,10 @@ def _columns(df: DataFrame, *names: str) -> DataFrame:
 
 
 def load_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide survey as tab-separated files of one cycle, read back with declared types."""
     root, cycle = scratch_path(spark, "tsv"), "2017-2018"
-    write_survey_tsv(clean.select_relevant(bronze(spark, sf_dir), SPEC), root, cycle)
-    return read_survey_tsv(spark, root, cycle, survey_schema(SPEC))
+    write_survey_tsv(bronze(spark, sf_dir), root, cycle)
+    return clean.select_relevant(read_survey_tsv(spark, root, cycle, survey_schema(SPEC)), SPEC)
 
 
 def respondent_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -287,6 +288,12 @@ def rf_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fitted(spark, sf_dir).predictions()
 
 
+def rf_scored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which rows the forest scored, and whether each got one of the classes: the part of it SQL can check."""
+    known = F.col(forest.PREDICTED_CLASS).isin(SPEC.severity_classes)
+    return _columns(rf_predictions(spark, sf_dir).withColumn("has_class", known), SPEC.severity, "has_class")
+
+
 def top_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.top_features(forest.importances(fitted(spark, sf_dir), spark))
 
@@ -406,6 +413,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         eval_metrics,
         chart_confusion_rule,
         rf_predictions,
+        rf_scored_rows,
         rf_metrics,
         top_features,
         chart_top_features,

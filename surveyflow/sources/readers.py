@@ -17,23 +17,43 @@ def survey_schema(spec: SurveySpec, key_type: T.DataType | None = None) -> T.Str
     return T.StructType(fields)
 
 
-def read_survey_tsv(spark: SparkSession, root: str, cycle: str, schema: T.StructType) -> DataFrame:
-    """One survey cycle from tab-separated files below ``root/cycle``.
+def wide_schema(header: list[str], declared: T.StructType) -> T.StructType:
+    """Schema of a file with these columns: declared ones as declared, further ones kept as strings."""
+    absent = [name for name in declared.names if name not in header]
+    if absent:
+        raise ValueError(f"the survey lacks {absent}")
+    types = {f.name: f for f in declared.fields}
+    return T.StructType([types.get(name, T.StructField(name, T.StringType())) for name in header])
 
-    The declared schema spares the inference pass; the header is checked against it, and a malformed value fails the
-    job instead of turning into a null. An empty field is a missing value.
+
+def read_survey_tsv(spark: SparkSession, root: str, cycle: str, declared: T.StructType) -> DataFrame:
+    """One survey cycle from tab-separated files below ``root/cycle``, with all its columns.
+
+    Only the header line is read ahead; nothing is inferred from the data. Every file's header is checked against
+    the first, a malformed value fails the job instead of turning into a null, and an empty field is a missing value.
+    Columns a query does not use are not parsed.
     """
+    path = f"{root}/{cycle}"
+    reader = spark.read.option("sep", "\t").option("header", True)
+    schema = wide_schema(reader.csv(path).columns, declared)
     return (
-        spark.read.schema(schema)
-        .option("sep", "\t")
-        .option("header", True)
+        reader.schema(schema)
         .option("enforceSchema", False)
         .option("nullValue", "")
         .option("mode", "FAILFAST")
-        .csv(f"{root}/{cycle}")
+        .csv(path)
     )
 
 
+def read_survey_parquet(spark: SparkSession, root: str, cycle: str, declared: T.StructType) -> DataFrame:
+    """The same from Parquet, which brings its own types; declared columns are cast where they differ."""
+    raw = spark.read.parquet(f"{root}/{cycle}")
+    wide_schema(raw.columns, declared)
+    wanted = {f.name: f.dataType for f in declared.fields}
+    differing = [c for c, t in wanted.items() if raw.schema[c].dataType != t]
+    return raw.withColumns({c: raw[c].cast(wanted[c]) for c in differing}) if differing else raw
+
+
 def write_survey_tsv(df: DataFrame, root: str, cycle: str) -> None:
     df.write.mode("overwrite").option("sep", "\t").option("header", True).option("nullValue", "").csv(f"{root}/{cycle}")
 

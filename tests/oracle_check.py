@@ -24,21 +24,17 @@ def rows(pdf: pd.DataFrame) -> tuple[list[str], list[tuple]]:
     return names, sorted(map(tuple, values.itertuples(index=False)), key=repr)
 
 
-def kinds(pdf: pd.DataFrame) -> dict[str, str]:
-    return {c: pdf[c].dtype.kind for c in pdf.columns}
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 def differences(spark_df, con, sql: str) -> list[str]:
+    """What differs in column names, types, number of rows or values; the order of rows and columns does not count."""
+    types = {name: TYPES.get(kind, kind) for name, kind in spark_df.dtypes}
+    expected = {name: kind for name, kind, *_ in con.execute(f"DESCRIBE {sql}").fetchall()}
+    if types != expected:
+        return [f"schema {sorted(set(types.items()) ^ set(expected.items()))}"]
     ours, theirs = spark_df.toPandas(), con.execute(sql).fetchdf()
-    found = []
-    if sorted(ours.columns) != sorted(theirs.columns):
-        return [f"columns {sorted(ours.columns)} != {sorted(theirs.columns)}"]
     if len(ours) != len(theirs):
-        found.append(f"rows {len(ours)} != {len(theirs)}")
-    a, b = kinds(ours), kinds(theirs)
-    found += [f"{c}: {a[c]} != {b[c]}" for c in a if a[c] != b[c]]
+        return [f"rows {len(ours)} != {len(theirs)}"]
     left, right = rows(ours)[1], rows(theirs)[1]
-    if left != right:
-        bad = [(x, y) for x, y in zip(left, right) if x != y][:3]
-        found.append(f"values differ, e.g. {bad}")
-    return found
+    return [] if left == right else [f"values differ, e.g. {[(x, y) for x, y in zip(left, right) if x != y][:3]}"]

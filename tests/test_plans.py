@@ -68,3 +68,11 @@ def test_windows_over_rows_are_partitioned(spark, spec, small_dir):
             if "Exchange SinglePartition" in line:
                 below = "\n".join(lines[line_number + 1 : line_number + 8])
                 assert "Aggregate" in below or "Window" in below, (name, below)
+
+
+@pytest.mark.parametrize(("name", "scans"), [("chart_box_score", 1), ("column_medians", 1), ("stratified_split", 3)])
+def test_number_of_scans(spark, small_dir, name, scans):
+    """Counting, finding the last bucket and marking are three passes; box plots need one."""
+    df = Q.registered()[name](spark, small_dir)
+    df.collect()
+    assert plan_of(df).split("Initial Plan")[0].count("FileScan") == scans
