@@ -113,22 +113,31 @@ def feature_projection(df: DataFrame, spec: SurveySpec) -> DataFrame:
     return df.select(*[c for c in df.columns if c not in spec.excluded])
 
 
-def median_imputer(df: DataFrame, columns: Sequence[str], approx: bool = False) -> ImputerModel:
-    """An imputer that holds the exact medians.
-
-    The library's own median strategy is approximate; fitted on the one-row frame of exact medians, its mean strategy
-    stores precisely those.
-    """
+def exact_medians(df: DataFrame, columns: Sequence[str], approx: bool = False) -> dict[str, float]:
+    """One number per column; a column without values cannot be imputed and is an error."""
     medians = {r["measure"]: r["median"] for r in column_medians(df, columns, approx).collect()}
     empty = [c for c in columns if c not in medians]
     if empty:
         raise ValueError(f"no values to impute from in {empty}")
-    one_row = df.sparkSession.range(1).select(*[F.lit(medians[c]).alias(c) for c in columns])
-    return Imputer(strategy="mean", inputCols=list(columns), outputCols=list(columns)).fit(one_row)
+    return medians
 
 
 def impute_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return median_imputer(df, columns).transform(df)
+    """Null and NaN to the median of the column."""
+    return df.fillna(exact_medians(df, columns))
+
+
+def median_imputer(df: DataFrame, columns: Sequence[str], approx: bool = False) -> ImputerModel:
+    """The same as a stage that can be saved.
+
+    The library's own median strategy is approximate; fitted on the one-row frame of exact medians, its mean strategy
+    stores precisely those.
+    """
+    medians = exact_medians(df, columns, approx)
+    one_row = df.sparkSession.createDataFrame(
+        [tuple(medians[c] for c in columns)], T.StructType([T.StructField(c, T.DoubleType()) for c in columns])
+    )
+    return Imputer(strategy="mean", inputCols=list(columns), outputCols=list(columns)).fit(one_row)
 
 
 def assembler(spec: SurveySpec) -> VectorAssembler:

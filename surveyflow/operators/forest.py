@@ -53,24 +53,27 @@ def fit_preparation(
 
 
 def fit_forest(
-    train: DataFrame, spec: SurveySpec, categorical: str = "ordinal", partitions: int | None = None
+    train: DataFrame,
+    spec: SurveySpec,
+    categorical: str = "ordinal",
+    partitions: int | None = None,
+    place_rows: bool = True,
 ) -> RandomForestClassificationModel:
     """Fit on (key, label, features).
 
     Bagging draws per partition, so the rows are placed by key and sorted: the same rows give the same forest whatever
-    order they arrive in. ``categorical="ordinal"`` treats an encoded category as a number; ``"nominal"`` lets the
+    order they arrive in. ``place_rows=False`` spares that shuffle of the training rows; the forest then depends on
+    how the table is split. ``categorical="ordinal"`` treats an encoded category as a number; ``"nominal"`` lets the
     trees split on sets of categories.
     """
-    n = partitions or int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     features = F.col("features")
     if categorical == "ordinal":
         features = features.alias("features", metadata={})
-    placed = (
-        train.select(spec.key, spec.label, features)
-        .repartition(n, spec.key)
-        .sortWithinPartitions(spec.key)
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    placed = train.select(spec.key, spec.label, features)
+    if place_rows:
+        n = partitions or int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        placed = placed.repartition(n, spec.key).sortWithinPartitions(spec.key)
+    placed = placed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return RandomForestClassifier(
             labelCol=spec.label,
@@ -112,6 +115,7 @@ def train_forest(
     fit_on: str = "all",
     approx_medians: bool = False,
     partitions: int | None = None,
+    place_rows: bool = True,
 ) -> FittedForest:
     """Split, prepare, fit.
 
@@ -127,7 +131,7 @@ def train_forest(
         stages = fit_preparation(df, spec, approx_medians)
     prepared = PipelineModel(stages).transform(split)
     prepared = materialize(prepared.select(spec.key, spec.severity, spec.label, "features", IS_TEST), "features")
-    forest = fit_forest(prepared.filter(~F.col(IS_TEST)), spec, categorical, partitions)
+    forest = fit_forest(prepared.filter(~F.col(IS_TEST)), spec, categorical, partitions, place_rows)
     decode = IndexToString(inputCol="prediction", outputCol=PREDICTED_CLASS, labels=spec.severity_classes)
     return FittedForest(spec, PipelineModel([*stages, forest, decode]), prepared)
 

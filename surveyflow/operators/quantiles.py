@@ -94,18 +94,13 @@ def quantiles_of(
         for side, rank in (("low", F.floor(position)), ("high", F.ceil(position))):
             bounds.append(F.min(F.when(F.col("upto") > rank, F.col("value"))).alias(f"{name}_{side}"))
     found = ranked.groupBy(*keys).agg(F.max("total").alias("total"), *bounds)
-    return found.select(
-        *keys,
-        "total",
-        *[
-            (
-                F.col(f"{name}_low")
-                + (F.col(f"{name}_high") - F.col(f"{name}_low"))
-                * (_position(p, F.col("total")) - F.floor(_position(p, F.col("total"))))
-            ).alias(name)
-            for name, p in probabilities.items()
-        ],
-    )
+    return found.select(*keys, "total", *[_between(name, p).alias(name) for name, p in probabilities.items()])
+
+
+def _between(name: str, probability: float) -> Column:
+    """Linear interpolation between the two neighbours of the position; infinities stay what they are."""
+    low, high, position = F.col(f"{name}_low"), F.col(f"{name}_high"), _position(probability, F.col("total"))
+    return F.when(low == high, low).otherwise(low + (high - low) * (position - F.floor(position)))
 
 
 def column_medians(df: DataFrame, columns: Sequence[str], approx: bool = False) -> DataFrame:

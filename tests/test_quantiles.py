@@ -61,6 +61,11 @@ def test_missing_values_do_not_count(spark):
     assert QT.column_medians(df, ["x"]).first()["median"] == 1.5
 
 
+def test_infinities(spark):
+    df = spark.createDataFrame([(math.inf,), (math.inf,), (1.0,)], "x double")
+    assert QT.column_medians(df, ["x"]).first()["median"] == math.inf
+
+
 def test_approximate_medians(spark):
     df = spark.range(10001).select(F.col("id").cast("double").alias("x"), F.lit(None).cast("double").alias("empty"))
     found = {r["measure"]: r["median"] for r in QT.column_medians(df, ["x", "empty"], approx=True).collect()}
