@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from fractions import Fraction
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 IS_TEST = "is_test"
-PREFIX = 4
+DIGITS = 3  # hexadecimal, so 4,096 buckets per level
 
 
 def class_quotas(sizes: DataFrame, label: str, test_size: Fraction) -> DataFrame:
@@ -42,11 +42,12 @@ def stratified_split(
 ) -> DataFrame:
     """Adds ``is_test``: in each class the rows with the smallest ``md5(seed:key)``, up to the class's quota.
 
-    Ranking a class would put it into one task. The hash's prefix cuts each class into 65,536 even buckets instead;
-    their counts give the one bucket per class in which the quota runs out, and only that bucket's rows are ranked.
-    What comes back is one threshold row per class, so the split itself is a comparison in place: nothing but the
-    counts is shuffled, and the join is to as many rows as there are classes. ``closed=True`` promises that the label
-    only takes values of a declared list, so that those rows may be broadcast.
+    Ranking a class would put it into one task. The hash's first digits cut each class into even buckets instead; their
+    counts give the one bucket per class in which the quota runs out. Its rows, one in 4,096, are cut and counted once
+    more by the next digits, and only the rows of that second bucket are ranked. What comes back is one threshold row
+    per class, so the split itself is a comparison in place: nothing but counts and the rows of one bucket is shuffled,
+    and the join is to as many rows as there are classes. ``closed=True`` promises that the label only takes values of
+    a declared list, so that those rows may be broadcast.
     """
     small = F.broadcast if closed else lambda side: side
     hashed = df.select(
@@ -54,27 +55,29 @@ def stratified_split(
         F.col(key).alias("__key"),
         F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))).alias("__hash"),
     )
-    # The joins below would infer this on some uses of the counts only, and those would no longer be shared.
-    hashed = hashed.filter(F.col("__label").isNotNull()).withColumn("bucket", F.substring("__hash", 1, PREFIX))
+    # Joins infer not-null filters; stated here, they are the same on every use, so the exchanges below are shared.
+    hashed = hashed.filter(F.col("__label").isNotNull() & F.col("__key").isNotNull())
+    hashed = hashed.withColumn("bucket", _digits(1))
 
     buckets = hashed.groupBy("__label", "bucket").agg(F.count(F.lit(1)).alias("held"))
     sizes = buckets.groupBy("__label").agg(F.sum("held").alias("n"))
     quotas = class_quotas(sizes, "__label", test_size).select(F.col("__label").alias("quota_label"), "n_test")
-    upto = F.sum("held").over(Window.partitionBy("__label").orderBy("bucket"))
-    last = (
-        buckets.withColumn("before", upto - F.col("held"))
-        .join(small(quotas), F.col("__label") == F.col("quota_label"))
-        .filter((F.col("before") < F.col("n_test")) & (F.col("n_test") <= F.col("before") + F.col("held")))
-        .select("quota_label", F.col("bucket").alias("last_bucket"), (F.col("n_test") - F.col("before")).alias("take"))
-    )
+    first = _running_out(buckets.join(small(quotas), F.col("__label") == F.col("quota_label")))
 
-    in_last = hashed.join(
-        small(last), (F.col("__label") == F.col("quota_label")) & (F.col("bucket") == F.col("last_bucket"))
+    in_first = _in_bucket(hashed, small(first))
+    # Placed once, evenly; both the counts and the rows below are taken from this one exchange.
+    candidates = in_first.select("__label", "__key", "__hash", F.col("take").alias("n_test")).repartition(
+        "__label", "__hash"
     )
+    finer = candidates.withColumn("bucket", _digits(1 + DIGITS))
+    counts = finer.groupBy("__label", "bucket").agg(F.count("__key").alias("held"), F.max("n_test").alias("n_test"))
+    second = _running_out(counts.withColumnRenamed("__label", "quota_label"))
+
     place = F.row_number().over(Window.partitionBy("__label").orderBy("__hash", "__key"))
     thresholds = (
-        in_last.withColumn("place", place)
-        .filter(F.col("place") == F.col("take"))
+        _in_bucket(finer, small(second))
+        .withColumn("place", place)
+        .filter(F.col("place") == F.col("n_test") - F.col("before"))
         .select("quota_label", F.col("__hash").alias("last_hash"), F.col("__key").alias("last_key"))
     )
 
@@ -85,6 +88,27 @@ def stratified_split(
     )
 
 
+def _digits(start: int) -> Column:
+    """Never null, so that no join asks for it and computes the hash once more to find out."""
+    return F.coalesce(F.substring("__hash", start, DIGITS), F.lit(""))
+
+
+def _running_out(counts: DataFrame) -> DataFrame:
+    """(quota_label, last_bucket, before, take): per class the bucket that holds its ``n_test``-th row."""
+    upto = F.sum("held").over(Window.partitionBy("quota_label").orderBy("bucket"))
+    return (
+        counts.withColumn("before", upto - F.col("held"))
+        .filter((F.col("before") < F.col("n_test")) & (F.col("n_test") <= F.col("before") + F.col("held")))
+        .withColumn("take", F.col("n_test") - F.col("before"))
+        .select("quota_label", F.col("bucket").alias("last_bucket"), "before", "take")
+    )
+
+
+def _in_bucket(rows: DataFrame, last: DataFrame) -> DataFrame:
+    same = (F.col("__label") == F.col("quota_label")) & (F.col("bucket") == F.col("last_bucket"))
+    return rows.join(last, same)
+
+
 def split_counts(split: DataFrame, label: str) -> DataFrame:
     return split.groupBy(label).agg(
         F.count_if(~F.col(IS_TEST)).alias("train_rows"), F.count_if(F.col(IS_TEST)).alias("test_rows")
