@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from surveyflow.llm import exact_dedup, mixing
+from surveyflow.llm import bpe, exact_dedup, mixing, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": exact_dedup.query,
     "op2_mixing": mixing.query,
+    "op8_bpe": bpe.query,
+    "op9_simhash": simhash.query,
 }
 
 SQL: dict[str, str] = {
