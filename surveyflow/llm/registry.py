@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from surveyflow.llm import bpe, exact_dedup, mixing, simhash
+from surveyflow.llm import bpe, exact_dedup, mixing, quality_mil, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": exact_dedup.query,
     "op2_mixing": mixing.query,
     "op8_bpe": bpe.query,
     "op9_simhash": simhash.query,
+    "op10_quality_mil": quality_mil.query,
 }
 
 SQL: dict[str, str] = {
