@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from surveyflow.llm import bpe, exact_dedup, language_id, mixing, quality_mil, simhash
+from surveyflow.llm import bpe, exact_dedup, html_extract, language_id, mixing, quality_mil, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": exact_dedup.query,
     "op2_mixing": mixing.query,
     "op4_language_id": language_id.query,
+    "op6_html_extract": html_extract.query,
     "op8_bpe": bpe.query,
     "op9_simhash": simhash.query,
     "op10_quality_mil": quality_mil.query,
