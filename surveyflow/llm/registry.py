@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from surveyflow.llm import bpe, exact_dedup, html_extract, language_id, mixing, quality_mil, quality_rules, simhash
+from surveyflow.llm import bpe, exact_dedup, html_extract, language_id, mixing, quality_mil, quality_rules, simhash, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": exact_dedup.query,
     "op2_mixing": mixing.query,
     "op3_quality_rules": quality_rules.query,
     "op4_language_id": language_id.query,
+    "op5_substring_dedup": substring_dedup.query,
     "op6_html_extract": html_extract.query,
     "op8_bpe": bpe.query,
     "op9_simhash": simhash.query,
