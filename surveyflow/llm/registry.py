@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from surveyflow.llm import bpe, exact_dedup, html_extract, language_id, mixing, quality_mil, quality_rules, simhash, substring_dedup
+from surveyflow.llm import bpe, exact_dedup, html_extract, language_id, lm_score, mixing, quality_mil, quality_rules, simhash, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": exact_dedup.query,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": language_id.query,
     "op5_substring_dedup": substring_dedup.query,
     "op6_html_extract": html_extract.query,
+    "op7_lm_score": lm_score.query,
     "op8_bpe": bpe.query,
     "op9_simhash": simhash.query,
     "op10_quality_mil": quality_mil.query,
