@@ -3,94 +3,79 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.ml.feature import Imputer, ImputerModel, IndexToString, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.ml.feature import Imputer, ImputerModel, IndexToString, SQLTransformer, StringIndexerModel, VectorAssembler
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from surveyflow.functions import fill_category
-from surveyflow.operators.clean import fill_unknown
 from surveyflow.operators.quantiles import column_medians
+from surveyflow.operators.ranges import running_totals
+from surveyflow.sources.scratch import materialize
 from surveyflow.spec import SurveySpec
 
-# Dictionaries up to this many values per column are kept as driver-side lists; larger ones are joined.
-LOCAL_VALUES = 50_000
-
 
 def category_dictionary(df: DataFrame, columns: Sequence[str], missing: str) -> DataFrame:
-    """(column, value, idx): distinct values in code-point order, numbered from 0 per column.
+    """(column, value, idx): distinct values in code-point order, numbered from 0 per column; stored.
 
-    All columns in one pass; only distinct values are shuffled and ranked.
+    All columns in one pass. Only distinct values are shuffled, into ranges of (column, value) that are numbered each by
+    itself, so a column may have any number of values.
     """
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column string, value string, idx int")
     filled = df.select(*[fill_category(c, missing).alias(c) for c in columns])
     distinct = filled.unpivot([], list(columns), "column", "value").distinct()
-    rank = F.row_number().over(Window.partitionBy("column").orderBy("value"))
-    return distinct.withColumn("idx", rank - 1)
+    placed = running_totals(distinct, [F.col("value")], {"place": F.lit(1)}, "categories", by=["column"])
+    return materialize(placed.select("column", "value", (F.col("run_place") - 1).cast("int").alias("idx")), "dictionary")
 
 
-def local_dictionary(
-    dictionary: DataFrame, columns: Sequence[str], limit: int = LOCAL_VALUES
-) -> tuple[dict[str, list[str]], list[str]]:
-    """``({column: values in index order}, [columns with more than limit values])``.
+@dataclass(frozen=True)
+class CategoryIndexer:
+    """Adds ``<column><suffix>``, the index of each category, by a join to the dictionary whatever its size.
 
-    The one action fetches at most ``limit + 1`` rows per column, which both checks the size and gets the values.
+    Spark chooses the join by the size of the stored dictionary: small ones are broadcast, others are shuffled by value,
+    and adaptive execution splits the partitions of frequent values. ``invalid="keep"`` gives values that the dictionary
+    lacks an index of their own, the number of known ones; otherwise they fail the job.
     """
-    values: dict[str, list[tuple[int, str]]] = {c: [] for c in columns}
-    for row in dictionary.filter(F.col("idx") <= limit).collect():
-        values[row["column"]].append((row["idx"], row["value"]))
-    large = [c for c in columns if len(values[c]) > limit]
-    return {c: [v for _, v in sorted(values[c])] for c in columns if c not in large}, large
 
+    columns: tuple[str, ...]
+    dictionary: DataFrame
+    sizes: dict[str, int]
+    missing: str
+    suffix: str
+    invalid: str = "error"
+
+    @classmethod
+    def of(cls, dictionary: DataFrame, spec: SurveySpec, invalid: str = "error") -> CategoryIndexer:
+        sizes = {r["column"]: r["n"] for r in dictionary.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+        return cls(tuple(spec.categorical), dictionary, sizes, spec.missing_category, spec.index_suffix, invalid)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        known, kept = df, df.columns
+        for c in self.columns:
+            ranks = self.dictionary.filter(F.col("column") == c).select(
+                F.col("value").alias("__value"), F.col("idx").cast("double").alias(f"__{c}")
+            )
+            known = known.join(ranks, fill_category(c, self.missing) == F.col("__value"), "left").drop("__value")
+        return known.select(*kept, *[self._index(c) for c in self.columns])
+
+    def _index(self, c: str) -> Column:
+        size = self.sizes.get(c, 0)
+        unseen = F.raise_error(F.concat(F.lit(f"unseen value of {c}: "), F.col(c).cast("string"))).cast("double")
+        other = unseen if self.invalid == "error" else F.lit(float(size))
+        values = size + (self.invalid != "error")
+        return F.coalesce(F.col(f"__{c}"), other).alias(
+            c + self.suffix, metadata={"ml_attr": {"type": "nominal", "num_vals": values}}
+        )
 
-def indexers(
-    spark: SparkSession, values: dict[str, list[str]], spec: SurveySpec, source: str = "{}", invalid: str = "error"
-) -> list[StringIndexerModel]:
-    """Fitted indexers whose index order is that of the dictionary.
 
-    Normally one stage for all columns, fitted on the dictionary itself (short columns repeat their first value). The
-    library sorts by code unit, not by code point; where that gives another order, each column gets its own stage.
-    """
-    columns = list(values)
-    if not columns:
-        return []
-    inputs = [source.format(c) for c in columns]
-    outputs = [c + spec.index_suffix for c in columns]
-    if all(values.values()):
-        height = max(len(v) for v in values.values())
-        padded = [values[c] + values[c][:1] * (height - len(values[c])) for c in columns]
-        table = spark.createDataFrame(list(zip(*padded)), T.StructType([T.StructField(i, T.StringType()) for i in inputs]))
-        fitted = StringIndexer(
-            inputCols=inputs, outputCols=outputs, stringOrderType="alphabetAsc", handleInvalid=invalid
-        ).fit(table)
-        if [list(labels) for labels in fitted.labelsArray] == [values[c] for c in columns]:
-            return [fitted]
-    return [
-        StringIndexerModel.from_labels(values[c], inputCol=i, outputCol=o, handleInvalid=invalid)
-        for c, i, o in zip(columns, inputs, outputs)
-    ]
-
-
-def encode_categoricals(df: DataFrame, spec: SurveySpec, limit: int = LOCAL_VALUES) -> DataFrame:
-    """Replace each categorical by ``<column>_Idx``, its rank among the column's sorted values.
-
-    Small dictionaries are looked up in place, without moving the data. A column whose dictionary is too large for
-    that is joined to it, shuffled by value; adaptive execution splits the partitions of frequent values.
-    """
-    columns = list(spec.categorical)
-    dictionary = category_dictionary(df, columns, spec.missing_category)
-    values, large = local_dictionary(dictionary, columns, limit)
-    encoded = fill_unknown(df, spec)
-    for model in indexers(df.sparkSession, values, spec):
-        encoded = model.transform(encoded)
-    for c in large:
-        ranks = dictionary.filter(F.col("column") == c).select(
-            F.col("value").alias(c), F.col("idx").cast("double").alias(c + spec.index_suffix)
-        )
-        encoded = encoded.join(ranks, c, "left")
-    return encoded.select(
-        *[c for c in df.columns if c not in spec.categorical], *[c + spec.index_suffix for c in columns]
-    )
+def encode_categoricals(df: DataFrame, spec: SurveySpec) -> DataFrame:
+    """Replace each categorical by ``<column>_Idx``, its rank among the column's sorted values."""
+    dictionary = category_dictionary(df, list(spec.categorical), spec.missing_category)
+    encoded = CategoryIndexer.of(dictionary, spec).transform(df)
+    return encoded.select(*[c for c in encoded.columns if c not in spec.categorical])
 
 
 def label_indexer(spec: SurveySpec) -> StringIndexerModel:
@@ -123,8 +108,15 @@ def exact_medians(df: DataFrame, columns: Sequence[str], approx: bool = False) -
 
 
 def impute_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Null and NaN to the median of the column."""
-    return df.fillna(exact_medians(df, columns))
+    """Null and NaN to the median of the column; the columns become doubles, as a median may lie between two integers."""
+    doubles = df.withColumns({c: F.col(c).cast("double") for c in columns})
+    return doubles.fillna(exact_medians(df, columns))
+
+
+def as_doubles(columns: Sequence[str]) -> SQLTransformer:
+    """The same cast as a stage: without it the imputer would cast its medians to the type of the column."""
+    cast = ", ".join(f"CAST(`{c}` AS DOUBLE) AS `{c}`" for c in columns)
+    return SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(f'`{c}`' for c in columns)}), {cast} FROM __THIS__")
 
 
 def median_imputer(df: DataFrame, columns: Sequence[str], approx: bool = False) -> ImputerModel:

@@ -16,8 +16,20 @@ def confusion_counts(predicted: DataFrame, label: str, prediction: str) -> DataF
     )
 
 
-def confusion_matrix(counts: DataFrame, classes: Sequence[str]) -> DataFrame:
-    """One row per class and one column per predicted class, zero-filled, in the order of ``classes``."""
+def confusion_matrix(counts: DataFrame, classes: Sequence[str], other: str | None = None) -> DataFrame:
+    """One row per class and one column per predicted class, zero-filled, in the order of ``classes``.
+
+    No row may vanish: what isn't among the classes is an error, or goes to a last row and column named ``other``.
+    """
+
+    def declared(column: str) -> Column:
+        unknown = F.concat(F.lit(f"{column} outside the classes: "), F.coalesce(F.col(column), F.lit("null")))
+        return F.when(F.col(column).isin(list(classes)), F.col(column)).otherwise(
+            F.raise_error(unknown) if other is None else F.lit(other)
+        )
+
+    counts = counts.select(declared("label").alias("label"), declared("prediction").alias("prediction"), "n")
+    classes = [*classes] if other is None else [*classes, other]
     axis = counts.sparkSession.range(1).select(F.posexplode(F.array(*[F.lit(c) for c in classes])).alias("ord", "axis"))
     cells = counts.groupBy("label").pivot("prediction", list(classes)).agg(F.sum("n"))
     return (

@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.feature import IndexToString, SQLTransformer
+from pyspark.ml.feature import IndexToString
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyflow.operators.encode import (
-    LOCAL_VALUES,
+    CategoryIndexer,
+    as_doubles,
     assembler,
     category_dictionary,
-    indexers,
     label_indexer,
-    local_dictionary,
     median_imputer,
 )
 from surveyflow.operators.split import IS_TEST, stratified_split
@@ -25,31 +25,31 @@ from surveyflow.sources.scratch import materialize
 from surveyflow.spec import SurveySpec
 
 PREDICTED_CLASS = "predicted_class"
-FILLED = "{}_filled"
 
 
 def fit_preparation(
     df: DataFrame, spec: SurveySpec, approx_medians: bool = False, invalid: str = "error"
-) -> list[Transformer]:
-    """Fitted stages from a classified row to its label and feature vector.
+) -> tuple[CategoryIndexer, list[Transformer]]:
+    """From a classified row to its label and feature vector: the category indexer and fitted stages after it.
 
-    What is fitted is two small aggregates: the category dictionary and the medians.
+    What is fitted is the category dictionary, a table, and the medians, one number per column.
     """
-    columns = list(spec.categorical)
-    dictionary = category_dictionary(df, columns, spec.missing_category)
-    values, large = local_dictionary(dictionary, columns)
-    if large:
-        raise ValueError(f"{large} have more than {LOCAL_VALUES} values each: not categories a model can store")
-    fill = ", ".join(
-        f"coalesce(cast(`{c}` AS string), '{spec.missing_category}') AS `{FILLED.format(c)}`" for c in columns
-    )
-    return [
-        SQLTransformer(statement=f"SELECT *, {fill} FROM __THIS__"),
-        *indexers(df.sparkSession, values, spec, FILLED, invalid),
-        label_indexer(spec),
-        median_imputer(df, spec.numeric, approx_medians),
-        assembler(spec),
+    dictionary = category_dictionary(df, list(spec.categorical), spec.missing_category)
+    stages = [
+        label_indexer(spec), as_doubles(spec.numeric), median_imputer(df, spec.numeric, approx_medians), assembler(spec)
     ]
+    return CategoryIndexer.of(dictionary, spec, invalid), stages
+
+
+@dataclass(frozen=True)
+class SeverityModel:
+    """Everything from raw columns to a predicted class: the dictionary as a table, the rest as a pipeline."""
+
+    indexer: CategoryIndexer
+    pipeline: PipelineModel
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.pipeline.transform(self.indexer.transform(df))
 
 
 def fit_forest(
@@ -82,7 +82,8 @@ def fit_forest(
             maxDepth=spec.depth,
             maxBins=spec.max_bins,
             impurity="gini",
-            featureSubsetStrategy="auto",
+            featureSubsetStrategy=spec.features_per_node,
+            bootstrap=spec.bootstrap,
             seed=spec.seed,
         ).fit(placed)
     finally:
@@ -94,17 +95,17 @@ class FittedForest:
     """The whole model as one artefact, and the prepared rows it was fitted and is tested on."""
 
     spec: SurveySpec
-    model: PipelineModel
+    model: SeverityModel
     prepared: DataFrame
 
     @property
     def forest(self) -> RandomForestClassificationModel:
-        return self.model.stages[-2]
+        return self.model.pipeline.stages[-2]
 
     def predictions(self) -> DataFrame:
         """(key, class, predicted class) of the test rows."""
         test = self.prepared.filter(F.col(IS_TEST))
-        scored = PipelineModel(self.model.stages[-2:]).transform(test)
+        scored = PipelineModel(self.model.pipeline.stages[-2:]).transform(test)
         return scored.select(self.spec.key, self.spec.severity, PREDICTED_CLASS)
 
 
@@ -123,17 +124,17 @@ def train_forest(
     first seen in a test row then get an index of their own). The prepared rows are written once, because fitting
     reads them many times.
     """
-    split = stratified_split(df, spec.key, spec.severity, spec.test_size, spec.seed, closed=True)
+    split = stratified_split(df, spec.key, spec.severity, spec.test_size, spec.seed, closed=spec.severity_classes)
     if fit_on == "train":
         split = materialize(split, "split")
-        stages = fit_preparation(split.filter(~F.col(IS_TEST)), spec, approx_medians, invalid="keep")
+        indexer, stages = fit_preparation(split.filter(~F.col(IS_TEST)), spec, approx_medians, invalid="keep")
     else:
-        stages = fit_preparation(df, spec, approx_medians)
-    prepared = PipelineModel(stages).transform(split)
+        indexer, stages = fit_preparation(df, spec, approx_medians)
+    prepared = PipelineModel(stages).transform(indexer.transform(split))
     prepared = materialize(prepared.select(spec.key, spec.severity, spec.label, "features", IS_TEST), "features")
     forest = fit_forest(prepared.filter(~F.col(IS_TEST)), spec, categorical, partitions, place_rows)
     decode = IndexToString(inputCol="prediction", outputCol=PREDICTED_CLASS, labels=spec.severity_classes)
-    return FittedForest(spec, PipelineModel([*stages, forest, decode]), prepared)
+    return FittedForest(spec, SeverityModel(indexer, PipelineModel([*stages, forest, decode])), prepared)
 
 
 def importances(fitted: FittedForest, spark: SparkSession) -> DataFrame:
@@ -146,9 +147,19 @@ def top_features(scores: DataFrame, k: int = 10) -> DataFrame:
     return scores.orderBy(F.desc("importance"), "feature").limit(k)
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: SeverityModel, path: str) -> None:
+    """The dictionary as Parquet, its settings as a line of text and the pipeline, side by side below ``path``."""
+    indexer = model.indexer
+    settings = {k: getattr(indexer, k) for k in ("columns", "sizes", "missing", "suffix", "invalid")}
+    spark = indexer.dictionary.sparkSession
+    indexer.dictionary.write.mode("overwrite").parquet(f"{path}/dictionary")
+    spark.createDataFrame([(json.dumps(settings),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/settings")
+    model.pipeline.write().overwrite().save(f"{path}/pipeline")
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str) -> SeverityModel:
+    spark = SparkSession.active()
+    settings = json.loads(spark.read.text(f"{path}/settings").first()[0])
+    settings["columns"] = tuple(settings["columns"])
+    indexer = CategoryIndexer(dictionary=spark.read.parquet(f"{path}/dictionary"), **settings)
+    return SeverityModel(indexer, PipelineModel.load(f"{path}/pipeline"))

@@ -6,20 +6,27 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def missing(df: DataFrame, column: str) -> Column:
+    """Null, or NaN in a floating-point column."""
+    value = F.col(column)
+    floating = isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType))
+    return value.isNull() | F.isnan(value) if floating else value.isNull()
 
 
 def null_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, has_null), all columns in one pass."""
-    flags = df.agg(*[F.coalesce(F.bool_or(F.col(c).isNull()), F.lit(False)).alias(c) for c in columns])
+    flags = df.agg(*[F.coalesce(F.bool_or(missing(df, c)), F.lit(False)).alias(c) for c in columns])
     return flags.unpivot([], list(columns), "column", "has_null")
 
 
 def validate_range(df: DataFrame, column: str) -> DataFrame:
-    """One row: min, max and number of nulls."""
-    value = F.col(column)
-    return df.agg(
-        F.min(value).alias("min_value"), F.max(value).alias("max_value"), F.count_if(value.isNull()).alias("nulls")
-    )
+    """One row: min, max and number of missing values; NaN is missing."""
+    absent = missing(df, column)
+    value = F.when(~absent, F.col(column))
+    return df.agg(F.min(value).alias("min_value"), F.max(value).alias("max_value"), F.count_if(absent).alias("nulls"))
 
 
 def expect(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
@@ -42,3 +49,11 @@ def key_profile(df: DataFrame, key: str) -> DataFrame:
         F.count_distinct(F.col(key)).alias("distinct_keys"),
         F.count_if(F.col(key).isNull()).alias("null_keys"),
     )
+
+
+def key_violations(df: DataFrame, key: str) -> DataFrame:
+    """(violation, keys, rows): how many keys are null or repeated, and how many rows carry such keys."""
+    held = df.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    kind = F.when(F.col("key").isNull(), "null").when(F.col("n") > 1, "repeated")
+    broken = held.select(kind.alias("violation"), "n").filter(F.col("violation").isNotNull())
+    return broken.groupBy("violation").agg(F.count(F.lit(1)).alias("keys"), F.sum("n").alias("rows"))

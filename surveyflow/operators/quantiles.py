@@ -3,9 +3,9 @@
 The built-in exact ``percentile`` ships a map of all distinct values from every task to one task per group. Here the
 values are first counted by (group, measure, value) — partial aggregation leaves each task one row per distinct value
 and the shuffle is spread over the values — and ranks are found in that histogram in two levels: approximate quantiles
-of the distinct values cut each measure into a fixed number of ranges, the (small) table of range counts tells which
-ranges hold the wanted ranks, and only those ranges are put in order. No task ever holds a whole group, and the
-approximate cut points affect only the balance, never the result.
+of the distinct values cut each measure into 4,096 ranges, the (small) table of range counts tells which ranges hold the
+wanted ranks, and only those ranges are put in order. No task ever holds a whole group, and the approximate cut points
+affect only the balance, never the result.
 """
 
 from __future__ import annotations
@@ -15,9 +15,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-STEP = 16
-RANGES = STEP * STEP
-RANGE_ACCURACY = 16 * RANGES
+# What is put in order at the end is the share of a range among the distinct values. A power of two.
+RANGES = 4096
+RANGE_ACCURACY = 4 * RANGES
 
 
 def value_histogram(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -52,16 +52,35 @@ def _ranged(histogram: DataFrame, keys: Sequence[str], small: bool) -> DataFrame
     cuts = histogram.groupBy(*keys).agg(
         F.sum("n").alias("total"), F.percentile_approx("value", steps, F.lit(RANGE_ACCURACY)).alias("cuts")
     )
-    coarse = F.expr(f"transform(sequence({STEP}, {RANGES - STEP}, {STEP}), i -> cuts[i - 1])")
-    # A range is the number of cuts below the value: every STEP-th cut first, then the STEP - 1 cuts that follow.
-    block = f"{STEP} * size(filter(coarse, cut -> cut < value))"
-    return _on(histogram, cuts.withColumn("coarse", coarse), keys, small).select(
-        *keys,
-        "value",
-        "n",
-        "total",
-        F.expr(f"{block} + size(filter(slice(cuts, {block} + 1, {STEP - 1}), cut -> cut < value))").alias("range"),
-    )
+    placed = _on(histogram, cuts, keys, small).withColumn("range", F.lit(0))
+    step = RANGES // 2
+    while step:  # a range is the number of cuts below the value, found by halving
+        below = F.get("cuts", F.col("range") + (step - 1)) < F.col("value")
+        placed = placed.withColumn("range", F.col("range") + F.when(below, step).otherwise(0))
+        step //= 2
+    return placed.select(*keys, "value", "n", "total", "range")
+
+
+def _hit(ranged: DataFrame, keys: Sequence[str], probabilities: dict[str, float], small: bool) -> DataFrame:
+    """The rows of the ranges that hold a wanted rank, with what stands before their range.
+
+    Range counts are at most RANGES rows per key, so the running sum over a key is a small window.
+    """
+    counted = ranged.groupBy(*keys, "range").agg(F.sum("n").alias("held"), F.max("total").alias("all"))
+    upto = F.sum("held").over(Window.partitionBy(*keys).orderBy("range"))
+    ranks = [rank(_position(p, F.col("all"))) for p in probabilities.values() for rank in (F.floor, F.ceil)]
+    inside = [(r >= F.col("ahead")) & (r < F.col("ahead") + F.col("held")) for r in ranks]
+    wanted = inside[0]
+    for condition in inside[1:]:
+        wanted = wanted | condition
+    hits = counted.withColumn("ahead", upto - F.col("held")).filter(wanted).select(*keys, "range", "ahead")
+    return _on(ranged, hits, [*keys, "range"], small)
+
+
+def declared(column: str, values: Sequence[str]) -> Column:
+    """The column, if it has one of the declared values; anything else fails the job."""
+    other = F.raise_error(F.concat(F.lit(f"{column} has an undeclared value: "), F.col(column).cast("string")))
+    return F.when(F.col(column).isNull() | F.col(column).isin(list(values)), F.col(column)).otherwise(other)
 
 
 def quantiles_of(
@@ -69,25 +88,13 @@ def quantiles_of(
 ) -> DataFrame:
     """(by..., measure, total, one column per probability) from a value histogram.
 
-    ``closed=True`` promises that the grouping columns only take values of a declared list.
+    ``closed=True`` says that the grouping columns only have values of a declared list, which the caller has verified.
     """
     keys, small = [*by, "measure"], closed or not by
     ranged = _ranged(histogram, keys, small)
-
-    # Range counts: at most RANGES rows per key, so the running sum over a key is a small window.
-    counted = ranged.groupBy(*keys, "range").agg(F.sum("n").alias("held"), F.max("total").alias("all"))
-    upto = F.sum("held").over(Window.partitionBy(*keys).orderBy("range"))
-    wanted = [
-        rank(_position(p, F.col("all"))) for p in probabilities.values() for rank in (F.floor, F.ceil)
-    ]
-    hits = (
-        counted.withColumn("before", upto - F.col("held"))
-        .filter(F.exists(F.array(*wanted), lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("held"))))
-        .select(*keys, "range", "before")
-    )
-
+    hit = _hit(ranged, keys, probabilities, small)
     within = Window.partitionBy(*keys, "range").orderBy("value")
-    ranked = _on(ranged, hits, [*keys, "range"], small).withColumn("upto", F.col("before") + F.sum("n").over(within))
+    ranked = hit.withColumn("upto", F.col("ahead") + F.sum("n").over(within))
     bounds = []
     for name, p in probabilities.items():
         position = _position(p, F.col("total"))
@@ -115,15 +122,22 @@ def column_medians(df: DataFrame, columns: Sequence[str], approx: bool = False)
     return quantiles_of(value_histogram(df, columns), {"median": 0.5}).select("measure", "median")
 
 
-def box_stats(df: DataFrame, measure: str, by: str, closed: bool = False) -> DataFrame:
+def _grouped(df: DataFrame, by: str, closed: Sequence[str] | None) -> DataFrame:
+    known = df.filter(F.col(by).isNotNull())
+    return known.withColumn(by, declared(by, closed)) if closed else known
+
+
+def box_stats(df: DataFrame, measure: str, by: str, closed: Sequence[str] | None = None) -> DataFrame:
     """Quartiles, whiskers and number of outliers per group, all from one histogram of the measure.
 
+    ``closed`` is the declared list of groups, verified row by row, so that per-group rows may be broadcast.
+
     A whisker ends at the most extreme value within 1.5 IQR of its quartile, or at the quartile when there is none.
     """
-    histogram = value_histogram(df.filter(F.col(by).isNotNull()), [measure], [by])
-    fences = _fences(histogram, by, closed)
+    histogram = value_histogram(_grouped(df, by, closed), [measure], [by])
+    fences = _fences(histogram, by, bool(closed))
     value, inside = F.col("value"), F.col("value").between(F.col("low_fence"), F.col("high_fence"))
-    found = _on(histogram, fences, [by, "measure"], closed).groupBy(by, "q1", "median", "q3").agg(
+    found = _on(histogram, fences, [by, "measure"], bool(closed)).groupBy(by, "q1", "median", "q3").agg(
         F.sum("n").alias("n"),
         F.min(F.when(value >= F.col("low_fence"), value)).alias("lowest"),
         F.max(F.when(value <= F.col("high_fence"), value)).alias("highest"),
@@ -141,13 +155,14 @@ def box_stats(df: DataFrame, measure: str, by: str, closed: bool = False) -> Dat
     )
 
 
-def box_outliers(df: DataFrame, measure: str, by: str, closed: bool = False) -> DataFrame:
+def box_outliers(df: DataFrame, measure: str, by: str, closed: Sequence[str] | None = None) -> DataFrame:
     """The rows beyond the fences of their group."""
-    grouped = df.filter(F.col(by).isNotNull())
-    fences = _fences(value_histogram(grouped, [measure], [by]), by, closed).select(by, "low_fence", "high_fence")
+    grouped = _grouped(df, by, closed)
+    fences = _fences(value_histogram(grouped, [measure], [by]), by, bool(closed)).select(by, "low_fence", "high_fence")
     value = F.col(measure)
-    beyond = (value < F.col("low_fence")) | (value > F.col("high_fence"))
-    return _on(grouped, fences, [by], closed).filter(beyond).drop("low_fence", "high_fence")
+    beyond = (value < F.col("low_fence")) | (value > F.col("high_fence"))  # NaN is a missing value, not a large one
+    present = ~F.isnan(value.cast("double"))
+    return _on(grouped, fences, [by], bool(closed)).filter(present & beyond).drop("low_fence", "high_fence")
 
 
 def _fences(histogram: DataFrame, by: str, closed: bool) -> DataFrame:

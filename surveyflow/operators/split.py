@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from surveyflow.operators.quantiles import declared
+
 IS_TEST = "is_test"
 DIGITS = 3  # hexadecimal, so 4,096 buckets per level
 
@@ -38,7 +41,8 @@ def class_quotas(sizes: DataFrame, label: str, test_size: Fraction) -> DataFrame
 
 
 def stratified_split(
-    df: DataFrame, key: str, label: str, test_size: Fraction = Fraction(1, 5), seed: int = 42, closed: bool = False
+    df: DataFrame, key: str, label: str, test_size: Fraction = Fraction(1, 5), seed: int = 42,
+    closed: Sequence[str] | None = None,
 ) -> DataFrame:
     """Adds ``is_test``: in each class the rows with the smallest ``md5(seed:key)``, up to the class's quota.
 
@@ -46,12 +50,13 @@ def stratified_split(
     counts give the one bucket per class in which the quota runs out. Its rows, one in 4,096, are cut and counted once
     more by the next digits, and only the rows of that second bucket are ranked. What comes back is one threshold row
     per class, so the split itself is a comparison in place: nothing but counts and the rows of one bucket is shuffled,
-    and the join is to as many rows as there are classes. ``closed=True`` promises that the label only takes values of
-    a declared list, so that those rows may be broadcast.
+    and the join is to as many rows as there are classes. ``closed`` is the declared list of classes, verified row by
+    row, so that those rows may be broadcast. A null key or label fails the job, and so do repeated keys where they
+    would break a quota: they have one hash, so they stand side by side at the threshold.
     """
     small = F.broadcast if closed else lambda side: side
     hashed = df.select(
-        F.col(label).alias("__label"),
+        (declared(label, closed) if closed else F.col(label)).alias("__label"),
         F.col(key).alias("__key"),
         F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))).alias("__hash"),
     )
@@ -73,19 +78,22 @@ def stratified_split(
     counts = finer.groupBy("__label", "bucket").agg(F.count("__key").alias("held"), F.max("n_test").alias("n_test"))
     second = _running_out(counts.withColumnRenamed("__label", "quota_label"))
 
-    place = F.row_number().over(Window.partitionBy("__label").orderBy("__hash", "__key"))
+    order = Window.partitionBy("__label").orderBy("__hash", "__key")
+    place, following = F.row_number().over(order), F.lead("__key").over(order)
+    repeated = F.raise_error(F.concat(F.lit("a quota ends within repeated keys: "), F.col("__key").cast("string")))
+    last_key = F.when(F.col("following") == F.col("__key"), repeated.cast(df.schema[key].dataType)).otherwise(F.col("__key"))
     thresholds = (
         _in_bucket(finer, small(second))
-        .withColumn("place", place)
+        .withColumns({"place": place, "following": following})
         .filter(F.col("place") == F.col("n_test") - F.col("before"))
-        .select("quota_label", F.col("__hash").alias("last_hash"), F.col("__key").alias("last_key"))
+        .select("quota_label", F.col("__hash").alias("last_hash"), last_key.alias("last_key"))
     )
 
     row_hash = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
     below = (row_hash < F.col("last_hash")) | ((row_hash == F.col("last_hash")) & (F.col(key) <= F.col("last_key")))
-    return df.join(small(thresholds), F.col(label) == F.col("quota_label"), "left").select(
-        *df.columns, F.coalesce(below, F.lit(False)).alias(IS_TEST)
-    )
+    unsound = F.raise_error(F.lit(f"null {key} or {label}")).cast("boolean")
+    is_test = F.when(F.col(key).isNull() | F.col(label).isNull(), unsound).otherwise(F.coalesce(below, F.lit(False)))
+    return df.join(small(thresholds), F.col(label) == F.col("quota_label"), "left").select(*df.columns, is_test.alias(IS_TEST))
 
 
 def _digits(start: int) -> Column:

@@ -55,11 +55,14 @@ def with_percent(counts: DataFrame, count: str) -> DataFrame:
 def crosstab_percent(df: DataFrame, row: str, column: str, values: Sequence[str]) -> DataFrame:
     """Row-normalised contingency table x100; empty cells are 0, rows without a group are left out.
 
-    The column values are given, which spares the pass that would look for them.
+    The column values are given, which spares the pass that would look for them. Other values have no column but stay
+    in the denominator; nulls do not.
     """
-    cells = df.filter(F.col(row).isNotNull()).groupBy(row).pivot(column, list(values)).count().na.fill(0)
-    total = sum((F.col(v) for v in values[1:]), F.col(values[0]))
-    return cells.select(row, *[(F.col(v) / total * 100).alias(v) for v in values])
+    counts = df.filter(F.col(row).isNotNull()).groupBy(row).agg(
+        F.count(column).alias("__all"), *[F.count_if(F.col(column) == v).alias(v) for v in values]
+    )
+    share = lambda v: F.coalesce(F.try_divide(F.col(v), F.col("__all")), F.lit(0.0)) * 100
+    return counts.select(row, *[share(v).alias(v) for v in values])
 
 
 def top_means(df: DataFrame, columns: Sequence[str], k: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveyflow.functions import display_or_self
+from surveyflow.functions import display_or_self, ordinal
 from surveyflow.operators import evaluate, forest, quantiles, stats
 from surveyflow.operators.score import AGE_GROUP, SEVERITY_LABEL, SEVERITY_ORD, add_age_group, add_severity_label
 from surveyflow.operators.score import add_severity_ordinal
@@ -30,19 +30,20 @@ def age_severity(gold: DataFrame, spec: SurveySpec) -> DataFrame:
     """Share of each class within each age group."""
     table = stats.crosstab_percent(add_age_group(gold, spec), AGE_GROUP, spec.severity, spec.severity_order)
     shown = [F.col(c).alias(spec.severity_display[c]) for c in spec.severity_order]
-    return table.select(AGE_GROUP, *shown).orderBy(AGE_GROUP)
+    return table.select(AGE_GROUP, *shown).orderBy(ordinal(AGE_GROUP, spec.age_labels))
 
 
 def severity_box(gold: DataFrame, spec: SurveySpec, measure: str) -> DataFrame:
     """Box-plot statistics of a measure per class, in clinical order."""
-    boxes = add_severity_label(add_severity_ordinal(quantiles.box_stats(gold, measure, spec.severity, closed=True), spec), spec)
+    boxes = add_severity_label(add_severity_ordinal(quantiles.box_stats(gold, measure, spec.severity, closed=spec.severity_order), spec), spec)
     rest = [c for c in boxes.columns if c not in (spec.severity, SEVERITY_LABEL, SEVERITY_ORD)]
     return boxes.orderBy(SEVERITY_ORD).select(SEVERITY_LABEL, SEVERITY_ORD, *rest)
 
 
 def age_box(gold: DataFrame, spec: SurveySpec, measure: str) -> DataFrame:
     """Box-plot statistics of a measure per age group."""
-    return quantiles.box_stats(add_age_group(gold, spec), measure, AGE_GROUP, closed=True).orderBy(AGE_GROUP)
+    boxes = quantiles.box_stats(add_age_group(gold, spec), measure, AGE_GROUP, closed=spec.age_labels)
+    return boxes.orderBy(ordinal(AGE_GROUP, spec.age_labels))
 
 
 def confusion(predicted: DataFrame, spec: SurveySpec, label: str, prediction: str) -> DataFrame:

@@ -127,6 +127,20 @@ _GUESS = (
     "FROM gold)",
     "cells AS (SELECT label, prediction, count(*) AS n FROM guesses GROUP BY 1, 2)",
 )
+_STUMP = (
+    f"features AS (SELECT respondent_id, '{SPEC.items[0]}' AS f, {SPEC.items[0]} AS v FROM gold UNION ALL "
+    f"SELECT respondent_id, '{SPEC.age}', {SPEC.age} FROM gold)",
+    "learned AS (SELECT f, v, Depression_Severity AS sev FROM features JOIN split USING (respondent_id) WHERE NOT is_test)",
+    "cuts AS (SELECT f, (v + lead(v) OVER (PARTITION BY f ORDER BY v)) / 2 AS cut FROM (SELECT DISTINCT f, v FROM learned))",
+    "sides AS (SELECT f, cut, v <= cut AS below, sev, count(*) AS n FROM cuts JOIN learned USING (f) "
+    "WHERE cut IS NOT NULL GROUP BY ALL)",
+    "nodes AS (SELECT f, cut, below, sum(n) AS m, 1 - sum(n * n) / (sum(n) * sum(n)) AS gini, "
+    "(list(sev ORDER BY n DESC, sev))[1] AS majority FROM sides GROUP BY ALL)",
+    "best AS (SELECT f, cut FROM nodes GROUP BY f, cut ORDER BY sum(m * gini) / sum(m) LIMIT 1)",
+    "stump AS (SELECT s.respondent_id, s.Depression_Severity, n.majority AS predicted_class FROM split s "
+    "JOIN features x USING (respondent_id) JOIN best b ON x.f = b.f "
+    "JOIN nodes n ON n.f = b.f AND n.cut = b.cut AND n.below = (x.v <= b.cut) WHERE s.is_test)",
+)
 _REPORT = (
     *_GUESS,
     "classes AS (SELECT label AS class FROM cells UNION SELECT prediction FROM cells)",
@@ -246,6 +260,17 @@ def oracle_statements() -> dict[str, str]:
             + ") ORDER BY mean_value DESC, item LIMIT 10"
         ),
         "category_dictionary": _sql('SELECT "column", "value", idx FROM dictionary', *_DICTIONARY),
+        "box_outliers_nan": _sql(
+            "SELECT respondent_id, age_group, MinutesSedentaryActivity FROM grouped JOIN quartiles ON age_group = g "
+            "WHERE MinutesSedentaryActivity < q1 - 1.5 * (q3 - q1) OR MinutesSedentaryActivity > q3 + 1.5 * (q3 - q1)",
+            f"grouped AS (SELECT respondent_id, MinutesSedentaryActivity, {_AGE} AS age_group FROM survey)",
+            _box("age_group", "MinutesSedentaryActivity")[0].replace("FROM gold", "FROM grouped"),
+        ),
+        "key_violations": (
+            "WITH held AS (SELECT CASE WHEN o_custkey % 11 <> 0 THEN o_custkey END AS k, count(*) AS n FROM orders GROUP BY 1) "
+            "SELECT CASE WHEN k IS NULL THEN 'null' ELSE 'repeated' END AS violation, count(*) AS keys, "
+            'CAST(sum(n) AS BIGINT) AS "rows" FROM held WHERE k IS NULL OR n > 1 GROUP BY 1'
+        ),
         "encode_categoricals": _sql(f"SELECT respondent_id, {_list(SPEC.categorical, _INDEX)} FROM gold"),
         "encode_label": _sql(f"SELECT respondent_id, Depression_Severity, {_CLASS_INDEX} AS label FROM gold"),
         "decode_label": _sql(
@@ -254,6 +279,11 @@ def oracle_statements() -> dict[str, str]:
         "impute_median": _sql(
             f"SELECT respondent_id, {_list(SPEC.numeric, 'coalesce({c}, m_{c}) AS {c}')} FROM gold, medians", *_MEDIANS
         ),
+        "impute_median_int": _sql(
+            f"SELECT respondent_id, coalesce(x, m) AS {SPEC.numeric[0]} FROM halves, (SELECT median(x) AS m FROM halves)",
+            "halves AS (SELECT respondent_id, CAST(CASE WHEN respondent_id % 5 <> 0 THEN respondent_id % 2 * 3 END AS DOUBLE) "
+            "AS x FROM gold)",
+        ),
         "assemble_features": _sql(
             f"SELECT respondent_id, {_CLASS_INDEX} AS label, "
             + ", ".join(
@@ -276,6 +306,50 @@ def oracle_statements() -> dict[str, str]:
             "SELECT count(*) AS rows_scored, count(*) AS rows_equal FROM split WHERE is_test", *_SPLIT
         ),
         "rf_scored_rows": _sql("SELECT respondent_id, Depression_Severity, true AS has_class FROM split WHERE is_test", *_SPLIT),
+        "rf_confusion_margins": _sql(
+            "SELECT axis.label AS label, count(s.respondent_id) AS test_rows FROM axis LEFT JOIN "
+            "(SELECT * FROM split WHERE is_test) s ON axis.label = s.Depression_Severity GROUP BY 1",
+            *_SPLIT,
+            _AXIS,
+        ),
+        "rf_importance_profile": (
+            f"SELECT CAST({len(SPEC.features)} AS BIGINT) AS features, CAST(0 AS BIGINT) AS negative, "
+            "CAST(1 AS DOUBLE) AS total, CAST(10 AS INTEGER) AS listed"
+        ),
+        "rf_metric_identity": "SELECT true AS recall_is_accuracy",
+        "stump_predictions": _sql(
+            "SELECT respondent_id, Depression_Severity, predicted_class FROM stump", *_SPLIT, *_STUMP
+        ),
+        "stump_importances": _sql(
+            f"SELECT f AS feature, CAST(f = (SELECT f FROM best) AS DOUBLE) AS importance FROM (SELECT DISTINCT f FROM features)",
+            *_SPLIT,
+            *_STUMP,
+        ),
+        "stump_confusion": _sql(
+            "SELECT axis.label AS label, "
+            + ", ".join(f"count(CASE WHEN predicted_class = '{c}' THEN 1 END) AS {c}" for c in _CLASSES)
+            + " FROM axis LEFT JOIN stump ON axis.label = Depression_Severity GROUP BY axis.label",
+            *_SPLIT,
+            *_STUMP,
+            _AXIS,
+        ),
+        "confusion_other": _sql(
+            "SELECT axis.label AS label, "
+            + ", ".join(f"count(CASE WHEN prediction = '{c}' THEN 1 END) AS {c}" for c in [*_CLASSES, "other"])
+            + " FROM (SELECT label FROM axis UNION ALL SELECT 'other') axis LEFT JOIN others ON axis.label = others.label "
+            "GROUP BY axis.label",
+            f"others AS (SELECT Depression_Severity AS label, CASE WHEN {SPEC.items[2]} > 1 THEN 'other' ELSE "
+            f"{_class('4 * (' + ' + '.join(SPEC.items[:2]) + ')')} END AS prediction FROM gold)",
+            _AXIS,
+        ),
+        "crosstab_other": _sql(
+            "SELECT age_group, "
+            + ", ".join(
+                f"CAST(count(CASE WHEN Depression_Severity = '{c}' THEN 1 END) AS DOUBLE) / count(*) * 100 AS {c}"
+                for c in SPEC.severity_order[:-1]
+            )
+            + " FROM gold WHERE age_group IS NOT NULL GROUP BY 1"
+        ),
         "confusion_cells": _sql("SELECT label, prediction, n FROM cells", *_GUESS),
         "confusion_matrix": _sql(
             "SELECT axis.label AS label, "

@@ -1,13 +1,16 @@
 """Every operator as a query over a data directory.
 
-All of them read the bronze table, which is derived from the ``orders`` of the directory once per session, the way
-the stages of a production run read the table the stage before them wrote. It covers all rows.
+Most read the bronze table, which is derived from the ``orders`` of the directory once per session, the way the stages
+of a production run read the table the stage before them wrote. It covers all rows. What is kept between queries is
+keyed by the listing of the files it comes from, so changed files are read anew, and ``STORE.clear()`` drops it.
 """
 
 from __future__ import annotations
 
+import dataclasses
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import partial
 
 from pyspark.ml.functions import vector_to_array
@@ -20,28 +23,37 @@ from surveyflow.plans import charts, medallion, stages
 from surveyflow.sources.orders_survey import survey
 from surveyflow.sources.readers import normalize_missing, read_survey_tsv, survey_schema, write_survey_tsv
 from surveyflow.sources.scratch import materialize, scratch_path
-from surveyflow.sources.tables import ensure_database, read_table, write_table
+from surveyflow.sources.tables import ensure_database, listing, read_table, write_table
 from surveyflow.spec import default_spec
 
 SPEC = default_spec()
 EXTRA = ("o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
 METRIC_DIGITS = 12
 
-_bronze: dict[tuple[str, str], DataFrame] = {}
-_fitted: dict[tuple[str, str], forest.FittedForest] = {}
 
+class Store:
+    """Bronze tables and fitted models of a session, by purpose, directory and state of its files."""
 
-def _once(cache: dict, spark: SparkSession, sf_dir: str, build: Callable):
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in cache:
-        cache[key] = build()
-    return cache[key]
+    def __init__(self):
+        self.held: dict[tuple, object] = {}
+
+    def once(self, spark: SparkSession, sf_dir: str, purpose: str, build: Callable):
+        key = (spark.sparkContext.applicationId, purpose, sf_dir, listing(spark, f"{sf_dir}/orders.parquet"))
+        if key not in self.held:
+            self.held[key] = build()
+        return self.held[key]
+
+    def clear(self) -> None:
+        self.held.clear()
+
+
+STORE = Store()
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide raw survey (key, 37 survey columns, further order columns) as a columnar table."""
-    return _once(
-        _bronze, spark, sf_dir, lambda: materialize(stages.bronze(survey(spark, sf_dir, EXTRA), SPEC), "bronze")
+    return STORE.once(
+        spark, sf_dir, "bronze", lambda: materialize(stages.bronze(survey(spark, sf_dir, EXTRA), SPEC), "bronze")
     )
 
 
@@ -55,17 +67,22 @@ def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fitted(spark: SparkSession, sf_dir: str) -> forest.FittedForest:
     """The trained model; figures reuse it instead of fitting again."""
-    return _once(_fitted, spark, sf_dir, lambda: forest.train_forest(gold(spark, sf_dir), SPEC))
+    return STORE.once(spark, sf_dir, "forest", lambda: forest.train_forest(gold(spark, sf_dir), SPEC))
 
 
-def _database(spark: SparkSession) -> str:
+@contextmanager
+def _database(spark: SparkSession) -> Iterator[str]:
+    """A database for one query; what the query returns must be stored elsewhere before it goes."""
     name = f"surveyflow_{uuid.uuid4().hex[:12]}"
     ensure_database(spark, name, scratch_path(spark, "tables"))
-    return name
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
 
 
 def _split(df: DataFrame) -> DataFrame:
-    return split.stratified_split(df, SPEC.key, SPEC.severity, SPEC.test_size, SPEC.seed, closed=True)
+    return split.stratified_split(df, SPEC.key, SPEC.severity, SPEC.test_size, SPEC.seed, closed=SPEC.severity_classes)
 
 
 def _columns(df: DataFrame, *names: str) -> DataFrame:
@@ -86,6 +103,12 @@ def respondent_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.key_profile(bronze(spark, sf_dir), SPEC.key)
 
 
+def key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null and repeated keys of the orders, keyed by customer with every eleventh customer unknown."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return quality.key_violations(orders.select(F.when(F.col("o_custkey") % 11 != 0, F.col("o_custkey")).alias("key")), "key")
+
+
 def with_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The survey as a numeric library hands it over: NaN where a measure is missing."""
     raw = clean.select_relevant(bronze(spark, sf_dir), SPEC)
@@ -98,33 +121,35 @@ def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_stage_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = f"{_database(spark)}.silver_survey"
-    write_table(silver(spark, sf_dir), table, replace_schema=True)
-    return _columns(read_table(spark, table), SPEC.age, SPEC.score)
+    with _database(spark) as database:
+        write_table(silver(spark, sf_dir), f"{database}.silver_survey", replace_schema=True)
+        return materialize(_columns(read_table(spark, f"{database}.silver_survey"), SPEC.age, SPEC.score), "read-back")
 
 
 def write_bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = f"{_database(spark)}.bronze_survey"
-    write_table(bronze(spark, sf_dir), table)
-    return clean.select_relevant(read_table(spark, table), SPEC)
+    with _database(spark) as database:
+        write_table(bronze(spark, sf_dir), f"{database}.bronze_survey")
+        return materialize(clean.select_relevant(read_table(spark, f"{database}.bronze_survey"), SPEC), "read-back")
 
 
 def write_gold_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = f"{_database(spark)}.gold_survey"
-    write_table(gold(spark, sf_dir), table, replace_schema=True)
-    return read_table(spark, table)
+    with _database(spark) as database:
+        write_table(gold(spark, sf_dir), f"{database}.gold_survey", replace_schema=True)
+        return materialize(read_table(spark, f"{database}.gold_survey"), "read-back")
 
 
 def stage_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(stage, rows, columns) as observed while the whole chain of tables was written."""
-    run = medallion.run_tables(spark, bronze(spark, sf_dir), _database(spark), SPEC)
+    with _database(spark) as database:
+        run = medallion.run_tables(spark, bronze(spark, sf_dir), database, SPEC)
     rows = [(stage, run.rows[stage], run.columns[stage]) for stage in run.rows]
     return spark.createDataFrame(rows, "stage string, rows bigint, columns int")
 
 
 def stored_severity_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = medallion.run_tables(spark, bronze(spark, sf_dir), _database(spark), SPEC)
-    return read_table(spark, run.stats_table)
+    with _database(spark) as database:
+        run = medallion.run_tables(spark, bronze(spark, sf_dir), database, SPEC)
+        return materialize(read_table(spark, run.stats_table), "read-back")
 
 
 def stage_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,7 +256,14 @@ def column_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def box_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = score.add_age_group(gold(spark, sf_dir), SPEC).select(SPEC.key, score.AGE_GROUP, SPEC.score)
-    return quantiles.box_outliers(grouped, SPEC.score, score.AGE_GROUP, closed=True)
+    return quantiles.box_outliers(grouped, SPEC.score, score.AGE_GROUP, closed=SPEC.age_labels)
+
+
+def box_outliers_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outliers of a measure with NaN for missing values, which are no outliers."""
+    measure = "MinutesSedentaryActivity"
+    grouped = score.add_age_group(with_nan(spark, sf_dir), SPEC).select(SPEC.key, score.AGE_GROUP, measure)
+    return quantiles.box_outliers(grouped, measure, score.AGE_GROUP, closed=SPEC.age_labels)
 
 
 def top_items_by_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,10 +298,19 @@ def impute_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.impute_medians(_columns(gold(spark, sf_dir), *SPEC.numeric), SPEC.numeric)
 
 
+def impute_median_int(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An integer measure whose median may lie between two integers."""
+    column = SPEC.numeric[0]
+    half = F.when(F.col(SPEC.key) % 5 != 0, F.col(SPEC.key) % 2 * 3).cast("int")
+    return encode.impute_medians(gold(spark, sf_dir).select(SPEC.key, half.alias(column)), [column])
+
+
 def assemble_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature vector, one column per position so that the order can be compared."""
     df = gold(spark, sf_dir)
-    for stage in forest.fit_preparation(df, SPEC):
+    indexer, stages_after = forest.fit_preparation(df, SPEC)
+    df = indexer.transform(df)
+    for stage in stages_after:
         df = stage.transform(df)
     vector = df.select(SPEC.key, SPEC.label, vector_to_array("features").alias("v"))
     parts = [F.get("v", F.lit(i)).alias(f"f_{i:02d}") for i in range(len(SPEC.features))]
@@ -284,6 +325,53 @@ def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.split_counts(stratified_split(spark, sf_dir), SPEC.severity)
 
 
+def stump(spark: SparkSession, sf_dir: str) -> forest.FittedForest:
+    """One tree of one cut over two features, on all rows and features: a forest that SQL can compute as well."""
+    item = SPEC.items[0]
+    spec = dataclasses.replace(
+        SPEC, columns=(item, SPEC.age), items=(), auxiliary=(), categorical=(), trees=1, depth=1, bootstrap=False,
+        features_per_node="all",
+    )
+    rows = gold(spark, sf_dir).select(SPEC.key, SPEC.severity, item, SPEC.age)
+    return STORE.once(spark, sf_dir, "stump", lambda: forest.train_forest(rows, spec))
+
+
+def stump_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stump(spark, sf_dir).predictions()
+
+
+def stump_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.top_features(forest.importances(stump(spark, sf_dir), spark))
+
+
+def stump_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = evaluate.confusion_counts(stump_predictions(spark, sf_dir), SPEC.severity, forest.PREDICTED_CLASS)
+    return evaluate.confusion_matrix(counts, SPEC.severity_classes)
+
+
+def rf_confusion_margins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many test rows of each class the forest's confusion matrix holds."""
+    matrix = evaluate.confusion_matrix(_forest_counts(spark, sf_dir), SPEC.severity_classes)
+    held = sum((F.col(c) for c in SPEC.severity_classes[1:]), F.col(SPEC.severity_classes[0]))
+    return matrix.select("label", held.alias("test_rows"))
+
+
+def rf_importance_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = forest.importances(fitted(spark, sf_dir), spark)
+    listed = forest.top_features(scores).agg(F.count(F.lit(1)).alias("listed"))
+    profile = scores.agg(
+        F.count(F.lit(1)).alias("features"), F.count_if(F.col("importance") < 0).alias("negative"),
+        F.round(F.sum("importance"), 9).alias("total"),
+    )
+    return profile.withColumn("listed", F.lit(listed.first()[0]))
+
+
+def rf_metric_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Support-weighted recall is accuracy, for any predictor."""
+    metrics = rf_metrics(spark, sf_dir)
+    return metrics.select((F.round("recall", 12) == F.round("accuracy", 12)).alias("recall_is_accuracy"))
+
+
 def rf_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fitted(spark, sf_dir).predictions()
 
@@ -325,6 +413,22 @@ def rule_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold(spark, sf_dir).select(SPEC.severity, guess.alias("guess"))
 
 
+def confusion_other(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A predictor with a class of its own: its rows stay in the matrix."""
+    extra = F.when(F.col(SPEC.items[2]) > 1, F.lit("Altele")).otherwise(
+        ladder(4 * row_sum(SPEC.items[:2]), SPEC.cuts, SPEC.top)
+    )
+    guessed = gold(spark, sf_dir).select(SPEC.severity, extra.alias("guess"))
+    counts = evaluate.confusion_counts(guessed, SPEC.severity, "guess")
+    return evaluate.confusion_matrix(counts, SPEC.severity_classes, other="other")
+
+
+def crosstab_other(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares of the milder classes per age group; the worst class has no column but stays in the denominator."""
+    grouped = score.add_age_group(gold(spark, sf_dir), SPEC)
+    return stats.crosstab_percent(grouped, score.AGE_GROUP, SPEC.severity, SPEC.severity_order[:-1])
+
+
 def _rule_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.confusion_counts(rule_predictions(spark, sf_dir), SPEC.severity, "guess")
 
@@ -373,6 +477,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     plain = [
         load_survey,
         respondent_key,
+        key_violations,
         scan_stage_table,
         write_bronze_roundtrip,
         write_gold_roundtrip,
@@ -398,20 +503,30 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         label_distribution,
         column_medians,
         box_outliers,
+        box_outliers_nan,
         top_items_by_mean,
         category_dictionary,
         encode_categoricals,
         encode_label,
         decode_label,
         impute_median,
+        impute_median_int,
         assemble_features,
         stratified_split,
         split_counts,
         confusion_cells,
         confusion_matrix,
+        confusion_other,
+        crosstab_other,
         class_report,
         eval_metrics,
         chart_confusion_rule,
+        stump_predictions,
+        stump_importances,
+        stump_confusion,
+        rf_confusion_margins,
+        rf_importance_profile,
+        rf_metric_identity,
         rf_predictions,
         rf_scored_rows,
         rf_metrics,

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from surveyflow.sources.readers import spread
 from surveyflow.spec import COLUMNS
 
 # --- Fixed values of the test-data definition ----------------------------------------------------------------------
@@ -110,6 +109,6 @@ def survey_select() -> str:
 
 def survey(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
     """The wide raw survey of a data directory; ``extra`` order columns are appended unchanged."""
-    orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet"), "o_orderkey")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     return orders.selectExpr(*[f"{e} AS {c}" for c, e in survey_expressions().items()], *extra)
 

@@ -58,15 +58,6 @@ def write_survey_tsv(df: DataFrame, root: str, cycle: str) -> None:
     df.write.mode("overwrite").option("sep", "\t").option("header", True).option("nullValue", "").csv(f"{root}/{cycle}")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores on an input that has fewer splits than the cluster has cores (one small or unsplittable file).
-
-    Inputs with enough splits, which is every large one, are left where they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def require_key(df: DataFrame, key: str) -> DataFrame:
     """A survey without a respondent key is refused: row numbers would change with every read."""
     if key not in df.columns:

@@ -11,7 +11,14 @@ def ensure_database(spark: SparkSession, database: str, location: str | None = N
 
 
 def write_table(df: DataFrame, table: str, fmt: str = "parquet", replace_schema: bool = False) -> None:
-    """Replace a managed table. ``fmt="delta"`` works wherever the session carries that package."""
+    """Replace a managed table. ``fmt="delta"`` works wherever the session carries that package.
+
+    Without ``replace_schema`` a table that exists keeps its column names and types, and other rows are refused.
+    """
+    if not replace_schema and df.sparkSession.catalog.tableExists(table):
+        old, new = ([(f.name, f.dataType) for f in x.schema.fields] for x in (df.sparkSession.table(table), df))
+        if old != new:
+            raise ValueError(f"the schema of {table} would change: {sorted(map(str, {*map(str, old)} ^ {*map(str, new)}))}")
     writer = df.write.format(fmt).mode("overwrite")
     if replace_schema and fmt == "delta":
         writer = writer.option("overwriteSchema", "true")
@@ -20,3 +27,14 @@ def write_table(df: DataFrame, table: str, fmt: str = "parquet", replace_schema:
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)
+
+
+def listing(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
+    """Name, size and time of every file below a path: what tells whether a table has changed."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(root, True)
+    found = []
+    while files.hasNext():
+        status = files.next()
+        found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return tuple(sorted(found))

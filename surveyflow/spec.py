@@ -176,7 +176,11 @@ class SurveySpec:
     seed: int = 42
     trees: int = 50
     depth: int = 8
+    #: Also bounds the rows (max_bins squared, 10,000 at least) among which the library looks for a feature's cut points;
+    #: the counts behind each cut cover all training rows.
     max_bins: int = 128
+    bootstrap: bool = True
+    features_per_node: str = "auto"
     extra_excluded: tuple[str, ...] = field(default=())
 
     @property

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 import pytest
 from pyspark.sql import functions as F
 
 from surveyflow.functions import display, display_or_self, ladder, ordinal, right_closed_bin
 from surveyflow.operators import clean, encode, evaluate, quality, quantiles, score, stats
-from surveyflow.plans import stages
+from surveyflow.plans import charts, stages
 from surveyflow.sources.readers import normalize_missing
 
 
@@ -113,13 +115,67 @@ def test_encoder_follows_code_points(spark, spec):
     assert [r["Gender_Idx"] for r in rows] == [4.0, 3.0, 2.0, 1.0, 0.0]
 
 
-def test_large_dictionary_is_joined(spark, spec):
-    df = respondents(spark, spec, *[{"Gender": v} for v in ("d", "c", None, "b", "d")])
-    local = encode.encode_categoricals(df, spec)
-    joined = encode.encode_categoricals(df, spec, limit=3)
-    assert sorted(local.collect()) == sorted(joined.collect())
-    assert sorted(local.columns) == sorted(joined.columns)
-    assert [r["Gender_Idx"] for r in joined.orderBy(spec.key).collect()] == [3.0, 2.0, 0.0, 1.0, 3.0]
+def test_unseen_value_fails_or_gets_its_own_index(spark, spec):
+    known = respondents(spark, spec, *[{"Gender": v} for v in ("d", "c", None)])
+    dictionary = encode.category_dictionary(known, list(spec.categorical), spec.missing_category)
+    new = respondents(spark, spec, {"Gender": "x"}, {"Gender": "c"})
+    with pytest.raises(Exception, match="unseen value of Gender"):
+        encode.CategoryIndexer.of(dictionary, spec).transform(new).collect()
+    kept = encode.CategoryIndexer.of(dictionary, spec, invalid="keep").transform(new).orderBy(spec.key).collect()
+    assert [r["Gender_Idx"] for r in kept] == [3.0, 1.0]
+
+
+def test_quote_in_the_missing_category(spark, spec):
+    odd = dataclasses.replace(spec, missing_category="it's")
+    df = respondents(spark, odd, {"Gender": None}, {"Gender": "a"})
+    rows = encode.encode_categoricals(df, odd).orderBy(odd.key).collect()
+    assert [r["Gender_Idx"] for r in rows] == [1.0, 0.0]
+
+
+def test_dictionary_of_many_values(spark, spec):
+    """Numbered by ranges: the order is that of code points, without gaps, and no window is over a whole column."""
+    df = spark.range(200_000).select(F.concat(F.lit("v"), F.hex(F.xxhash64("id"))).alias("x"), F.lit("one").alias("y"))
+    found = encode.category_dictionary(df, ["x", "y"], "UNKNOWN").toPandas()
+    values = found[found["column"] == "x"].sort_values("idx")
+    assert values["idx"].tolist() == list(range(200_000)) and values["value"].is_monotonic_increasing
+    assert found[found["column"] == "y"]["idx"].tolist() == [0]
+
+
+def test_integer_columns_are_imputed_between_integers(spark):
+    df = spark.createDataFrame([(0, 2), (1, 3), (2, None)], "id int, x int")
+    assert listed(encode.impute_medians(df, ["x"]), "x") == [2.0, 3.0, 2.5]
+    stages_ = [encode.as_doubles(["x"]), encode.median_imputer(df, ["x"])]
+    for stage in stages_:
+        df = stage.transform(df)
+    assert listed(df, "x") == [2.0, 3.0, 2.5]
+
+
+def test_nan_is_missing(spark):
+    df = column(spark, [float("nan"), 1.0])
+    assert tuple(quality.validate_range(df, "x").first()) == (1.0, 1.0, 1)
+    assert quality.null_columns(df, ["x"]).first()["has_null"]
+
+
+def test_undeclared_classes_stay_in_the_tables(spark):
+    df = spark.createDataFrame([("a", "a"), ("a", "z"), ("z", "b"), ("b", "b")], "label string, p string")
+    counts = evaluate.confusion_counts(df, "label", "p")
+    with pytest.raises(Exception, match="outside the classes"):
+        evaluate.confusion_matrix(counts, ["a", "b"]).collect()
+    assert [tuple(r) for r in evaluate.confusion_matrix(counts, ["a", "b"], other="other").collect()] == [
+        ("a", 1, 0, 1), ("b", 0, 1, 0), ("other", 0, 1, 0),
+    ]
+    shares = stats.crosstab_percent(df, "label", "p", ["a", "b"]).orderBy("label").collect()
+    assert [tuple(r) for r in shares] == [("a", 50.0, 0.0), ("b", 0.0, 100.0), ("z", 0.0, 100.0)]
+    only_other = spark.createDataFrame([("g", "z"), ("h", None)], "label string, p string")
+    assert {tuple(r) for r in stats.crosstab_percent(only_other, "label", "p", ["a"]).collect()} == {("g", 0.0), ("h", 0.0)}
+
+
+def test_age_groups_come_in_the_order_of_the_bins(spark, spec):
+    named = dataclasses.replace(spec, age_labels=("young", "middle", "old", "aged"))
+    df = respondents(spark, named, *[{named.age: a} for a in (70.0, 50.0, 35.0, 20.0)])
+    shown = charts.age_severity(stages.gold(stages.silver(df, named), named), named).collect()
+    assert [r[0] for r in shown] == ["young", "middle", "old", "aged"]
+
 
 
 def test_target_encoding(spark, spec):

@@ -84,3 +84,15 @@ def test_unseen_category_is_an_error(spark, fitted, small_dir):
     strange = Q.gold(spark, small_dir).limit(5).withColumn("Gender", F.lit("L9"))
     with pytest.raises(Exception):
         fitted.model.transform(strange).select("prediction").collect()
+
+
+def test_many_categories_train_save_and_load(spark, spec, quick, small_dir, tmp_path):
+    """A category of its own for every respondent: nothing is refused, and the stored model gives the same classes."""
+    own = Q.gold(spark, small_dir).withColumn("Gender", F.concat(F.lit("v"), F.col(spec.key).cast("string")))
+    small = dataclasses.replace(quick, trees=2, depth=2)
+    fitted = forest.train_forest(own, small)
+    assert fitted.model.indexer.sizes["Gender"] == own.count()
+    forest.save_model(fitted.model, str(tmp_path / "model"))
+    before = fitted.model.transform(own).select(spec.key, forest.PREDICTED_CLASS).collect()
+    after = forest.load_model(str(tmp_path / "model")).transform(own).select(spec.key, forest.PREDICTED_CLASS).collect()
+    assert sorted(before) == sorted(after)

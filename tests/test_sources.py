@@ -5,7 +5,9 @@ import pytest
 from surveyflow.plans import queries as Q
 from surveyflow.plans import stages
 from surveyflow.sources import scratch
-from surveyflow.sources.readers import read_survey_parquet, read_survey_tsv, spread, survey_schema, write_survey_tsv
+from surveyflow.plans import queries as Q
+from surveyflow.sources.tables import ensure_database, write_table
+from surveyflow.sources.readers import read_survey_parquet, read_survey_tsv, survey_schema, write_survey_tsv
 
 
 @pytest.fixture
@@ -67,11 +69,32 @@ def test_survey_without_a_key_is_refused(spark, spec):
         stages.bronze(spark.range(3), spec)
 
 
-def test_few_splits_are_spread_and_many_are_not(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.range(100).coalesce(1), "id").rdd.getNumPartitions() == cores
-    many = spark.range(0, 100, 1, cores + 3)
-    assert spread(many, "id") is many
+def test_schema_is_kept_unless_replaced(spark):
+    ensure_database(spark, "kept_schema")
+    try:
+        write_table(spark.range(3), "kept_schema.t")
+        write_table(spark.range(5), "kept_schema.t")
+        with pytest.raises(ValueError, match="schema"):
+            write_table(spark.range(3).selectExpr("CAST(id AS STRING) AS id"), "kept_schema.t")
+        write_table(spark.range(4).selectExpr("CAST(id AS STRING) AS id"), "kept_schema.t", replace_schema=True)
+        assert spark.table("kept_schema.t").dtypes == [("id", "string")]
+    finally:
+        spark.sql("DROP DATABASE kept_schema CASCADE")
+
+
+def test_changed_files_are_read_anew(spark, small_dir, tmp_path):
+    orders = spark.read.parquet(f"{small_dir}/orders.parquet")
+    orders.limit(100).write.parquet(str(tmp_path / "orders.parquet"))
+    assert Q.bronze(spark, str(tmp_path)).count() == 100
+    orders.limit(50).write.mode("append").parquet(str(tmp_path / "orders.parquet"))
+    assert Q.bronze(spark, str(tmp_path)).count() == 150
+
+
+def test_no_database_is_left_over(spark, small_dir):
+    before = {d.name for d in spark.catalog.listDatabases()}
+    for name in ("scan_stage_table", "write_bronze_roundtrip", "write_gold_roundtrip", "stage_tables", "stored_severity_stats"):
+        assert Q.registered()[name](spark, small_dir).count() > 0
+    assert {d.name for d in spark.catalog.listDatabases()} == before
 
 
 def test_scratch_follows_the_session(spark):

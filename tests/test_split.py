@@ -55,7 +55,7 @@ def test_quotas(spark, sizes):
         assert found == expected_quotas(sizes, test_size)
 
 
-@pytest.mark.parametrize("closed", [True, False])
+@pytest.mark.parametrize("closed", [["big", "mid", "rare"], None])
 def test_same_rows_as_brute_force(spark, closed):
     rows = skewed_rows()
     df = spark.createDataFrame(rows, "k bigint, c string")
@@ -81,6 +81,25 @@ def test_a_class_of_one_row_fails(spark):
         split_counts(stratified_split(df, "k", "c"), "c").collect()
 
 
+@pytest.mark.parametrize("row", [(None, "big"), (9999, None)])
+def test_null_key_or_label_fails(spark, row):
+    df = spark.createDataFrame([*skewed_rows(60), row], "k bigint, c string")
+    with pytest.raises(Exception, match="null k or c"):
+        stratified_split(df, "k", "c").collect()
+
+
+def test_undeclared_class_fails(spark):
+    df = spark.createDataFrame(skewed_rows(60), "k bigint, c string")
+    with pytest.raises(Exception, match="undeclared"):
+        stratified_split(df, "k", "c", closed=["big", "mid"]).collect()
+
+
+def test_quota_within_repeated_keys_fails(spark):
+    df = spark.createDataFrame([(7, "a")] * 10, "k bigint, c string")
+    with pytest.raises(Exception, match="repeated keys"):
+        stratified_split(df, "k", "c").collect()
+
+
 def test_string_keys(spark):
     rows = [(f"id-{i}", "ab"[i % 2]) for i in range(50)]
     df = spark.createDataFrame(rows, "k string, c string")
