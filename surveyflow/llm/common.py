@@ -1,4 +1,4 @@
-"""What the operators share: tables, words, folds, stored intermediate results, Arrow rows, global running totals."""
+"""What the operators share: tables, words, folds, Arrow rows, and general helpers of the library."""
 
 from __future__ import annotations
 
@@ -6,9 +6,10 @@ from collections.abc import Iterator
 from string import ascii_lowercase, ascii_uppercase
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from surveyflow.operators.ranges import running_totals
 from surveyflow.sources.scratch import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -64,21 +65,3 @@ def buffered(rows: Iterator[tuple], schema: pa.Schema, most: int = 4096, weight=
             held, size = [], 0
     if held:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), schema.types)], schema=schema)
-
-
-def running_totals(df: DataFrame, order: list[Column], values: dict[str, Column], purpose: str) -> DataFrame:
-    """Totals of ``values`` over each row and all rows before it in a global order, without one task seeing all rows.
-
-    Rows are dealt into ranges of the order; totals of the ranges (one row each) give what stands before a range, and
-    the rest is a window inside the range.
-    """
-    placed = materialize(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), purpose)
-    sums = placed.groupBy("_range").agg(*(F.sum(v).alias(f"_{name}") for name, v in values.items()))
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    before = sums.select("_range", *(F.coalesce(F.sum(f"_{n}").over(earlier), F.lit(0)).alias(f"_{n}") for n in values))
-    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = placed.select("*", *(F.sum(v).over(inside).alias(f"run_{n}") for n, v in values.items()))
-    # one row for each range of the shuffle, so its size does not follow the data
-    joined = totals.join(F.broadcast(before), "_range")
-    summed = {f"run_{n}": F.col(f"run_{n}") + F.col(f"_{n}") for n in values}
-    return joined.withColumns(summed).drop("_range", *(f"_{n}" for n in values))

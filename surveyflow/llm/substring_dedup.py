@@ -23,6 +23,11 @@ from surveyflow.llm.common import buffered, materialize, narrow, table, text_row
 LAST = 2**63 - 1
 
 
+def half_of(length: int) -> int:
+    """Size of the halves of a window; those of an odd one share a word."""
+    return (length + 1) // 2
+
+
 def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split()
 
@@ -88,7 +93,8 @@ def first_level(docs: DataFrame, length: int) -> DataFrame:
                 digest = hashlib.sha256(b" ".join(words)).digest()[:16]
                 halves = np.empty(0, np.uint64)
                 if len(words) >= length:
-                    hashes, counts = np.unique(anchors(window_hashes(word_hashes(words), length // 2)[0], length - length // 2 + 1), return_counts=True)
+                    halves_of = window_hashes(word_hashes(words), half_of(length))[0]
+                    hashes, counts = np.unique(anchors(halves_of, length - half_of(length) + 1), return_counts=True)
                     halves = np.concatenate([hashes, hashes[counts > 1]])
                 yield at, len(words), digest, halves.view(np.int64)
 
@@ -106,11 +112,11 @@ def full_windows(docs: DataFrame, length: int) -> DataFrame:
             halves = batch.column("halves")
             for k, (at, text) in enumerate(zip(batch.column("at").to_pylist(), texts)):
                 single = word_hashes(words_of(text))
-                half = window_hashes(single, length // 2)
-                least = anchored(half[0], length - length // 2 + 1)
+                half = window_hashes(single, half_of(length))
+                least = anchored(half[0], length - half_of(length) + 1)
                 known = np.asarray(halves[k].values).view(np.uint64)
                 start = np.flatnonzero(np.isin(least, known))
-                whole = joined(half[:, start], half[:, start + length // 2]).view(np.int64)
+                whole = joined(half[:, start], half[:, start + length - half_of(length)]).view(np.int64)
                 for low in range(0, len(start), 100_000):
                     part = slice(low, low + 100_000)
                     columns = [whole[0, part], whole[1, part], np.full(len(start[part]), at), start[part].astype(np.int32)]
