@@ -50,13 +50,13 @@ def exact_dedup(
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that exact dedup keeps, with all their columns; of repeated rows of a kept document, one."""
     stay = exact_dedup(docs, id_col, text_col).filter("kept").select(
-        F.col("doc_id").alias("_stay_id"), F.col("text_sha256").alias("_stay_digest")
+        F.col("doc_id").alias("__stay_id"), F.col("text_sha256").alias("__stay_digest")
     )
     digest = F.sha2(lower_ascii(whole(f"`{text_col}`")), 256)
-    joined = docs.withColumn("_digest", digest).join(
-        stay, F.col(f"`{id_col}`").eqNullSafe(F.col("_stay_id")) & (F.col("_digest") == F.col("_stay_digest")), "left_semi"
+    joined = docs.withColumn("__digest", digest).join(
+        stay, F.col(f"`{id_col}`").eqNullSafe(F.col("__stay_id")) & (F.col("__digest") == F.col("__stay_digest")), "left_semi"
     )
-    return joined.dropDuplicates([id_col, "_digest"]).drop("_digest")
+    return joined.dropDuplicates([id_col, "__digest"]).drop("__digest")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

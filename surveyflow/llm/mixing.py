@@ -107,13 +107,15 @@ def repeat_mixed(docs: DataFrame, rule: MixRule = MixRule()) -> DataFrame:
     """The rows of ``docs`` as the mix takes them: left out, once, or up to ``rule.most`` times; columns as they are."""
     size = F.regexp_count(whole("text"), F.lit(WORD)).cast("long")
     plan = mix_sources(docs, rule).filter("times > 0").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "times"
+        F.col("doc_id").alias("__mix_id"), F.col("source").alias("__mix_source"), F.col("size").alias("__mix_size"),
+        F.col("times").alias("__mix_times"),
     ).distinct()
     same = (
-        F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_words") == F.col("_size"))
+        F.col("doc_id").eqNullSafe(F.col("__mix_id")) & F.col("source").eqNullSafe(F.col("__mix_source"))
+        & (F.col("__mix_words") == F.col("__mix_size"))
     )
-    taken = docs.withColumn("_words", size).join(plan.withColumnRenamed("times", "_times"), same)
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    taken = docs.withColumn("__mix_words", size).join(plan, same)
+    return taken.withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_times")))).select(*docs.columns)
 
 
 SQL = r"""

@@ -82,7 +82,7 @@ def test_rules_without_labels_or_rows(spark):
 def test_rules_tell_junk_from_prose(spark, sf_dir):
     found = quality_rules.query(spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/labels.parquet"), "doc_id").toPandas()
     judged = found[~found["base_failed"]]
-    assert judged[judged["quality"] == 1]["kept"].mean() > 0.98 and judged[judged["quality"] == 0]["kept"].mean() < 0.05
+    assert judged[judged["quality"] == 1]["kept"].mean() > 0.95 and judged[judged["quality"] == 0]["kept"].mean() < 0.05
 
 
 def test_no_python_in_the_native_operators(spark, small_dir):
