@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from surveyflow.llm import bpe, exact_dedup, html_extract, language_id, lm_score, mixing, quality_mil, quality_rules, simhash, substring_dedup
+from surveyflow.llm import (
+    bpe,
+    exact_dedup,
+    html_extract,
+    language_id,
+    lm_score,
+    mixing,
+    quality_mil,
+    quality_rules,
+    simhash,
+    substring_dedup,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": exact_dedup.query,
@@ -24,4 +35,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.SQL,
     "op2_mixing": mixing.SQL,
+    "op5_substring_dedup": substring_dedup.SQL,
 }

@@ -188,3 +188,26 @@ def substring_dedup(docs: DataFrame, length: int = 20, id_col: str = "doc_id", t
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring_dedup(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), places AS (
+  SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20
+), later AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY md5(array_to_string(w[i:i + 19], ' ')) ORDER BY doc_id, i) AS r FROM places
+  ) WHERE r > 1
+), removed AS (
+  SELECT DISTINCT doc_id, i + k AS p FROM later, range(0, 20) s(k)
+), words AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d
+), kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t
+  FROM words ANTI JOIN removed USING (doc_id, p) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
