@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveyflow.functions import display, ladder, ordinal, right_closed_bin, row_sum
-from surveyflow.spec import SurveySpec
+from surveyflow.spec import SEVERITY_NAME, SurveySpec
 
 SEVERITY_ORD = "severity_ord"
-SEVERITY_LABEL = "Severitate"
+SEVERITY_LABEL = SEVERITY_NAME
 AGE_GROUP = "age_group"
 
 

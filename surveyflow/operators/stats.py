@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from surveyflow.functions import ordinal
 from surveyflow.operators.score import SEVERITY_ORD
-from surveyflow.spec import Mean, SurveySpec
+from surveyflow.spec import PATIENTS, Mean, SurveySpec
 
 
 def group_mean(column: str, alias: str, digits: int | None = None) -> Column:
@@ -21,7 +21,7 @@ def severity_stats(df: DataFrame, spec: SurveySpec, means: Sequence[Mean] | None
     """Size and means per class in one aggregate; reports are projections of it, pruned to what they select."""
     chosen = [*spec.biomarkers, *spec.behaviour] if means is None else means
     stats = df.groupBy(spec.severity).agg(
-        F.count(F.lit(1)).alias("Total_Pacienti"), *[group_mean(*mean) for mean in chosen]
+        F.count(F.lit(1)).alias(PATIENTS), *[group_mean(*mean) for mean in chosen]
     )
     return stats.withColumn(SEVERITY_ORD, ordinal(spec.severity, spec.severity_order))
 
@@ -33,7 +33,7 @@ def largest_first(stats: DataFrame, column: str) -> DataFrame:
 
 def severity_distribution(df: DataFrame, spec: SurveySpec) -> DataFrame:
     stats = severity_stats(df, spec)
-    return largest_first(stats.select(spec.severity, "Total_Pacienti", SEVERITY_ORD), "Total_Pacienti")
+    return largest_first(stats.select(spec.severity, PATIENTS, SEVERITY_ORD), PATIENTS)
 
 
 def biomarkers_by_severity(df: DataFrame, spec: SurveySpec) -> DataFrame:

@@ -9,12 +9,12 @@ from surveyflow.functions import display_or_self, ordinal
 from surveyflow.operators import evaluate, forest, quantiles, stats
 from surveyflow.operators.score import AGE_GROUP, SEVERITY_LABEL, SEVERITY_ORD, add_age_group, add_severity_label
 from surveyflow.operators.score import add_severity_ordinal
-from surveyflow.spec import SurveySpec
+from surveyflow.spec import PATIENTS, SurveySpec
 
 
 def distribution(gold: DataFrame, spec: SurveySpec) -> DataFrame:
     """Size and share of each observed class, in clinical order."""
-    sizes = stats.severity_stats(gold, spec, means=()).withColumnRenamed("Total_Pacienti", "patients")
+    sizes = stats.severity_stats(gold, spec, means=()).withColumnRenamed(PATIENTS, "patients")
     labelled = add_severity_label(stats.with_percent(sizes, "patients"), spec)
     return labelled.orderBy(SEVERITY_ORD).select(SEVERITY_LABEL, SEVERITY_ORD, "patients", "percent")
 

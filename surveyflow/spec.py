@@ -90,6 +90,10 @@ SEVERITY_DISPLAY = {
     "Severa": "Severă",
 }
 
+# Names of report columns.
+PATIENTS = "Total_Pacienti"
+SEVERITY_NAME = "Severitate"
+
 AGE_EDGES = (17, 29, 44, 59, 100)
 AGE_LABELS = ("18–29 ani", "30–44 ani", "45–59 ani", "60+ ani")
 

@@ -280,3 +280,13 @@ def test_projection_excludes_leaks(spark, spec):
     df = stages.gold(stages.silver(respondents(spark, spec, {}), spec), spec)
     kept = set(encode.feature_projection(df, spec).columns)
     assert kept == {*spec.numeric, *spec.categorical} and not kept & spec.excluded
+
+
+def test_fixed_names_of_the_default_survey(spec):
+    """Literals of their own: the SQL and the queries share one spec, so a wrong entry there could not show."""
+    assert len(spec.columns) == 37 and spec.key == "respondent_id" and spec.min_age == 18.0 and spec.item_max == 3.0
+    assert spec.items[0] == "FeelingDownDepressedOrHopeless" and len(spec.items) == 8
+    assert spec.cuts == ((4, "Minimala"), (9, "Usoara"), (14, "Moderata"), (19, "Moderat_Severa")) and spec.top == "Severa"
+    assert spec.bounds == {"MinutesSedentaryActivity": 1440} and len(spec.features) == 25
+    assert [alias for _, alias, _ in spec.biomarkers] == ["Avg_HbA1c", "Avg_Cholesterol", "Avg_Systolic", "Avg_Weight", "Avg_Waist"]
+    assert [alias for _, alias, _ in spec.behaviour] == ["Avg_Sleep", "Avg_Sedentary_Min", "Avg_Alcohol", "Avg_Age"]

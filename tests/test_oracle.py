@@ -1,13 +1,21 @@
-"""Every registered query against its SQL on the same files."""
+"""Every query of the survey engine against its SQL on the same files."""
 
 from __future__ import annotations
 
+import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from oracle_check import connect, differences
 
 import __spark_entry__ as entry_module
+from surveyflow.plans.oracle import oracle_statements
+from surveyflow.plans.queries import registered
 
-QUERIES, SQL = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, SQL = registered(), oracle_statements()
 
 
 @pytest.fixture(scope="module")
@@ -27,6 +35,18 @@ def test_model_queries_return_rows(spark, sf_dir, name):
 
 def test_no_sql_without_a_query():
     assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry_module.queries()) and set(entry_module.oracle_sql()) <= set(entry_module.queries())
+
+
+def test_optional_operators_may_be_absent(tmp_path):
+    """Without the text operators and the pipeline the entry module still offers all other queries."""
+    root = Path(entry_module.__file__).resolve().parent
+    shutil.copytree(root / "surveyflow", tmp_path / "surveyflow", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; print(sorted(e.queries()) == sorted(e.registered()), len(e.oracle_sql()) > 50)"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
+    assert done.stdout.split() == ["True", "True"], done.stderr
 
 
 def test_flagship(spark):
