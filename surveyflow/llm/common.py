@@ -44,11 +44,10 @@ def narrow(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*(F.col(f"`{source}`").alias(name) for name, source in columns.items()))
 
 
-def text_rows(batches: Iterator[pa.RecordBatch], text: str | int = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+def text_rows(batches: Iterator[pa.RecordBatch], text: str | int = "text", size: int = 8_000_000) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Arrow batches of at most some megabytes of text with the texts as Python strings; null counts as empty."""
     for batch in batches:
-        size = max(1, batch.get_total_buffer_size() // 8_000_000)
-        step = max(1, batch.num_rows // size)
+        step = max(1, batch.num_rows // max(1, batch.get_total_buffer_size() // size))
         for start in range(0, batch.num_rows, step):
             part = batch.slice(start, step)
             yield part, [value or "" for value in part.column(text).to_pylist()]

@@ -12,6 +12,7 @@ have at least a quarter of that, a length has at most 4 / least: the tree's size
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -47,10 +48,12 @@ def packed(lines: list[bytes], depth: int) -> np.ndarray:
     """Context and byte at each place of all lines, each line being preceded by end symbols only."""
     data = b"".join(END * depth + line for line in lines)
     octets = np.frombuffer(data, dtype=np.uint8)
-    gram = octets[depth:].astype(np.int64)
+    count = max(len(octets) - depth, 0)
+    gram = octets[:count].astype(np.int64)
     for k in range(1, depth + 1):
-        gram |= octets[depth - k : len(octets) - k].astype(np.int64) << (8 * k)
-    sizes = np.array([len(line) for line in lines])
+        gram <<= 8
+        gram |= octets[k : k + count]
+    sizes = np.array([len(line) for line in lines], dtype=np.int64)
     firsts = np.cumsum(sizes + depth) - sizes - depth  # of what was put before each line, in gram's places
     keep = np.ones(len(gram), dtype=bool)
     for k in range(depth):
@@ -112,6 +115,10 @@ def tree_levels(grams: DataFrame, rule: TreeRule) -> list[DataFrame]:
     return out
 
 
+def _slot(gram: np.ndarray) -> np.ndarray:
+    return (gram.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)
+
+
 @dataclass
 class SuffixTree:
     """By context length: sorted states with the log weight of their suffix, and sorted (context, byte) with log10 probability."""
@@ -156,6 +163,27 @@ class SuffixTree:
             tree.values.append(np.log10(p)[order])
         return tree
 
+    def log10_each(self, gram: np.ndarray) -> np.ndarray:
+        """The same for grams that mostly repeat: each distinct one is looked up once.
+
+        Distinct grams are found by sorting; a table of slots, where the most frequent of those that share one stays,
+        leads from a gram to its value, and the few that meet another gram in their slot are looked up by themselves.
+        """
+        out = np.empty(len(gram))
+        for start in range(0, len(gram), 1 << 21):
+            part = gram[start : start + (1 << 21)]
+            ordered = np.sort(part)
+            heads = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+            distinct, counts = ordered[heads], np.diff(np.append(heads, len(ordered)))
+            by_count = np.argsort(counts)
+            table = np.zeros(1 << 20, dtype=np.int32)
+            table[_slot(distinct[by_count])] = by_count
+            at = table[_slot(part)]
+            missed = np.flatnonzero(distinct[at] != part)
+            at[missed] = np.searchsorted(distinct, part[missed])
+            out[start : start + len(part)] = self.log10(distinct)[at]
+        return out
+
     def log10(self, gram: np.ndarray, longest: int | None = None) -> np.ndarray:
         """log10 probability of the last byte of each gram in the longest state of at most ``longest`` bytes."""
         out = np.zeros(len(gram))
@@ -184,21 +212,20 @@ def score_rows(docs: DataFrame, tree: SuffixTree, common: pa.Table, tokens: int,
     norm = np.log10(tokens + 0.5 * (kinds + 1))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = dict(zip(common.column("word").to_pylist(), common.column("n").to_pylist()))
+        known = dict(zip(common.column("word").to_pylist(), (np.log10(common.column("n").to_numpy() + 0.5) - norm).tolist()))
         at_end = float(np.log10(ends + 0.5) - norm)
-        for batch, texts in text_rows(batches):
+        for batch, texts in text_rows(batches, size=4_000_000):
             split = [words_of(t) for t in texts]
             lines = [line_of(w) for w in split]
-            gram, place = np.unique(packed(lines, rule.depth), return_inverse=True)
+            each = tree.log10_each(packed(lines, rule.depth))
             ended = np.cumsum([len(line) for line in lines])
-            score = np.add.reduceat(tree.log10(gram)[place], np.concatenate([[0], ended[:-1]])) if lines else []
+            score = np.add.reduceat(each, np.concatenate([[0], ended[:-1]])) if lines else []
             rows = []
             for key, words, value in zip(batch.column("doc_id").to_pylist(), split, score):
-                counts = list(map(known.get, words))
-                rare = [w for w, c in zip(words, counts) if c is None]
-                found = np.array([c for c in counts if c is not None], dtype=np.float64)
-                base = float((np.log10(found + 0.5) - norm).sum()) + at_end
-                rows.append((key, len(words) + 1, len(found) + (ends > 0), base, float(value), rare))
+                logs = list(map(known.get, words))
+                rare = [w for w, x in zip(words, logs) if x is None] if None in logs else []
+                base = math.fsum(x for x in logs if x is not None) + at_end
+                rows.append((key, len(words) + 1, len(words) - len(rare) + (ends > 0), base, float(value), rare))
             schema = pa.schema([("doc_id", batch.schema.field("doc_id").type), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("rare", pa.list_(pa.binary()))])
             yield from buffered(iter(rows), schema, 1024, lambda row: 12 * len(row[5]))
 
