@@ -26,6 +26,8 @@ from surveyflow.llm.common import buffered, fold, materialize, narrow, table, te
 
 END = b"\n"  # not part of any word
 SYMBOLS = 256
+#: Bytes of text that a task works on at once; longer texts are looked up in slices of as many places.
+SLICE = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -70,7 +72,7 @@ def corpus_counts(docs: DataFrame, rule: TreeRule) -> tuple[DataFrame, DataFrame
     """(word, n) and (gram, n) over all rows of ``docs`` (text); the end symbol counts as a word."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in text_rows(batches):
+        for batch, texts in text_rows(batches, size=SLICE):
             words: Counter = Counter()
             lines = []
             for text in texts:
@@ -170,8 +172,8 @@ class SuffixTree:
         leads from a gram to its value, and the few that meet another gram in their slot are looked up by themselves.
         """
         out = np.empty(len(gram))
-        for start in range(0, len(gram), 1 << 21):
-            part = gram[start : start + (1 << 21)]
+        for start in range(0, len(gram), SLICE):
+            part = gram[start : start + SLICE]
             ordered = np.sort(part)
             heads = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
             distinct, counts = ordered[heads], np.diff(np.append(heads, len(ordered)))
@@ -214,7 +216,7 @@ def score_rows(docs: DataFrame, tree: SuffixTree, common: pa.Table, tokens: int,
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = dict(zip(common.column("word").to_pylist(), (np.log10(common.column("n").to_numpy() + 0.5) - norm).tolist()))
         at_end = float(np.log10(ends + 0.5) - norm)
-        for batch, texts in text_rows(batches, size=4_000_000):
+        for batch, texts in text_rows(batches, size=SLICE):
             split = [words_of(t) for t in texts]
             lines = [line_of(w) for w in split]
             each = tree.log10_each(packed(lines, rule.depth))
