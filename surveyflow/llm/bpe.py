@@ -39,8 +39,8 @@ class ChunkRule:
     window: int = 32
     bits: int = 10
     #: Characters of chunks, and number of word pieces, that a task holds before it starts its dictionaries anew.
-    held_chars: int = 24_000_000
-    held_pieces: int = 300_000
+    held_chars: int = 12_000_000
+    held_pieces: int = 200_000
 
 
 def chunk_ends(data: bytes, rule: ChunkRule) -> np.ndarray:
@@ -123,8 +123,8 @@ class ChunkCodec:
 
     def forget(self) -> None:
         self.pieces = Pieces(self.encode)
-        self.chunks: dict[bytes, tuple[str, str, str | None, str, list[int], bytes]] = {}
-        self.joins: dict[tuple[str, str, str], tuple[list[int], bytes]] = {}
+        self.chunks: dict[bytes, tuple[str, str, str | None, str, np.ndarray, bytes]] = {}
+        self.joins: dict[tuple[str, str, str], tuple[np.ndarray, bytes]] = {}
         self.held = 0
 
     def decode(self, ids: list[int]) -> bytes:
@@ -138,11 +138,12 @@ class ChunkCodec:
         tail = " " + core.pop() if core else None
         core = [" " + piece for piece in core]
         ids = list(chain.from_iterable(map(self.pieces.__getitem__, core)))
-        known = self.chunks[data] = (head, core[0] if core else "", tail, core[-1] if core else "", ids, self.decode(ids))
+        packed = np.array(ids, dtype=np.int32)
+        known = self.chunks[data] = (head, core[0] if core else "", tail, core[-1] if core else "", packed, self.decode(ids))
         self.held += len(data)
         return known
 
-    def repaired(self, before: str, window: str, after: str) -> tuple[list[int], bytes]:
+    def repaired(self, before: str, window: str, after: str) -> tuple[np.ndarray, bytes]:
         """Ids and bytes of what lies around a join: encoded again with its neighbours, and both encodings must agree.
 
         If they don't, the pieces depend on more than their neighbours, and such a tokenizer has no safe cuts.
@@ -152,13 +153,13 @@ class ChunkCodec:
         ids, left, right = (self.encode(p) if p else [] for p in (window, before, after))
         if self.encode(before + window + after) != left + ids + right:
             raise ValueError("encodings around a join don't agree")
-        known = self.joins[before, window, after] = (ids, self.decode(ids))
+        known = self.joins[before, window, after] = (np.array(ids, dtype=np.int32), self.decode(ids))
         return known
 
-    def round_trip(self, text: str) -> tuple[list[int], str]:
+    def round_trip(self, text: str) -> tuple[np.ndarray, str]:
         """(ids, decoded text): what the tokenizer's own encode and decode of the whole text give."""
         data = text.encode("utf-8", "surrogatepass")
-        ids: list[int] = []
+        ids: list[np.ndarray] = [np.empty(0, dtype=np.int32)]
         octets: list[bytes] = []
         start, open_text, before = 0, "", ""
         for end in chunk_ends(data, self.rule).tolist():
@@ -168,18 +169,18 @@ class ChunkCodec:
                 continue
             if open_text:
                 found = self.repaired(before, open_text, first)
-                ids += found[0]
+                ids.append(found[0])
                 octets.append(found[1])
-            ids += core
+            ids.append(core)
             octets.append(decoded)
             before, open_text = last, tail
         if open_text:
             found = self.repaired(before, open_text, "")
-            ids += found[0]
+            ids.append(found[0])
             octets.append(found[1])
         if self.held > self.rule.held_chars or len(self.pieces) + len(self.joins) > self.rule.held_pieces:
             self.forget()
-        return ids, b"".join(octets).decode("utf-8", "replace")
+        return np.concatenate(ids), b"".join(octets).decode("utf-8", "replace")
 
 
 def encode_decode(
