@@ -2,12 +2,13 @@
 
 A text is its words, lower-cased (A-Z), each closed by a space and the last by the end symbol. Spark counts every
 sequence of ``depth`` bytes and the one that follows, over all training documents; counts of shorter contexts are sums
-of those. A context is a state of the tree if it is frequent enough and what follows it differs enough from what follows
-its suffix without the first byte (or if a longer state ends in it). Next-byte distributions are smoothed towards that
-suffix, and a byte is scored in the longest state that its past ends in.
+of those. A context is a state of the tree if it occurs ``fewest`` times and what follows it differs enough from what
+follows its suffix without the first byte (or if a longer state ends in it). Next-byte distributions are smoothed
+towards that suffix, and a byte is scored in the longest state that its past ends in.
 
-States have at least ``least`` of all occurrences, so each length has at most 1 / least of them, and as stored followers
-have at least a quarter of that, a length has at most 4 / least: the tree's size is bounded whatever the corpus.
+Both tests are of absolute counts, so the tree grows with the corpus. It is a table: the probability of each distinct
+n-gram follows from joins, level by level, of at most 256 rows a context. N-grams of at least the part ``frequent`` of
+all occurrences (at most 1 / frequent of them) are looked up in memory, all others by a shuffled join.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from surveyflow.llm.common import buffered, fold, materialize, narrow, table, text_rows
@@ -34,12 +35,16 @@ SLICE = 2_000_000
 class TreeRule:
     #: Longest context in bytes, 6 at most: context and next byte are packed into a positive 64-bit number.
     depth: int = 5
-    #: Least part of all occurrences that a state has.
-    least: float = 1e-6
+    #: Least number of occurrences that a state has.
+    fewest: int = 2
+    #: Least part of all occurrences that a state has; above 0 the tree stops growing with the corpus.
+    least: float = 0.0
     #: Least gain, in nats over all its occurrences, that a context's own distribution brings.
     gain: float = 3.0
     #: Words with at least this part of all tokens are looked up in memory (at most 1 / common of them), others by a join.
     common: float = 1e-6
+    #: N-grams with at least this part of all occurrences are looked up in memory, others by a join.
+    frequent: float = 2.5e-7
 
 
 def words_of(text: str) -> list[bytes]:
@@ -69,61 +74,151 @@ def line_of(words: list[bytes]) -> bytes:
 
 
 def corpus_counts(docs: DataFrame, rule: TreeRule) -> tuple[DataFrame, DataFrame]:
-    """(word, n) and (gram, n) over all rows of ``docs`` (text); the end symbol counts as a word."""
+    """(word, n) and (gram, n, seen) over all rows of ``docs`` (text); the end symbol counts as a word.
+
+    Rows whose column ``held`` is true, if there is one, add to ``seen`` only, and their words aren't counted.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["word", "gram", "n", "seen"]
         for batch, texts in text_rows(batches, size=SLICE):
             words: Counter = Counter()
-            lines = []
-            for text in texts:
+            lines: dict[bool, list[bytes]] = {False: [], True: []}
+            for text, held in zip(texts, batch.column("held").to_pylist()):
                 own = words_of(text)
-                words.update(own)
-                lines.append(line_of(own))
-            words[END] = len(texts)
-            yield pa.RecordBatch.from_arrays([pa.array(words.keys(), pa.binary()), pa.nulls(len(words), pa.int64()), pa.array(words.values(), pa.int64())], names=["word", "gram", "n"])
-            gram, n = np.unique(packed(lines, rule.depth), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(gram), pa.binary()), pa.array(gram), pa.array(n)], names=["word", "gram", "n"])
-
-    counted = docs.select("text").mapInArrow(work, "word binary, gram bigint, n bigint").groupBy("word", "gram").agg(F.sum("n").alias("n"))
+                if not held:
+                    words.update(own)
+                lines[held].append(line_of(own))
+            if lines[False]:
+                words[END] = len(lines[False])
+            n = pa.array(words.values(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(words.keys(), pa.binary()), pa.nulls(len(words), pa.int64()), n, n], names=names)
+            for held in filter(lines.get, lines):
+                gram, seen = np.unique(packed(lines[held], rule.depth), return_counts=True)
+                n = np.zeros_like(seen) if held else seen
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(gram), pa.binary()), pa.array(gram), pa.array(n), pa.array(seen)], names=names)
+
+    rows = docs.select("text", "held" if "held" in docs.columns else F.lit(False).alias("held"))
+    counted = rows.mapInArrow(work, "word binary, gram bigint, n bigint, seen bigint").groupBy("word", "gram").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
     stored = materialize(counted, "lm-counts")
-    return stored.filter("word IS NOT NULL").select("word", "n"), stored.filter("word IS NULL").select("gram", "n")
+    return stored.filter("word IS NOT NULL").select("word", "n"), stored.filter("word IS NULL").select("gram", "n", "seen")
 
 
-def tree_levels(grams: DataFrame, rule: TreeRule) -> list[DataFrame]:
-    """For each context length from 1 on: (context, symbol, n, total, gain) of contexts that are frequent enough."""
-    split = grams.select(F.shiftright("gram", 8).alias("context"), F.col("gram").bitwiseAND(255).cast("int").alias("symbol"), "n")
-    levels: list[DataFrame] = []
-    for length in range(rule.depth, -1, -1):
-        mask = (1 << 8 * length) - 1
-        source = split if length == rule.depth else levels[-1]
-        levels.append(materialize(
-            source.groupBy(F.col("context").bitwiseAND(F.lit(mask).cast("long")).alias("context"), "symbol").agg(F.sum("n").alias("n")), "lm-level"
-        ))
-    levels.reverse()
+def suffix(length: int) -> Column:
+    """The last ``length`` bytes of ``context``."""
+    return F.col("context").bitwiseAND(F.lit((1 << 8 * length) - 1).cast("long"))
+
+
+def level_counts(grams: DataFrame, rule: TreeRule) -> list[DataFrame]:
+    """For each context length from 0 on: (context, symbol, n) of all n-grams, also those that training doesn't have."""
+    levels = [grams.select(F.shiftright("gram", 8).alias("context"), F.col("gram").bitwiseAND(255).cast("int").alias("symbol"), "n")]
+    for length in range(rule.depth - 1, -1, -1):
+        shorter = levels[-1].groupBy(suffix(length).alias("context"), "symbol").agg(F.sum("n").alias("n"))
+        levels.append(materialize(shorter, "lm-level"))
+    return levels[::-1]
+
+
+def known_levels(levels: list[DataFrame], rule: TreeRule) -> list[DataFrame]:
+    """For each context length: (context, symbol, n, total, gain) of contexts that are frequent enough."""
+    same = Window.partitionBy("context")  # at most 256 rows
+    trained = [level.filter("n > 0").withColumn("total", F.sum("n").over(same)) for level in levels]
     everything = levels[0].agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    totals = [level.groupBy("context").agg(F.sum("n").alias("total")) for level in levels]
-    out = [levels[0].select("context", "symbol", "n", F.lit(everything).cast("long").alias("total"), F.lit(0.0).alias("gain"))]
+    out = [trained[0].withColumn("gain", F.lit(0.0))]
     for length in range(1, rule.depth + 1):
-        mask = F.lit((1 << 8 * (length - 1)) - 1).cast("long")
-        known = levels[length].join(totals[length].filter(F.col("total") >= rule.least * everything), "context")
-        above = levels[length - 1].join(totals[length - 1], "context").select(
+        known = trained[length].filter(F.col("total") >= max(rule.fewest, rule.least * everything))
+        above = trained[length - 1].select(
             F.col("context").alias("suffix"), F.col("symbol").alias("next"), (F.col("n") / F.col("total")).alias("p")
         )
-        held = known.join(above, (F.col("context").bitwiseAND(mask) == F.col("suffix")) & (F.col("symbol") == F.col("next")))
-        gains = held.groupBy("context").agg(F.sum(F.col("n") * F.log(F.col("n") / F.col("total") / F.col("p"))).alias("gain"))
-        stored = known.filter(F.col("n") >= rule.least / 4 * everything)
-        # a left join: a context whose followers are all too rare to be stored is still a state that smooths
-        out.append(gains.join(totals[length], "context").join(stored.select("context", "symbol", "n"), "context", "left").select("context", "symbol", "n", "total", "gain"))
+        held = known.join(above, (suffix(length - 1) == F.col("suffix")) & (F.col("symbol") == F.col("next")))
+        gain = F.sum(F.col("n") * F.log(F.col("n") / F.col("total") / F.col("p"))).over(same)
+        out.append(held.withColumn("gain", gain).select("context", "symbol", "n", "total", "gain"))
     return out
 
 
+def tree_levels(grams: DataFrame, rule: TreeRule) -> list[DataFrame]:
+    return known_levels(level_counts(grams, rule), rule)
+
+
+def tree_states(known: list[DataFrame], rule: TreeRule) -> list[DataFrame]:
+    """For each context length from 1 on: (context, total, kinds) of the states, with how many symbols follow each."""
+    states: list[DataFrame] = []
+    for length in range(rule.depth, 0, -1):
+        each = known[length].groupBy("context").agg(F.max("total").alias("total"), F.count(F.lit(1)).alias("kinds"), F.max("gain").alias("gain"))
+        chosen = F.col("gain") >= rule.gain
+        if states:  # suffixes of longer states are states
+            longer = states[-1].select(suffix(length).alias("context")).distinct().withColumn("ends", F.lit(True))
+            each = each.join(longer, "context", "left")
+            chosen = chosen | F.col("ends")
+        states.append(materialize(each.filter(chosen).select("context", "total", "kinds"), "lm-states"))
+    return states[::-1]
+
+
+def gram_values(grams: DataFrame, rule: TreeRule) -> DataFrame:
+    """(gram, seen, value) of every row of ``grams``: log10 probability of its last byte in the longest state before it."""
+    levels = level_counts(grams, rule)
+    states = tree_states(known_levels(levels, rule), rule)
+    root = np.full(SYMBOLS, 0.5)
+    for symbol, n in levels[0].select("symbol", "n").collect():  # at most 256 rows
+        root[symbol] += n
+    p = levels[0].select("context", "symbol", F.array(*map(F.lit, (root / root.sum()).tolist()))[F.col("symbol")].alias("p"))
+    for length in range(1, rule.depth + 1):
+        below = p.select(F.col("context").alias("suffix"), F.col("symbol").alias("next"), F.col("p").alias("below"))
+        cells = levels[length].join(states[length - 1], "context", "left")
+        cells = cells.join(below, (suffix(length - 1) == F.col("suffix")) & (F.col("symbol") == F.col("next")))
+        # Witten-Bell: as much for the suffix as there are kinds of followers
+        own = (F.col("n") + F.col("kinds") * F.col("below")) / (F.col("total") + F.col("kinds"))
+        p = cells.select("context", "symbol", F.coalesce(own, "below").alias("p"))
+    values = p.select(F.shiftleft("context", 8).bitwiseOR(F.col("symbol").cast("long")).alias("gram"), F.log10("p").alias("value"))
+    return materialize(grams.select("gram", "seen").join(values, "gram"), "lm-values")
+
+
 def _slot(gram: np.ndarray) -> np.ndarray:
     return (gram.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)
 
 
+@dataclass
+class Frequent:
+    """Sorted n-grams and their log10 probability."""
+
+    keys: np.ndarray
+    values: np.ndarray
+
+    @classmethod
+    def of(cls, rows: pa.Table) -> Frequent:
+        keys, values = rows.column("gram").to_numpy(), rows.column("value").to_numpy()
+        order = np.argsort(keys)
+        return cls(keys[order], values[order])
+
+    def log10_each(self, gram: np.ndarray) -> np.ndarray:
+        """The value of each n-gram, NaN for those that aren't here; each distinct one is looked up once.
+
+        Distinct grams are found by sorting; a table of slots, where the most frequent of those that share one stays,
+        leads from a gram to its value, and the few that meet another gram in their slot are looked up by themselves.
+        """
+        out = np.full(len(gram), np.nan)
+        for start in range(0, len(gram) if len(self.keys) else 0, SLICE):
+            part = gram[start : start + SLICE]
+            ordered = np.sort(part)
+            heads = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+            distinct, counts = ordered[heads], np.diff(np.append(heads, len(ordered)))
+            place = np.minimum(np.searchsorted(self.keys, distinct), len(self.keys) - 1)
+            values = np.where(self.keys[place] == distinct, self.values[place], np.nan)
+            by_count = np.argsort(counts)
+            table = np.zeros(1 << 20, dtype=np.int32)
+            table[_slot(distinct[by_count])] = by_count
+            at = table[_slot(part)]
+            missed = np.flatnonzero(distinct[at] != part)
+            at[missed] = np.searchsorted(distinct, part[missed])
+            out[start : start + len(part)] = values[at]
+        return out
+
+
 @dataclass
 class SuffixTree:
-    """By context length: sorted states with the log weight of their suffix, and sorted (context, byte) with log10 probability."""
+    """The tree in memory, which small ones fit into; it gives the same values as ``gram_values``.
+
+    By context length: sorted states with the log weight of their suffix, and sorted (context, byte) with log10 probability.
+    """
 
     depth: int
     root: np.ndarray
@@ -154,7 +249,7 @@ class SuffixTree:
             at = np.searchsorted(states, context)
             kinds = np.bincount(at, minlength=len(states))
             held = np.bincount(at, weights=n, minlength=len(states))
-            # Witten-Bell: as much for the suffix as there are kinds of followers, and what isn't stored
+            # Witten-Bell: as much for the suffix as there are kinds of followers
             weight = (np.maximum(kinds, 1) + total - held) / (total + np.maximum(kinds, 1))
             below = 10 ** tree.log10((context & ((1 << 8 * (length - 1)) - 1)) << 8 | symbol, length - 1)
             p = n / (total + np.maximum(kinds, 1))[at] + weight[at] * below
@@ -165,27 +260,6 @@ class SuffixTree:
             tree.values.append(np.log10(p)[order])
         return tree
 
-    def log10_each(self, gram: np.ndarray) -> np.ndarray:
-        """The same for grams that mostly repeat: each distinct one is looked up once.
-
-        Distinct grams are found by sorting; a table of slots, where the most frequent of those that share one stays,
-        leads from a gram to its value, and the few that meet another gram in their slot are looked up by themselves.
-        """
-        out = np.empty(len(gram))
-        for start in range(0, len(gram), SLICE):
-            part = gram[start : start + SLICE]
-            ordered = np.sort(part)
-            heads = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-            distinct, counts = ordered[heads], np.diff(np.append(heads, len(ordered)))
-            by_count = np.argsort(counts)
-            table = np.zeros(1 << 20, dtype=np.int32)
-            table[_slot(distinct[by_count])] = by_count
-            at = table[_slot(part)]
-            missed = np.flatnonzero(distinct[at] != part)
-            at[missed] = np.searchsorted(distinct, part[missed])
-            out[start : start + len(part)] = self.log10(distinct)[at]
-        return out
-
     def log10(self, gram: np.ndarray, longest: int | None = None) -> np.ndarray:
         """log10 probability of the last byte of each gram in the longest state of at most ``longest`` bytes."""
         out = np.zeros(len(gram))
@@ -208,8 +282,11 @@ class SuffixTree:
         return out
 
 
-def score_rows(docs: DataFrame, tree: SuffixTree, common: pa.Table, tokens: int, kinds: int, ends: int, rule: TreeRule) -> DataFrame:
-    """doc_id, n_tokens, n_known and base of the common tokens, the tree's score, and the other words of every row."""
+def score_rows(docs: DataFrame, frequent: Frequent, common: pa.Table, tokens: int, kinds: int, ends: int, rule: TreeRule) -> DataFrame:
+    """doc_id, n_tokens, n_known and base of the common tokens, score of the frequent n-grams, and what else each row has.
+
+    That is the other words, and the other n-grams (``odd``) with how many ``times`` each occurs.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
     norm = np.log10(tokens + 0.5 * (kinds + 1))
 
@@ -219,20 +296,29 @@ def score_rows(docs: DataFrame, tree: SuffixTree, common: pa.Table, tokens: int,
         for batch, texts in text_rows(batches, size=SLICE):
             split = [words_of(t) for t in texts]
             lines = [line_of(w) for w in split]
-            each = tree.log10_each(packed(lines, rule.depth))
+            grams = packed(lines, rule.depth)
+            each = frequent.log10_each(grams)
+            missing = np.isnan(each)
+            each[missing] = 0
             ended = np.cumsum([len(line) for line in lines])
-            score = np.add.reduceat(each, np.concatenate([[0], ended[:-1]])) if lines else []
+            begun = np.concatenate([[0], ended[:-1]])
+            score = np.add.reduceat(each, begun) if lines else []
             rows = []
-            for key, words, value in zip(batch.column("doc_id").to_pylist(), split, score):
+            for k, (key, words, value) in enumerate(zip(batch.column("doc_id").to_pylist(), split, score)):
                 logs = list(map(known.get, words))
                 rare = [w for w, x in zip(words, logs) if x is None] if None in logs else []
                 base = math.fsum(x for x in logs if x is not None) + at_end
-                rows.append((key, len(words) + 1, len(words) - len(rare) + (ends > 0), base, float(value), rare))
-            schema = pa.schema([("doc_id", batch.schema.field("doc_id").type), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("rare", pa.list_(pa.binary()))])
-            yield from buffered(iter(rows), schema, 1024, lambda row: 12 * len(row[5]))
+                own = slice(begun[k], ended[k])
+                odd, times = np.unique(grams[own][missing[own]], return_counts=True)
+                rows.append((key, len(words) + 1, len(words) - len(rare) + (ends > 0), base, float(value), rare, odd, times.astype(np.int32)))
+            schema = pa.schema([
+                ("doc_id", batch.schema.field("doc_id").type), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()),
+                ("rare", pa.list_(pa.binary())), ("odd", pa.list_(pa.int64())), ("times", pa.list_(pa.int32())),
+            ])
+            yield from buffered(iter(rows), schema, 1024, lambda row: 12 * (len(row[5]) + len(row[6])))
 
     return docs.select("doc_id", "text").mapInArrow(
-        work, f"doc_id {kind}, n_tokens bigint, n_known bigint, base double, score double, rare array<binary>"
+        work, f"doc_id {kind}, n_tokens bigint, n_known bigint, base double, score double, rare array<binary>, odd array<bigint>, times array<int>"
     )
 
 
@@ -244,27 +330,34 @@ def lm_scores(docs: DataFrame, rule: TreeRule = TreeRule(), id_col: str = "doc_i
     of the smoothed mass and the tree is uniform over bytes. No rows in, no rows out. Further columns are not returned.
     """
     rows = narrow(docs, doc_id=id_col, text=text_col)
-    words, grams = corpus_counts(rows.filter(fold("doc_id", 5) != 1), rule)
+    words, grams = corpus_counts(rows.withColumn("held", fold("doc_id", 5) == 1), rule)
     tokens, kinds, ends = words.agg(
         F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.sum(F.when(F.col("word") == F.lit(END), F.col("n"))), F.lit(0))
     ).first()
-    tree = SuffixTree.of([level.toArrow() for level in tree_levels(grams, rule)], rule)
+    values = gram_values(grams, rule)
+    places = values.agg(F.coalesce(F.sum("seen"), F.lit(0))).first()[0]
+    often = F.col("seen") >= rule.frequent * places
+    frequent = Frequent.of(values.filter(often).select("gram", "value").toArrow())  # at most 1 / rule.frequent n-grams
     usual = F.col("n") >= rule.common * tokens
     common = words.filter(usual).toArrow()  # at most 1 / rule.common words
 
     scored = materialize(
-        score_rows(rows, tree, common, tokens, kinds, ends, rule).withColumn("row", F.monotonically_increasing_id()), "lm-scored"
+        score_rows(rows, frequent, common, tokens, kinds, ends, rule).withColumn("row", F.monotonically_increasing_id()), "lm-scored"
     )
-    rare = scored.select("row", F.explode("rare").alias("word"))
     c = F.coalesce("n", F.lit(0))
-    sums = rare.join(words.filter(~usual), "word", "left").groupBy("row").agg(
-        F.sum(F.log10(c + 0.5) - F.lit(float(np.log10(tokens + 0.5 * (kinds + 1))))).alias("more"), F.count("n").alias("known")
+    rare = scored.select("row", F.explode("rare").alias("word")).join(words.filter(~usual), "word", "left").select(
+        "row", F.log10(c + 0.5) - F.lit(float(np.log10(tokens + 0.5 * (kinds + 1)))), F.col("n").isNotNull().cast("int"), F.lit(0.0)
     )
+    odd = scored.select("row", F.explode(F.arrays_zip("odd", "times")).alias("o")).select("row", F.col("o.odd").alias("gram"), F.col("o.times").alias("times"))
+    odd = odd.join(values.filter(~often), "gram").select("row", F.lit(0.0), F.lit(0), F.col("times") * F.col("value"))
+    parts = rare.union(odd).toDF("row", "more", "known", "less")
+    sums = parts.groupBy("row").agg(F.sum("more").alias("more"), F.sum("known").alias("known"), F.sum("less").alias("less"))
     joined = scored.select("row", "doc_id", "n_tokens", "n_known", "base", "score").join(sums, "row", "left")
     return joined.select(
         "doc_id", (fold("doc_id", 5) == 1).alias("held_out"), "n_tokens",
         (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"), "score",
+        (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
+        (F.col("score") + F.coalesce("less", F.lit(0.0))).alias("score"),
     )
 
 

@@ -125,3 +125,24 @@ def test_tree_scores_held_out_texts_better_than_a_shallow_one(spark, sf_dir):
     held = found[found["held_out"]]
     shallow = lm_score.lm_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"), lm_score.TreeRule(depth=1)).toPandas()
     assert held["score"].sum() > 0.8 * shallow[shallow["held_out"]]["score"].sum()
+
+
+def test_the_tree_grows_with_the_corpus(spark):
+    """A context of a few occurrences stays a state however much other text surrounds it."""
+    rare = "kabcz mabcw " * 12
+    filler = ["defg " * 400_000] * 12  # over a million places for each occurrence of the rare context
+    for texts in ([rare], [rare, *filler]):
+        states = tree_of(spark, texts, lm_score.TreeRule()).states
+        assert int.from_bytes(b"kabc", "big") in states[3]
+
+
+@pytest.mark.parametrize("frequent", [0.0, 1e-3, 2.0])
+def test_scores_are_those_of_the_whole_tree(spark, frequent):
+    """Whether n-grams are looked up in memory or joined doesn't matter, nor whether training has them."""
+    rule = lm_score.TreeRule(frequent=frequent)
+    tree = tree_of(spark, [t for i, t, *_ in edge_rows() if zlib.crc32(str("" if i is None else i).encode()) % 5 != 1], rule)
+    found = {(r["doc_id"], r["n_tokens"]): r["score"] for r in lm_score.lm_scores(frame(spark), rule).collect()}
+    for i, text, *_ in edge_rows():
+        words = lm_score.words_of(text or "")
+        expected = tree.log10(lm_score.packed([lm_score.line_of(words)], rule.depth)).sum()
+        assert found[i, len(words) + 1] == pytest.approx(expected)
