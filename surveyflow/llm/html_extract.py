@@ -3,7 +3,7 @@
 The texts of a page are grouped by their path of tags from the root. Long texts with much punctuation share few paths,
 short ones without share others, so the length and the punctuation per text of a path, smoothed along the page, fused
 and compared with a threshold, tell the core of the article. The article is what stands around that core: the blocks of
-the deepest container that holds most of it, without the parts that its tags or names call something else.
+the deepest container that holds all of it, without the parts that its tags or names call something else.
 """
 
 from __future__ import annotations
@@ -55,8 +55,6 @@ class PathRule:
     kernel: tuple[float, ...] = (0.25, 0.5, 0.25)
     #: A text belongs to the core from this part of the mean of all fused ratios on.
     threshold: float = 0.5
-    #: The container holds at least this part of the core.
-    hold: float = 0.7
     #: On a page without an article element, a part with more than this share of the text isn't left out for its name.
     named: float = 0.5
     #: A block with a larger share of link text is no content.
@@ -159,8 +157,8 @@ def fused_ratios(paths: list[str], texts: list[str], rule: PathRule) -> np.ndarr
     return length * (1 + marks)
 
 
-def container(lines: list[list[int]], weights: np.ndarray, reader: PageReader, rule: PathRule) -> int:
-    """The deepest element, no leaf block, that holds most of the core; an article around it goes before."""
+def container(lines: list[list[int]], weights: np.ndarray, reader: PageReader) -> int:
+    """The deepest element, no leaf block, that holds all of the core; an article or else a main around it goes before."""
     held: dict[int, float] = defaultdict(float)
     for line, weight in zip(lines, weights):
         for e in line:
@@ -169,13 +167,14 @@ def container(lines: list[list[int]], weights: np.ndarray, reader: PageReader, r
     for line in lines:
         for above, below in zip(line, line[1:]):
             children[above].add(below)
-    at, need = 0, rule.hold * weights.sum()
+    at, need = 0, weights.sum()  # whole numbers
     while inner := [e for e in sorted(children[at]) if held[e] >= need and reader.tags[e] not in LEAVES]:
         at = inner[0]
     way = reader.ancestors(at)
-    for e in way:
-        if reader.tags[e] == "article":
-            return e
+    for tag in ("article", "main"):
+        for e in way:
+            if reader.tags[e] == tag:
+                return e
     above = way[-2] if len(way) > 1 else 0
     headed = any(line[-1] != at and reader.tags[line[-1]] in HEADINGS and line[-2:-1] == [above] for line in lines)
     return above if headed and reader.tags[above] not in ("body", "html", "#") else at
@@ -207,7 +206,7 @@ def main_text(html: str, rule: PathRule = PathRule()) -> str:
     ratios = fused_ratios(["/".join(reader.tags[e] for e in line) for line in lines], texts, rule)
     core = ratios >= rule.threshold * ratios.mean()
     weights = np.where(core, [len(t) for t in texts], 0).astype(float)
-    at = container(lines, weights, reader, rule)
+    at = container(lines, weights, reader)
     return "\n".join(text for line, text in zip(lines, texts) if at in line)
 
 

@@ -59,3 +59,15 @@ def test_edges(spark):
     found = sorted(((r["page_id"], r["url"], r["n_chars"]) for r in html_extract.extract_pages(df).collect()), key=repr)
     assert found[:3] == [(1, None, 0), (2, "u", 0), (2, "u", 0)] and (3, "u", 6 * 200_000 - 1) in found and (None, "u", len(A)) in found
     assert html_extract.extract_pages(df.limit(0)).count() == 0
+
+
+def part(words, seeds):
+    return "".join(f"<p>{sentence(s, words)}</p>" for s in seeds), "\n".join(sentence(s, words) for s in seeds)
+
+
+@pytest.mark.parametrize("outer, inner", [("<main>|</main>", "div"), ("<div class=content>|</div>", "section"), ("<div>|</div>", "article")])
+def test_a_smaller_body_part_stays(outer, inner):
+    (large, a), (small, b) = part(30, range(10, 16)), part(30, range(20, 22))
+    body = outer.replace("|", f"<{inner}>{large}</{inner}><{inner}>{small}</{inner}>")
+    page = f"<html><body><nav><a href=x>Menu</a></nav>{body}<footer>us</footer></body></html>"
+    assert html_extract.main_text(page) == f"{a}\n{b}"
