@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from html.parser import HTMLParser
 
 import numpy as np
@@ -27,11 +27,12 @@ INLINE = frozenset(
     "strong sub sup time tt u var wbr".split()
 )
 SKIPPED = frozenset(
-    "script style noscript template svg math iframe object canvas audio video head title nav footer aside form button "
+    "script style noscript template svg math iframe object canvas audio video head title nav footer aside button "
     "select option textarea label fieldset dialog menu".split()
 )
 LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre figure figcaption address hr".split())
 HEADINGS = frozenset("h1 h2".split())
+ANCHORS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSED_BY_BLOCK = frozenset("p".split())
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 SCOPES = frozenset("ul ol dl table body html article section main div".split())
@@ -44,6 +45,8 @@ OTHER = frozenset(
     "subscribe subscription newsletter share sharing social related recommended breadcrumb breadcrumbs pagination pager "
     "widget toolbar".split()
 )
+#: Names of readers' comments, which read like an article: no ratio tells them from it.
+COMMENTS = frozenset("comment comments reply replies disqus list section area thread threads wrapper".split())
 NAME_PARTS = re.compile(r"[a-z]+|[A-Z]+[a-z]*")
 SPACE = re.compile(r"\s+")
 PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？、]")
@@ -55,9 +58,9 @@ class PathRule:
     kernel: tuple[float, ...] = (0.25, 0.5, 0.25)
     #: A text belongs to the core from this part of the mean of all fused ratios on.
     threshold: float = 0.5
-    #: On a page without an article element, a part with more than this share of the text isn't left out for its name.
+    #: A form, and on a page without an article element a named part, with more than this share of the text may hold the core.
     named: float = 0.5
-    #: A block with a larger share of link text is no content.
+    #: A block with a larger share of link text is no part of the core.
     links: float = 0.6
 
 
@@ -78,7 +81,7 @@ class PageReader(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.tags, self.parents = ["#"], [-1]
-        self.skip, self.other = [False], [False]
+        self.skip, self.other, self.comments = [False], [False], [False]
         self.stack, self.links = [0], 0
         self.blocks: list[Block] = []
         self.current: Block | None = None
@@ -110,6 +113,7 @@ class PageReader(HTMLParser):
         self.parents.append(self.stack[-1])
         self.skip.append(tag in SKIPPED or hidden or (tag == "header" and not inside))
         self.other.append(not parts.isdisjoint(OTHER))
+        self.comments.append(any(not p.isdisjoint(OTHER) and p <= COMMENTS for p in ({w.lower() for w in NAME_PARTS.findall(n)} for v in names for n in v.split())))
         self.stack.append(len(self.tags) - 1)
 
     def handle_endtag(self, tag: str) -> None:
@@ -190,6 +194,14 @@ def main_text(html: str, rule: PathRule = PathRule()) -> str:
         line = reader.ancestors(block.element)
         if not any(reader.skip[e] for e in line) and (text := block.text):
             found.append((line, text, block.linked / len(text)))
+    forms = {e for e, tag in enumerate(reader.tags) if tag == "form"}
+    written = {e: 0 for e in forms}
+    for line, text, linked in found:
+        for e in forms.intersection(line):
+            written[e] += len(text) if linked <= rule.links else 0
+    most = rule.named * sum(len(text) for _, text, linked in found if linked <= rule.links)
+    asked = {e for e in forms if written[e] <= most}
+    found = [x for x in found if asked.isdisjoint(x[0])]
     total = sum(len(text) for _, text, _ in found)
     share: dict[int, int] = defaultdict(int)
     for line, text, _ in found:
@@ -198,16 +210,25 @@ def main_text(html: str, rule: PathRule = PathRule()) -> str:
     marked = [e for e, tag in enumerate(reader.tags) if tag in ("article", "main") and e in share]
     around = {e for m in marked for e in reader.ancestors(m)}
     left_out = {e for e in share if reader.other[e] and (e not in around if marked else share[e] <= rule.named * total)}
-    found = [x for x in found if left_out.isdisjoint(x[0])]
-    plain = [x for x in found if x[2] <= rule.links]
+    plain = [x for x in found if left_out.isdisjoint(x[0]) and x[2] <= rule.links]
+    plain = plain or [x for x in found if not set(marked).isdisjoint(x[0])]
     if not plain:
         return ""
+
+    def path(line: list[int]) -> str:
+        return "/".join(reader.tags[e] for e in line)
+
     lines, texts = [x[0] for x in plain], [x[1] for x in plain]
-    ratios = fused_ratios(["/".join(reader.tags[e] for e in line) for line in lines], texts, rule)
-    core = ratios >= rule.threshold * ratios.mean()
-    weights = np.where(core, [len(t) for t in texts], 0).astype(float)
-    at = container(lines, weights, reader)
-    return "\n".join(text for line, text in zip(lines, texts) if at in line)
+    ratios = fused_ratios([path(line) for line in lines], texts, rule)
+    least = rule.threshold * ratios.mean()
+    at = container(lines, np.where(ratios >= least, [len(t) for t in texts], 0).astype(float), reader)
+    inside = [x for x in found if at in x[0]]
+    # names decide together with a low ratio only, which neighbours have no part in; those of headings are link targets
+    own = fused_ratios([path(line) for line, *_ in inside], [text for _, text, _ in inside], replace(rule, kernel=(1.0,)))
+    dense = {e for (line, _, linked), ratio in zip(inside, own) if ratio >= least and linked <= rule.links for e in line}
+    above = set(reader.ancestors(at))
+    dropped = {e for e in left_out - above if reader.comments[e] or (e not in dense and reader.tags[e] not in ANCHORS)}
+    return "\n".join(text for line, text, _ in inside if dropped.isdisjoint(line))
 
 
 def extract_pages(

@@ -71,3 +71,21 @@ def test_a_smaller_body_part_stays(outer, inner):
     body = outer.replace("|", f"<{inner}>{large}</{inner}><{inner}>{small}</{inner}>")
     page = f"<html><body><nav><a href=x>Menu</a></nav>{body}<footer>us</footer></body></html>"
     assert html_extract.main_text(page) == f"{a}\n{b}"
+
+
+def test_link_heavy_blocks_of_an_article_stay():
+    page = f"<article><p>{A}</p><p>{B}</p><p><a href=s>Source: the archive</a></p><ul><li><a href=r>First paper, 1999.</a></li></ul></article>"
+    assert html_extract.main_text(page) == f"{A}\n{B}\nSource: the archive\nFirst paper, 1999."
+    assert html_extract.main_text("<article><ul><li><a href=r>One paper.</a></li></ul></article>") == "One paper."
+
+
+@pytest.mark.parametrize("wrap", ["article", "main", "div"])
+@pytest.mark.parametrize("name", ["id='related-work'", "id='search-methods'", "class='discussion'"])
+def test_sections_of_an_article_stay_whatever_their_name(wrap, name):
+    page = f"<{wrap}><p>{A}</p><p>{B}</p><section {name}><h2 id='social-history'>A heading</h2><p>{C}</p></section><div class='share'>Share it</div></{wrap}>"
+    assert html_extract.main_text(page) == f"{A}\n{B}\nA heading\n{C}"
+
+
+def test_a_form_around_the_page():
+    page = f"<body><form id=aspnet><div class=menu><a href=x>Home</a></div><div><p>{A}</p><p>{B}</p></div></form><form><p>Search, please.</p></form></body>"
+    assert html_extract.main_text(page) == f"{A}\n{B}"
