@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyflow.llm.common import buffered, materialize, narrow, table, text_rows
+from surveyflow.llm.common import buffered, materialize, narrow, table, text_rows, whole
 
 LAST = 2**63 - 1
 
@@ -82,13 +82,13 @@ def anchors(half: np.ndarray, width: int) -> np.ndarray:
 
 
 def first_level(docs: DataFrame, length: int) -> DataFrame:
-    """(at, size, digest, halves) of every row: its words' digest and the anchors of its windows, each twice at most."""
+    """(at, key, digest, halves) of every row: its words' digest and the anchors of its windows, each twice at most."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("at", pa.int64()), ("size", pa.int64()), ("digest", pa.binary()), ("halves", pa.list_(pa.int64()))])
+        schema = pa.schema([("at", pa.int64()), ("key", pa.binary()), ("digest", pa.binary()), ("halves", pa.list_(pa.int64()))])
 
         def rows(batch: pa.RecordBatch, texts: list[str]) -> Iterator[tuple]:
-            for at, text in zip(batch.column("at").to_pylist(), texts):
+            for at, key, text in zip(batch.column("at").to_pylist(), batch.column("key").to_pylist(), texts):
                 words = words_of(text)
                 digest = hashlib.sha256(b" ".join(words)).digest()[:16]
                 halves = np.empty(0, np.uint64)
@@ -96,21 +96,21 @@ def first_level(docs: DataFrame, length: int) -> DataFrame:
                     halves_of = window_hashes(word_hashes(words), half_of(length))[0]
                     hashes, counts = np.unique(anchors(halves_of, length - half_of(length) + 1), return_counts=True)
                     halves = np.concatenate([hashes, hashes[counts > 1]])
-                yield at, len(words), digest, halves.view(np.int64)
+                yield at, key, digest, halves.view(np.int64)
 
         for batch, texts in text_rows(batches):
             yield from buffered(rows(batch, texts), schema, 2048, lambda row: 8 * len(row[3]))
 
-    return docs.mapInArrow(work, "at bigint, size bigint, digest binary, halves array<bigint>")
+    return docs.mapInArrow(work, "at bigint, key binary, digest binary, halves array<bigint>")
 
 
 def full_windows(docs: DataFrame, length: int) -> DataFrame:
-    """(h1, h2, at, start) of the full windows of ``docs`` (at, text, halves) whose anchor is among the halves."""
+    """(h1, h2, place, start) of the full windows of ``docs`` (place, text, halves) whose anchor is among the halves."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_rows(batches):
             halves = batch.column("halves")
-            for k, (at, text) in enumerate(zip(batch.column("at").to_pylist(), texts)):
+            for k, (place, text) in enumerate(zip(batch.column("place").to_pylist(), texts)):
                 single = word_hashes(words_of(text))
                 half = window_hashes(single, half_of(length))
                 least = anchored(half[0], length - half_of(length) + 1)
@@ -119,10 +119,10 @@ def full_windows(docs: DataFrame, length: int) -> DataFrame:
                 whole = joined(half[:, start], half[:, start + length - half_of(length)]).view(np.int64)
                 for low in range(0, len(start), 100_000):
                     part = slice(low, low + 100_000)
-                    columns = [whole[0, part], whole[1, part], np.full(len(start[part]), at), start[part].astype(np.int32)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h1", "h2", "at", "start"])
+                    columns = [whole[0, part], whole[1, part], np.full(len(start[part]), place), start[part].astype(np.int32)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h1", "h2", "place", "start"])
 
-    return docs.mapInArrow(work, "h1 bigint, h2 bigint, at bigint, start int")
+    return docs.mapInArrow(work, "h1 bigint, h2 bigint, place bigint, start int")
 
 
 def keep_words(docs: DataFrame, length: int) -> DataFrame:
@@ -158,29 +158,34 @@ def substring_dedup(docs: DataFrame, length: int = 20, id_col: str = "doc_id", t
 
     A word goes if a window over it also starts earlier: in a smaller doc_id, or before it in the same document. What was
     removed still counts as an earlier start. Texts of fewer than ``length`` words keep all; a null text has no words. A
-    null doc_id comes after all others, and such rows count as one document. Rows that repeat an id and its text stand
-    at the same place, so they lose the same words; ids are taken to name one text each. No rows in, no rows out. Ids
-    are whole numbers; further columns are not returned.
+    null doc_id comes after all others. Unlike texts of one id, or of none, are documents of their own and follow each
+    other by the MD5 of their texts; rows that repeat both stand at the same place, so they lose the same words. No rows
+    in, no rows out. Ids are whole numbers; further columns are not returned.
     """
-    rows = narrow(docs, doc_id=id_col, text=text_col).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("at"), "text")
-    level = materialize(first_level(rows, length), "windows-first")
+    rows = narrow(docs, doc_id=id_col, text=text_col).select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("at"), F.unhex(F.md5(whole("text"))).alias("key"), "text"
+    )
+    level = materialize(first_level(rows, length).withColumn("row", F.monotonically_increasing_id()), "windows-first")
 
-    originals = level.groupBy("digest").agg(F.min("at").alias("original"))
-    copies = level.join(originals, "digest").filter("at > original").select("at").distinct()
-    heads = level.join(copies, "at", "left_anti")
+    # numbered in the order of documents: ranges in order, and rows in order in each; of repeated rows one stands for all
+    ordered = level.groupBy("at", "key", "digest").agg(F.min("row").alias("row")).repartitionByRange("at", "key").sortWithinPartitions("at", "key")
+    places = materialize(ordered.withColumn("place", F.monotonically_increasing_id()), "windows-places")
+    originals = places.groupBy("digest").agg(F.min("place").alias("original"))
+    copies = places.join(originals, "digest").filter("place > original").select("at", "key")
+    heads = level.join(copies, ["at", "key"], "left_anti")
 
-    halves = heads.select(F.explode("halves").alias("half"), "at")
+    halves = heads.select(F.explode("halves").alias("half"), "row")
     repeated = halves.groupBy("half").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("half")
-    survivors = materialize(
-        halves.join(repeated, "half", "left_semi").groupBy("at").agg(F.collect_set("half").alias("halves")), "windows-halves"
-    )
-
-    windows = full_windows(rows.join(survivors, "at").select("at", "text", "halves"), length)
-    earliest = windows.groupBy("h1", "h2").agg(F.min(F.struct("at", "start")).alias("first"), F.count(F.lit(1)).alias("n"))
-    later = windows.join(earliest.filter("n > 1"), ["h1", "h2"]).filter(F.struct("at", "start") > F.col("first"))
-    removed = later.groupBy("at").agg(F.collect_list("start").alias("starts")).withColumn("copied", F.lit(False))
-    copied = copies.select("at", F.lit(None).cast("array<int>").alias("starts"), F.lit(True).alias("copied"))
-    marked = rows.join(removed.unionByName(copied), "at", "left").select("at", "text", "starts", F.coalesce("copied", F.lit(False)).alias("copied"))
+    found = halves.join(repeated, "half", "left_semi").groupBy("row").agg(F.collect_set("half").alias("halves"))
+    survivors = materialize(found.join(places, "row").select("at", "key", "place", "halves"), "windows-halves")
+
+    windows = full_windows(rows.join(survivors, ["at", "key"]).select("place", "text", "halves"), length)
+    earliest = windows.groupBy("h1", "h2").agg(F.min(F.struct("place", "start")).alias("first"), F.count(F.lit(1)).alias("n"))
+    later = windows.join(earliest.filter("n > 1"), ["h1", "h2"]).filter(F.struct("place", "start") > F.col("first"))
+    starts = later.groupBy("place").agg(F.collect_list("start").alias("starts"))
+    removed = starts.join(places, "place").select("at", "key", "starts", F.lit(False).alias("copied"))
+    copied = copies.select("at", "key", F.lit(None).cast("array<int>").alias("starts"), F.lit(True).alias("copied"))
+    marked = rows.join(removed.unionByName(copied), ["at", "key"], "left").select("at", "text", "starts", F.coalesce("copied", F.lit(False)).alias("copied"))
     kept = keep_words(marked, length)
     return kept.select(F.when(F.col("at") != LAST, F.col("at")).alias("doc_id"), "n_words", "n_removed", "kept_text")
 

@@ -68,3 +68,16 @@ def test_anchors_are_the_smallest_halves():
     assert (S.anchored(half, 11) == least).all()
     places = {j for i in range(190) for j in range(i, i + 11) if half[j] == least[i]}
     assert sorted(S.anchors(half, 11)) == sorted(half[sorted(places)])
+
+
+def test_unlike_texts_of_one_id_are_documents_of_their_own(spark):
+    """Null and repeated ids, one of them a copy, others sharing passages with each other, in the order of their MD5."""
+    passage, whole = prose(60, 30), prose(61, 40)
+    texts = [whole, prose(62, 50), f"{prose(63, 25)} {passage}", f"{passage} {prose(64, 90)}", prose(65, 21), f"{prose(66, 7)} {passage} {passage}"]
+    rows = [(1, whole), *((None, t) for t in texts), (None, texts[2]), *((5, f"{t} end") for t in texts[1:4]), (6, texts[4])]
+    docs = sorted({*rows}, key=lambda r: (r[0] is None, r[0] or 0, hashlib.md5(r[1].encode()).digest()))
+    numbered = {r: k for k, r in enumerate(docs)}
+    by_number = {r[0]: r[1:] for r in brute([(k, t) for (_, t), k in numbered.items()])}
+    expected = sorted(((r[0], *by_number[numbered[r]]) for r in rows), key=repr)
+    found = S.substring_dedup(frame(spark, [(*r, None, None) for r in rows]))
+    assert listed(found, "doc_id", "n_words", "n_removed", "kept_text") == expected
