@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from surveyflow.llm import (
     bpe,
     exact_dedup,
+    filter_audit,
     html_extract,
     language_id,
     lm_score,
@@ -30,10 +31,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": bpe.query,
     "op9_simhash": simhash.query,
     "op10_quality_mil": quality_mil.query,
+    "op12_filter_audit": filter_audit.query,
 }
 
 SQL: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.SQL,
     "op2_mixing": mixing.SQL,
     "op5_substring_dedup": substring_dedup.SQL,
+    "op12_filter_audit": filter_audit.SQL,
 }
