@@ -14,6 +14,7 @@ from surveyflow.llm import (
     language_id,
     lm_score,
     mixing,
+    private_terms,
     quality_mil,
     quality_rules,
     simhash,
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": simhash.query,
     "op10_quality_mil": quality_mil.query,
     "op12_filter_audit": filter_audit.query,
+    "op13_private_terms": private_terms.query,
 }
 
 SQL: dict[str, str] = {

@@ -1,0 +1,161 @@
+"""Personal data against the plain patterns, and revealing terms against counts in plain Python."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import time
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm_cases import edge_rows, frame, listed, prose
+
+from surveyflow.llm import private_terms as P
+
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits: str) -> bool:
+    total = 0
+    for place, d in enumerate(reversed(digits)):
+        d = int(d) * (1 + place % 2)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def plain_spans(text: str) -> list:
+    found = []
+    for kind, pattern in PLAIN.items():
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m.group())
+            good = {
+                "email": True, "ip": kind == "ip" and all(int(p) <= 255 for p in m.group().split(".")),
+                "card": 16 <= len(digits) <= 19 and luhn(digits), "phone": 8 <= len(digits) <= 15,
+            }[kind]
+            if good:
+                found.append((kind, *m.span()))
+    return found
+
+
+PIECES = st.sampled_from(
+    ["@", ".", "-", "+1", " ", "a", "b.c", "1", "25", "256", "0", "(", ")", "+", "%", "ä", "😀", "4111111111111111", "\n", "x@y.zz",
+     "1.2.3.4", "001", "+44 20 7946 0958", "4111 1111 1111 1111", "5500-0000-0000-0004"]
+)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(PIECES, max_size=25).map("".join))
+def test_base_spans_are_those_of_the_patterns(text):
+    assert P.base_spans(text) == plain_spans(text)
+
+
+def test_long_runs_take_linear_time():
+    start = time.perf_counter()
+    for run in ("a" * 400_000, "1" * 400_000, "1." * 200_000, "a.b@" * 100_000, "+1 " * 130_000, "1 " * 200_000, "a@b." * 100_000):
+        P.base_spans(run)
+    assert time.perf_counter() - start < 10
+
+
+def people(spark):
+    """Zork and Quibble stand by one address only, in different sentences; 'please' stands everywhere."""
+    rows = [(i, f"please {prose(i, 30)} Zork Quibble zork@mail.example {prose(100 + i, 5)} please", "en", "a") for i in range(6)]
+    rows += [(50 + i, f"{prose(i + 300, 40)} please quibble {prose(i + 500, 5)}", "en", "a") for i in range(3)]
+    copies = f"{prose(900, 12)} Fnord fnord@mail.example {prose(901, 12)}"
+    rows += [(100 + i, copies, "en", "b") for i in range(20)]
+    rows += [(None, rows[0][1], None, None), (0, rows[0][1], "en", "a"), (1, "other text", "en", "a")]
+    rows += [(1000 + i, f"{prose(i + 2000, 40)} please help@site.example", "en", "c") for i in range(100)]
+    rows += [(3000 + i, prose(i + 4000, 30), "en", "d") for i in range(400)]
+    return rows + edge_rows()
+
+
+def shares(rows, rule):
+    """(entity, term): share, by loops over the documents."""
+    held, contexts, total = {}, {}, len(rows)
+    gap = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    lower = lambda s: "".join(c.lower() if "A" <= c <= "Z" else c for c in s)
+    words = {}
+    for n, (_, text, *_) in enumerate(rows):
+        text = text or ""
+        spans = plain_spans(text)
+        for m in gap.finditer(text):
+            words.setdefault(lower(m.group()), set()).add(n)
+        for kind, s, e in spans:
+            near = [
+                lower(m.group()) for m in gap.finditer(text)
+                if m.start() >= s - rule.window and m.end() <= e + rule.window and m.end() - m.start() > 1
+                and not any(m.start() < b and m.end() > a for _, a, b in spans)
+            ]
+            entity = text[s:e].lower()
+            for term in [None, *near]:
+                held.setdefault((entity, term), set()).add(n)
+                contexts.setdefault((entity, term), set()).add(tuple(near))
+    found = {}
+    for (entity, term), docs in held.items():
+        bits = math.log2(total / len(held[entity, None]))
+        if term and len(contexts[entity, term]) >= rule.support and bits >= rule.bits:
+            told = math.log2(len(docs) * total / (len(words[term]) * len(held[entity, None])))
+            if told / bits >= rule.generalise:
+                found[entity, term] = round(told / bits, 9)
+    return found
+
+
+def test_terms_against_plain_counts(spark):
+    rows, rule = people(spark), P.Disclosure()
+    df = frame(spark, rows)
+    found = P.scan(df, rule.window, "doc_id", "text").cache()
+    made = {(bytes(r["entity"]), r["term"]): (round(r["share"], 9), r["remove"]) for r in P.disclosing(found, df, rule, "text").collect()}
+    expected = shares(rows, rule)
+    assert {(P.entity_of("email", e), t): s for (e, t), s in expected.items()} == {k: s for k, (s, _) in made.items()}
+    assert ("zork@mail.example", "zork") in expected and not any(t in ("please", "fnord") for _, t in expected)
+    assert made[P.entity_of("email", "zork@mail.example"), "zork"][1]
+    assert not made[P.entity_of("email", "zork@mail.example"), "quibble"][1]
+
+
+def test_spans_and_sanitised_texts(spark):
+    rows = people(spark)
+    df = frame(spark, rows)
+    out = P.private_spans(df).collect()
+    texts = {}
+    for i, text, *_ in rows:
+        texts.setdefault(i, []).append(text or "")
+    assert sorted((str(r["doc_id"]) for r in out)) == sorted(str(i) for i, *_ in rows)
+    for r in out:
+        text = next(t for t in texts[r["doc_id"]] if hashlib.sha256(t.encode()).digest() == bytes(r["digest"]))
+        base = plain_spans(text)
+        joined = ",".join(f"{k}:{s}:{e}" for k, s, e in base)
+        assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        assert [r[f"n_{k}"] for k in P.KINDS] == [sum(x == k for x, _, _ in base) for k in P.KINDS]
+        terms = [text[t["start"] : t["end"]].lower() for t in r["terms"]]
+        assert r["spans"] == ",".join([*filter(None, [joined]), *(f"term:{t['start']}:{t['end']}" for t in r["terms"])])
+        if text == rows[0][1]:
+            assert terms[:2] == ["zork", "quibble"]
+        if "fnord" in text or "help@" in text or not base:
+            assert terms == []
+    clean = dict(listed(P.sanitise(df).filter("doc_id between 0 and 5 or doc_id >= 100 or doc_id = 4"), "doc_id", "text"))
+    assert "Zork" not in clean[0] and "<name> <email>" in clean[0] and clean[0].startswith("please")
+    assert "Fnord <email>" in clean[100] and "please <email>" in clean[1000] and clean[3001] == rows[-len(edge_rows()) - 399][1]
+    missing = P.sanitise(frame(spark, [(4, None, "en", "b"), (5, "", "en", "b")]))
+    assert listed(missing, "doc_id", "text") == [(4, None), (5, "")]
+
+
+def test_empty_and_without_personal_data(spark):
+    assert P.private_spans(frame(spark, [])).count() == 0 and P.sanitise(frame(spark, [])).count() == 0
+    plain = frame(spark, [(1, "nothing here", "en", "a"), (None, None, None, None)])
+    assert {r["spans"] for r in P.private_spans(plain).collect()} == {""}
+
+
+def test_string_ids(spark):
+    df = frame(spark, people(spark)).withColumn("doc_id", P.F.concat(P.F.lit("d"), "doc_id"))
+    assert P.private_spans(df).filter("doc_id = 'd2' and size(terms) >= 2").count() == 1
+
+
+def test_one_text_with_many_entities(spark):
+    text = " ".join(f"{w} u{i}@x.yz" for i, w in enumerate(prose(8, 20_000).split()))
+    (row,) = P.private_spans(frame(spark, [(1, text, "en", "a")])).collect()
+    assert row["n_email"] == 20_000
