@@ -10,6 +10,7 @@ from surveyflow.llm import (
     bpe,
     exact_dedup,
     filter_audit,
+    hard_negatives,
     html_extract,
     language_id,
     lm_score,
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": bpe.query,
     "op9_simhash": simhash.query,
     "op10_quality_mil": quality_mil.query,
+    "op11_hard_negatives": hard_negatives.query,
     "op12_filter_audit": filter_audit.query,
     "op13_private_terms": private_terms.query,
 }
@@ -40,5 +42,6 @@ SQL: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.SQL,
     "op2_mixing": mixing.SQL,
     "op5_substring_dedup": substring_dedup.SQL,
+    "op11_hard_negatives": hard_negatives.SQL,
     "op12_filter_audit": filter_audit.SQL,
 }
