@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -47,6 +48,8 @@ _NO_DIGITS = re.compile(r"[^0-9]+")
 _GAP = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
 _TERM = re.compile(f"[^{_GAP}]+")
 _UPPER = {c: c + 32 for c in range(65, 91)}
+#: Candidate terms that are sent to every task; beyond it they are joined.
+LOOKED_UP = 200_000
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -136,10 +139,10 @@ def listing(spans: list[Span]) -> str:
 
 
 def evidence(text: str, spans: list[Span], window: int) -> Iterator[tuple]:
-    """(entity, term, context, fresh, start, end) of every term near an entity, and of the entity itself without a term.
+    """(entity, term, context, fresh, near, start, end) of every term near an entity, and of the entity without a term.
 
-    ``fresh`` is 1 at a document's first row of the entity, and of the entity with that term; ``context`` is a number for
-    the terms of the window.
+    ``fresh`` is 1 at a document's first row of the entity, and of the entity with that term, ``near`` at its first row of
+    the term with any entity; ``context`` is a number for the terms of the window.
     """
     taken, seen = union(spans), set()
     for kind, start, end in spans:
@@ -147,15 +150,15 @@ def evidence(text: str, spans: list[Span], window: int) -> Iterator[tuple]:
         words = " ".join(term for term, _, _ in near).encode("utf-8", "surrogatepass")
         context = int.from_bytes(hashlib.blake2b(words, digest_size=8).digest(), "little", signed=True)
         for term, s, e in [(None, start, end), *near]:
-            fresh = (entity, term) not in seen
-            seen.add((entity, term))
-            yield entity, term, context, int(fresh), s, e
+            fresh, first = (entity, term) not in seen, term not in seen
+            seen.update([(entity, term), term])
+            yield entity, term, context, int(fresh), int(first), s, e
 
 
 _COUNTS = [f"n_{kind}" for kind in KINDS]
 _ROWS = (
     [("digest", pa.binary()), *((n, pa.int64()) for n in _COUNTS), ("base", pa.string()), ("base_sha256", pa.string())]
-    + [("entity", pa.binary()), ("term", pa.string()), ("context", pa.int64()), ("fresh", pa.int32())]
+    + [("entity", pa.binary()), ("term", pa.string()), ("context", pa.int64()), ("fresh", pa.int32()), ("near", pa.int32())]
     + [("start", pa.int64()), ("end", pa.int64())]
 )
 _TYPES = {pa.binary(): "binary", pa.int64(): "long", pa.int32(): "int", pa.string(): "string"}
@@ -166,7 +169,7 @@ def scan(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
     rows = narrow(docs, doc_id=id_col, text=text_col).withColumn("text", whole("text"))
     rows = rows.select("doc_id", "text", F.unhex(F.sha2("text", 256)).alias("digest"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    nothing = (None,) * 6
+    nothing = (None,) * 7
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made():
@@ -197,29 +200,55 @@ def _chained(first, rest):
 
 def disclosing(found: DataFrame, docs: DataFrame, rule: Disclosure, text_col: str) -> DataFrame:
     """(entity, term, share, remove): the terms that say too much of an entity, and whether they go or are generalised."""
+    total = found.filter(F.col("entity").isNull()).count()
     rows = found.filter(F.col("entity").isNotNull())
     contexts = rows.groupBy("entity", "term", "context").agg(F.sum("fresh").alias("held"))
     counted = contexts.groupBy("entity", "term").agg(F.sum("held").alias("held"), F.count(F.lit(1)).alias("contexts"))
     counted = materialize(counted.filter(F.col("contexts") >= rule.support), "private-pairs")
     pairs = counted.filter(F.col("term").isNotNull()).select("entity", "term", F.col("held").alias("both"))
+    bits = F.log2(F.lit(float(total)) / F.col("with_entity"))
     entities = counted.filter(F.col("term").isNull()).select("entity", F.col("held").alias("with_entity"))
+    entities = entities.withColumn("bits", bits).filter(F.col("bits") >= rule.bits)
 
-    # Documents of a term are counted for candidates only. Spark joins by the stored size of the candidates.
-    candidates = materialize(pairs.select("term").distinct(), "private-candidates")
-    words = F.array_distinct(F.split(lower_ascii(whole(F.col("text"))), f"[{_GAP}]+"))
-    words = narrow(docs, text=text_col).select(F.explode(words).alias("term"))
-    held = words.join(candidates, "term").groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
-    total = found.filter(F.col("entity").isNull()).agg(F.count(F.lit(1)).alias("total"))
-
-    known = pairs.join(entities, "entity").join(held, "term").join(F.broadcast(total))  # one row
-    bits = F.log2(F.col("total") / F.col("with_entity"))
-    # a document may hold a term near an entity in the case only that the window tells, so both <= with_term
-    told = F.log2(F.col("both") * F.col("total") / (F.col("with_term") * F.col("with_entity")))
-    shares = known.filter(bits >= rule.bits).withColumn("share", told / bits)
-    much = shares.filter(F.col("share") >= rule.generalise)
+    def told(with_term: str):
+        """The share of the entity's bits that a term in so many documents tells."""
+        both = F.col("both") * F.lit(float(total)) / (F.col(with_term) * F.col("with_entity"))
+        return F.log2(both) / F.col("bits")
+
+    # A term is in at least the documents that hold it near some entity, which settles common words without a count.
+    near = rows.filter((F.col("near") == 1) & F.col("term").isNotNull()).groupBy("term").agg(F.count(F.lit(1)).alias("near"))
+    possible = pairs.join(entities, "entity").join(near, "term").filter(told("near") >= rule.generalise)
+    possible = materialize(possible, "private-possible")
+
+    held = document_counts(narrow(docs, text=text_col), materialize(possible.select("term").distinct(), "private-candidates"))
+    much = possible.join(held, "term").withColumn("share", told("with_term")).filter(F.col("share") >= rule.generalise)
     return much.select("entity", "term", "share", (F.col("share") >= rule.remove).alias("remove"))
 
 
+def document_counts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(term, with_term): how many texts hold each candidate term.
+
+    Up to `LOOKED_UP` candidates go to the tasks, which look the terms of a text up and pass on one count a term; more of
+    them meet the terms of all texts in a join. A candidate is no longer than a window, so their size is bounded as well.
+    """
+    if candidates.count() > LOOKED_UP:
+        words = F.array_distinct(F.split(lower_ascii(whole("text")), f"[{_GAP}]+"))
+        found = docs.select(F.explode(words).alias("term")).join(candidates, "term")
+        return found.groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
+    wanted = frozenset(r["term"] for r in candidates.collect())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[str] = Counter()
+        for _, texts in text_rows(batches):
+            for text in texts:
+                lowered = text.lower() if text.isascii() else text.translate(_UPPER)
+                counts.update(wanted.intersection(_TERM.findall(lowered)))
+        schema = pa.schema([("term", pa.string()), ("n", pa.int64())])
+        yield from buffered(iter(counts.items()), schema)
+
+    return docs.mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("with_term"))
+
+
 def private_spans(
     docs: DataFrame, rule: Disclosure = Disclosure(), id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:

@@ -7,6 +7,7 @@ import math
 import re
 import time
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_cases import edge_rows, frame, listed, prose
@@ -105,7 +106,10 @@ def shares(rows, rule):
     return found
 
 
-def test_terms_against_plain_counts(spark):
+@pytest.mark.parametrize("looked_up", [0, P.LOOKED_UP])
+def test_terms_against_plain_counts(spark, looked_up, monkeypatch):
+    """Candidates are joined, or looked up by the tasks."""
+    monkeypatch.setattr(P, "LOOKED_UP", looked_up)
     rows, rule = people(spark), P.Disclosure()
     df = frame(spark, rows)
     found = P.scan(df, rule.window, "doc_id", "text").cache()
