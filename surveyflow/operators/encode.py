@@ -17,49 +17,99 @@ from surveyflow.sources.scratch import materialize
 from surveyflow.spec import SurveySpec
 
 
+#: Values of a column that are looked up where the rows are; rarer ones of larger dictionaries take an exchange.
+SETTLED = 1 << 14
+
+
 def category_dictionary(df: DataFrame, columns: Sequence[str], missing: str) -> DataFrame:
-    """(column, value, idx): distinct values in code-point order, numbered from 0 per column; stored.
+    """(column, value, idx, n): distinct values in code-point order, numbered from 0 per column, and their rows; stored.
 
     All columns in one pass. Only distinct values are shuffled, into ranges of (column, value) that are numbered each by
     itself, so a column may have any number of values.
     """
     if not columns:
-        return df.sparkSession.createDataFrame([], "column string, value string, idx int")
+        return df.sparkSession.createDataFrame([], "column string, value string, idx int, n long")
     filled = df.select(*[fill_category(c, missing).alias(c) for c in columns])
-    distinct = filled.unpivot([], list(columns), "column", "value").distinct()
-    placed = running_totals(distinct, [F.col("value")], {"place": F.lit(1)}, "categories", by=["column"])
-    return materialize(placed.select("column", "value", (F.col("run_place") - 1).cast("int").alias("idx")), "dictionary")
+    values = filled.unpivot([], list(columns), "column", "value").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    placed = running_totals(values, [F.col("value")], {"place": F.lit(1)}, "categories", by=["column"])
+    return materialize(placed.select("column", "value", (F.col("run_place") - 1).cast("int").alias("idx"), "n"), "dictionary")
 
 
 @dataclass(frozen=True)
 class CategoryIndexer:
-    """Adds ``<column><suffix>``, the index of each category, by a join to the dictionary whatever its size.
+    """Adds ``<column><suffix>``, the index of each category, whatever the size of its dictionary.
 
-    Spark chooses the join by the size of the stored dictionary: small ones are broadcast, others are shuffled by value,
-    and adaptive execution splits the partitions of frequent values. ``invalid="keep"`` gives values that the dictionary
-    lacks an index of their own, the number of known ones; otherwise they fail the job.
+    The most frequent values of every column, a fixed number, are looked up in place: that settles all columns of small
+    dictionaries, and the hot values (such as that for missing) of large ones. What rows still lack then goes by (column,
+    value) to the dictionary in one exchange for all columns, comes back folded to one record a row, and meets the rows in
+    the only exchange they take. ``invalid="keep"`` gives values that the dictionary lacks an index of their own, the number
+    of known ones; otherwise they fail the job.
     """
 
     columns: tuple[str, ...]
     dictionary: DataFrame
     sizes: dict[str, int]
+    settled: dict[str, list[tuple[str, int]]]
     missing: str
     suffix: str
     invalid: str = "error"
 
     @classmethod
-    def of(cls, dictionary: DataFrame, spec: SurveySpec, invalid: str = "error") -> CategoryIndexer:
+    def over(
+        cls, dictionary: DataFrame, columns: Sequence[str], missing: str, suffix: str, invalid: str = "error", held: int | None = None
+    ) -> CategoryIndexer:
+        held = SETTLED if held is None else held
         sizes = {r["column"]: r["n"] for r in dictionary.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
-        return cls(tuple(spec.categorical), dictionary, sizes, spec.missing_category, spec.index_suffix, invalid)
+        small = [c for c in columns if sizes.get(c, 0) <= held]
+        settled: dict[str, list[tuple[str, int]]] = {c: [] for c in columns}
+        wanted = [dictionary.filter(F.col("column").isin(small))] if small else []
+        wanted += [
+            dictionary.filter(F.col("column") == c).orderBy(F.desc("n"), "value").limit(held) for c in columns if c not in small
+        ]
+        for part in wanted:  # at most ``held`` values a column
+            for r in part.select("column", "value", "idx").collect():
+                settled[r["column"]].append((r["value"], r["idx"]))
+        return cls(tuple(columns), dictionary, sizes, {c: sorted(v, key=lambda x: x[1]) for c, v in settled.items()}, missing, suffix, invalid)
+
+    @classmethod
+    def of(cls, dictionary: DataFrame, spec: SurveySpec, invalid: str = "error") -> CategoryIndexer:
+        return cls.over(dictionary, spec.categorical, spec.missing_category, spec.index_suffix, invalid)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        known, kept = df, df.columns
-        for c in self.columns:
-            ranks = self.dictionary.filter(F.col("column") == c).select(
-                F.col("value").alias("__value"), F.col("idx").cast("double").alias(f"__{c}")
-            )
-            known = known.join(ranks, fill_category(c, self.missing) == F.col("__value"), "left").drop("__value")
-        return known.select(*kept, *[self._index(c) for c in self.columns])
+        if not self.columns:
+            return df
+        kept = df.columns
+        filled = df.withColumns({f"__v_{c}": fill_category(c, self.missing) for c in self.columns})
+        small = [c for c in self.columns if 0 < self.sizes.get(c, 0) <= len(self.settled[c])]
+        large = [c for c in self.columns if c not in small]
+        if small:
+            labels = [[value for value, _ in self.settled[c]] for c in small]
+            filled = StringIndexerModel.from_arrays_of_labels(
+                labels, inputCols=[f"__v_{c}" for c in small], outputCols=[f"__{c}" for c in small], handleInvalid=self.invalid
+            ).transform(filled)
+        if large:
+            filled = self._looked_up(filled, large)
+        return filled.select(*kept, *[self._index(c) for c in self.columns])
+
+    def _looked_up(self, filled: DataFrame, large: list[str]) -> DataFrame:
+        """``__<column>`` for columns whose dictionary is larger than what is settled; null for unknown values."""
+        spark = filled.sparkSession
+        for c in large:
+            hot = spark.createDataFrame(self.settled[c], "value string, idx int") if self.settled[c] else self.dictionary.limit(0)
+            ranks = hot.select(F.col("value").alias("__value"), F.col("idx").cast("double").alias(f"__{c}"))
+            filled = filled.join(F.broadcast(ranks), F.col(f"__v_{c}") == F.col("__value"), "left").drop("__value")
+        rows = materialize(filled.withColumn("__row", F.monotonically_increasing_id()), "encode-rows")
+        open_values = [
+            F.when(F.col(f"__{c}").isNull(), F.struct(F.lit(c).alias("column"), F.col(f"__v_{c}").alias("value"))) for c in large
+        ]
+        pairs = rows.select("__row", F.explode(F.array_compact(F.array(*open_values))).alias("p")).select("__row", "p.*")
+        known = self.dictionary.filter(F.col("column").isin(large)).select("column", "value", "idx")
+        coded = pairs.join(known, ["column", "value"])
+        folded = coded.groupBy("__row").agg(
+            *[F.max(F.when(F.col("column") == c, F.col("idx"))).cast("double").alias(f"__late_{c}") for c in large]
+        )
+        late = {f"__{c}": F.coalesce(f"__{c}", f"__late_{c}") for c in large}
+        return rows.join(folded, "__row", "left").withColumns(late)
 
     def _index(self, c: str) -> Column:
         size = self.sizes.get(c, 0)

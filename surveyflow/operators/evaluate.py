@@ -8,6 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from surveyflow.operators.stats import numbered, zero_filled
+from surveyflow.sources.scratch import materialize
+
 
 def confusion_counts(predicted: DataFrame, label: str, prediction: str) -> DataFrame:
     """(label, prediction, n), non-empty cells only."""
@@ -39,6 +42,14 @@ def confusion_matrix(counts: DataFrame, classes: Sequence[str], other: str | Non
     )
 
 
+def confusion_open(counts: DataFrame) -> DataFrame:
+    """(label, prediction, n): the matrix in long form, filled with zeros, over all classes that occur on either side."""
+    counts = materialize(counts.filter(F.col("label").isNotNull() & F.col("prediction").isNotNull()), "confusion")
+    classes = numbered(counts.select("label").union(counts.select("prediction")).toDF("prediction"), "prediction")
+    rows = classes.select(F.col("prediction").alias("label"))
+    return zero_filled(counts, rows, "label", classes, "prediction").select("label", "prediction", "n")
+
+
 def _class_scores(counts: DataFrame) -> DataFrame:
     """(class, support, hits, precision, recall, f1) for every class that occurs as a label or as a prediction."""
     # Each cell speaks for two classes: it supports its label and was predicted as its prediction.

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import json
+import math
+import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import IndexToString
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +23,9 @@ from surveyflow.operators.encode import (
     label_indexer,
     median_imputer,
 )
+from surveyflow.operators.levelwise import ForestRule, fit_levelwise
 from surveyflow.operators.split import IS_TEST, stratified_split
+from surveyflow.sources import files
 from surveyflow.sources.scratch import materialize
 from surveyflow.spec import SurveySpec
 
@@ -52,19 +57,40 @@ class SeverityModel:
         return self.pipeline.transform(self.indexer.transform(df))
 
 
-def fit_forest(
-    train: DataFrame,
-    spec: SurveySpec,
-    categorical: str = "ordinal",
-    partitions: int | None = None,
-    place_rows: bool = True,
-) -> RandomForestClassificationModel:
+def forest_rule(spec: SurveySpec) -> ForestRule:
+    """The parameters of the survey's forest; a single tree may split on all features, as the library's does."""
+    features = len(spec.features)
+    strategy = ("all" if spec.trees == 1 else "sqrt") if spec.features_per_node == "auto" else spec.features_per_node
+    if strategy not in ("all", "sqrt"):
+        raise ValueError(f"features per node: {strategy}")
+    chosen = features if strategy == "all" else math.ceil(math.sqrt(features))
+    return ForestRule(
+        spec.trees, spec.depth, spec.max_bins, len(spec.severity_classes), chosen, spec.bootstrap, spec.seed
+    )
+
+
+def fit_forest(train: DataFrame, spec: SurveySpec, categorical: str = "ordinal", method: str | None = None, **options) -> RandomForestClassificationModel:
     """Fit on (key, label, features).
 
-    Bagging draws per partition, so the rows are placed by key and sorted: the same rows give the same forest whatever
-    order they arrive in. ``place_rows=False`` spares that shuffle of the training rows; the forest then depends on
-    how the table is split. ``categorical="ordinal"`` treats an encoded category as a number; ``"nominal"`` lets the
-    trees split on sets of categories.
+    ``method="levelwise"`` draws bags and features by hashes and takes cut points from all rows: the same rows give the
+    same forest however they lie, without moving them. ``"library"`` is the library's own fit (see `fit_library`).
+    ``categorical="ordinal"`` treats an encoded category as a number; ``"nominal"`` lets the trees split on sets of
+    categories, which only the library does.
+    """
+    method = method or ("library" if categorical == "nominal" else "levelwise")
+    if method == "library":
+        return fit_library(train, spec, categorical, **options)
+    if method != "levelwise" or categorical != "ordinal":
+        raise ValueError(f"no {method} fit on {categorical} categories")
+    rows = train.select(spec.key, spec.label, vector_to_array("features").alias("features"))
+    return fit_levelwise(rows, spec.key, spec.label, "features", forest_rule(spec), labelCol=spec.label, featuresCol="features")
+
+
+def fit_library(
+    train: DataFrame, spec: SurveySpec, categorical: str = "ordinal", partitions: int | None = None, place_rows: bool = True
+) -> RandomForestClassificationModel:
+    """The library's fit. It looks for cut points among a bounded sample of rows and draws bags per partition, so the rows
+    are placed by key and sorted; ``place_rows=False`` spares that shuffle, and the forest depends on how the table is split.
     """
     features = F.col("features")
     if categorical == "ordinal":
@@ -115,8 +141,8 @@ def train_forest(
     categorical: str = "ordinal",
     fit_on: str = "all",
     approx_medians: bool = False,
-    partitions: int | None = None,
-    place_rows: bool = True,
+    method: str | None = None,
+    **options,
 ) -> FittedForest:
     """Split, prepare, fit.
 
@@ -132,7 +158,7 @@ def train_forest(
         indexer, stages = fit_preparation(df, spec, approx_medians)
     prepared = PipelineModel(stages).transform(indexer.transform(split))
     prepared = materialize(prepared.select(spec.key, spec.severity, spec.label, "features", IS_TEST), "features")
-    forest = fit_forest(prepared.filter(~F.col(IS_TEST)), spec, categorical, partitions, place_rows)
+    forest = fit_forest(prepared.filter(~F.col(IS_TEST)), spec, categorical, method, **options)
     decode = IndexToString(inputCol="prediction", outputCol=PREDICTED_CLASS, labels=spec.severity_classes)
     return FittedForest(spec, SeverityModel(indexer, PipelineModel([*stages, forest, decode])), prepared)
 
@@ -147,19 +173,51 @@ def top_features(scores: DataFrame, k: int = 10) -> DataFrame:
     return scores.orderBy(F.desc("importance"), "feature").limit(k)
 
 
+#: Rows of a file of the dictionary, so that a digest reads no file of unbounded size.
+DICTIONARY_ROWS = 5_000_000
+
+
+def _digests(spark: SparkSession, path: str) -> list[list]:
+    """[name, length, sha256] of every file of a stored model, by name."""
+    stored = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    root = path.rstrip("/").rsplit("/", 1)[-1]
+    name = F.substring_index("path", f"/{root}/", -1)
+    rows = stored.select(name.alias("name"), "length", F.sha2("content", 256).alias("digest")).collect()
+    return sorted([r["name"], r["length"], r["digest"]] for r in rows)
+
+
 def save_model(model: SeverityModel, path: str) -> None:
-    """The dictionary as Parquet, its settings as a line of text and the pipeline, side by side below ``path``."""
+    """A new version below ``path``: the dictionary as Parquet, its settings as a line of text, and the pipeline.
+
+    The manifest, with the digests of all files, is written last and at once. Until it is there the version doesn't exist
+    for `load_model`, and earlier versions are never touched.
+    """
     indexer = model.indexer
-    settings = {k: getattr(indexer, k) for k in ("columns", "sizes", "missing", "suffix", "invalid")}
     spark = indexer.dictionary.sparkSession
-    indexer.dictionary.write.mode("overwrite").parquet(f"{path}/dictionary")
-    spark.createDataFrame([(json.dumps(settings),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/settings")
-    model.pipeline.write().overwrite().save(f"{path}/pipeline")
+    version = f"{path}/versions/{uuid.uuid4().hex}"
+    settings = {k: getattr(indexer, k) for k in ("columns", "missing", "suffix", "invalid")}
+    indexer.dictionary.write.option("maxRecordsPerFile", DICTIONARY_ROWS).parquet(f"{version}/dictionary")
+    spark.createDataFrame([(json.dumps(settings),)], "value string").coalesce(1).write.text(f"{version}/settings")
+    model.pipeline.write().save(f"{version}/pipeline")
+    manifest = {"version": version.rsplit("/", 1)[-1], "files": _digests(spark, version)}
+    known = [int(name.split(".")[0]) for name in _manifests(spark, path)]
+    files.write_once(spark, f"{path}/manifests/{max(known, default=0) + 1:012d}.json", json.dumps(manifest))
+
+
+def _manifests(spark: SparkSession, path: str) -> list[str]:
+    return [name for name in files.names(spark, f"{path}/manifests") if name.endswith(".json")]
 
 
 def load_model(path: str) -> SeverityModel:
+    """The model saved last; a version that isn't what its manifest says is refused."""
     spark = SparkSession.active()
-    settings = json.loads(spark.read.text(f"{path}/settings").first()[0])
-    settings["columns"] = tuple(settings["columns"])
-    indexer = CategoryIndexer(dictionary=spark.read.parquet(f"{path}/dictionary"), **settings)
-    return SeverityModel(indexer, PipelineModel.load(f"{path}/pipeline"))
+    manifests = _manifests(spark, path)
+    if not manifests:
+        raise ValueError(f"no whole model at {path}")
+    manifest = json.loads(files.read_text(spark, f"{path}/manifests/{manifests[-1]}"))
+    version = f"{path}/versions/{manifest['version']}"
+    if _digests(spark, version) != manifest["files"]:
+        raise ValueError(f"the model at {version} isn't the one that was saved")
+    settings = json.loads(spark.read.text(f"{version}/settings").first()[0])
+    indexer = CategoryIndexer.over(spark.read.parquet(f"{version}/dictionary"), **settings)
+    return SeverityModel(indexer, PipelineModel.load(f"{version}/pipeline"))

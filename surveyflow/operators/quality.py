@@ -57,3 +57,18 @@ def key_violations(df: DataFrame, key: str) -> DataFrame:
     kind = F.when(F.col("key").isNull(), "null").when(F.col("n") > 1, "repeated")
     broken = held.select(kind.alias("violation"), "n").filter(F.col("violation").isNotNull())
     return broken.groupBy("violation").agg(F.count(F.lit(1)).alias("keys"), F.sum("n").alias("rows"))
+
+
+def require_sound_key(key: str):
+    """An audit that refuses rows with null or repeated keys, by name and number.
+
+    Keys are counted where they lie before they are shuffled, so one that stands on any share of the rows is one record.
+    """
+
+    def audit(df: DataFrame) -> None:
+        broken = {r["violation"]: r for r in key_violations(df, key).collect()}
+        if broken:
+            found = ", ".join(f"{r['rows']} rows of {r['keys']} {kind} keys" for kind, r in sorted(broken.items()))
+            raise ValueError(f"{key} is no key: {found}")
+
+    return audit

@@ -2,10 +2,10 @@
 
 The built-in exact ``percentile`` ships a map of all distinct values from every task to one task per group. Here the
 values are first counted by (group, measure, value) — partial aggregation leaves each task one row per distinct value
-and the shuffle is spread over the values — and ranks are found in that histogram in two levels: approximate quantiles
-of the distinct values cut each measure into 4,096 ranges, the (small) table of range counts tells which ranges hold the
-wanted ranks, and only those ranges are put in order. No task ever holds a whole group, and the approximate cut points
-affect only the balance, never the result.
+and the shuffle is spread over the values — and the histogram is stored. A key with few distinct values is ranked as it
+is. Of larger ones the range that holds a wanted rank is cut again and again, at approximate quantiles of its distinct
+values, until it has no more than a constant number of them. So what one task puts in order never follows the data, and
+the approximate cuts only decide how fast the ranges shrink, never the result.
 """
 
 from __future__ import annotations
@@ -15,20 +15,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# What is put in order at the end is the share of a range among the distinct values. A power of two.
-RANGES = 4096
-RANGE_ACCURACY = 4 * RANGES
+from surveyflow.sources.scratch import materialize
+
+#: Distinct values that one task may put in order.
+RANKED = 1 << 16
+#: Ranges that a round cuts a range into, a power of two, and the accuracy of the cuts.
+STEPS = 256
+ACCURACY = 16 * STEPS
 
 
 def value_histogram(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """(by..., measure, value, n): how often each distinct non-missing value occurs."""
     doubles = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
-    # Groups are aliased so that every use of the histogram has the same plan and Spark shuffles it only once.
-    long = doubles.unpivot([F.col(b).alias(b) for b in by], list(columns), "measure", "value")
+    long = doubles.unpivot(list(by), list(columns), "measure", "value")
     present = F.col("value").isNotNull() & ~F.isnan("value")
     return long.filter(present).groupBy(*by, "measure", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def stored_histogram(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    return materialize(value_histogram(df, columns, by), "histogram")
+
+
 def _on(left: DataFrame, right: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
     """Inner join to an aggregate of the same frame with a fixed number of rows per key; null keys match.
 
@@ -46,35 +53,61 @@ def _position(probability: float, total: Column) -> Column:
     return (total - 1) * F.lit(float(probability))
 
 
-def _ranged(histogram: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
-    """Adds each key's ``total`` and the number (0..RANGES-1) of the range a value falls into, ascending in value."""
-    steps = F.expr(f"array({', '.join(f'{i / RANGES}D' for i in range(1, RANGES))})")
-    cuts = histogram.groupBy(*keys).agg(
-        F.sum("n").alias("total"), F.percentile_approx("value", steps, F.lit(RANGE_ACCURACY)).alias("cuts")
+def _wanted(probabilities: dict[str, float], total: str, ahead: Column, held: Column) -> Column:
+    """Whether a range that has ``ahead`` rows before it and ``held`` in it holds a wanted rank."""
+    ranks = [side(_position(p, F.col(total))) for p in probabilities.values() for side in (F.floor, F.ceil)]
+    inside = [(r >= ahead) & (r < ahead + held) for r in ranks]
+    wanted = inside[0]
+    for condition in inside[1:]:
+        wanted = wanted | condition
+    return wanted
+
+
+def _cut(stored: DataFrame, ranges: DataFrame, keys: Sequence[str], probabilities: dict[str, float], small: bool) -> DataFrame:
+    """The parts of ``ranges`` that hold a wanted rank, each with about 1 / STEPS of its range's distinct values."""
+    of = [*keys, "low", "high", "ahead", "total"]
+    inside = F.col("value").between(F.col("low"), F.col("high"))
+    steps = F.expr(f"array({', '.join(f'{i / STEPS}D' for i in range(1, STEPS))})")
+    cuts = _on(stored, ranges, keys, small).filter(inside).groupBy(*of).agg(
+        F.percentile_approx("value", steps, F.lit(ACCURACY)).alias("cuts")
     )
-    placed = _on(histogram, cuts, keys, small).withColumn("range", F.lit(0))
-    step = RANGES // 2
-    while step:  # a range is the number of cuts below the value, found by halving
-        below = F.get("cuts", F.col("range") + (step - 1)) < F.col("value")
-        placed = placed.withColumn("range", F.col("range") + F.when(below, step).otherwise(0))
+    placed = _on(stored, cuts, keys, small).filter(inside).withColumn("part", F.lit(0))
+    step = STEPS // 2
+    while step:  # a part is the number of cuts below the value, found by halving
+        below = F.get("cuts", F.col("part") + (step - 1)) < F.col("value")
+        placed = placed.withColumn("part", F.col("part") + F.when(below, step).otherwise(0))
         step //= 2
-    return placed.select(*keys, "value", "n", "total", "range")
+    counted = placed.groupBy(*of, "part").agg(
+        F.sum("n").alias("held"), F.count(F.lit(1)).alias("distinct"), F.min("value").alias("from"), F.max("value").alias("to")
+    )
+    upto = F.sum("held").over(Window.partitionBy(*of).orderBy("part"))  # at most STEPS rows
+    found = counted.withColumn("before", F.col("ahead") + upto - F.col("held"))
+    return found.filter(_wanted(probabilities, "total", F.col("before"), F.col("held"))).select(
+        *keys, F.col("from").alias("low"), F.col("to").alias("high"), F.col("before").alias("ahead"), "total", "distinct"
+    )
 
 
-def _hit(ranged: DataFrame, keys: Sequence[str], probabilities: dict[str, float], small: bool) -> DataFrame:
-    """The rows of the ranges that hold a wanted rank, with what stands before their range.
+def wanted_ranges(
+    stored: DataFrame, keys: Sequence[str], probabilities: dict[str, float], small: bool, most: int = RANKED
+) -> DataFrame | None:
+    """(keys..., low, high, ahead, total, distinct): ranges of at most ``most`` distinct values that hold the wanted ranks.
 
-    Range counts are at most RANGES rows per key, so the running sum over a key is a small window.
+    None, if every key has as few values as that anyway. A round reads the stored histogram twice; the rounds grow with the
+    logarithm of the largest key.
     """
-    counted = ranged.groupBy(*keys, "range").agg(F.sum("n").alias("held"), F.max("total").alias("all"))
-    upto = F.sum("held").over(Window.partitionBy(*keys).orderBy("range"))
-    ranks = [rank(_position(p, F.col("all"))) for p in probabilities.values() for rank in (F.floor, F.ceil)]
-    inside = [(r >= F.col("ahead")) & (r < F.col("ahead") + F.col("held")) for r in ranks]
-    wanted = inside[0]
-    for condition in inside[1:]:
-        wanted = wanted | condition
-    hits = counted.withColumn("ahead", upto - F.col("held")).filter(wanted).select(*keys, "range", "ahead")
-    return _on(ranged, hits, [*keys, "range"], small)
+    largest = stored.groupBy(*keys).agg(F.count(F.lit(1)).alias("distinct")).agg(F.max("distinct")).first()[0] or 0
+    if largest <= most:
+        return None
+    whole = stored.groupBy(*keys).agg(
+        F.min("value").alias("low"), F.max("value").alias("high"), F.lit(0).cast("long").alias("ahead"),
+        F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct"),
+    )
+    ranges = materialize(whole, "quantile-ranges")
+    while ranges.agg(F.max("distinct")).first()[0] > most:
+        wide = ranges.filter(F.col("distinct") > most)
+        cut = _cut(stored, wide.drop("distinct"), keys, probabilities, small)
+        ranges = materialize(ranges.filter(F.col("distinct") <= most).unionByName(cut), "quantile-ranges")
+    return ranges
 
 
 def declared(column: str, values: Sequence[str]) -> Column:
@@ -84,17 +117,21 @@ def declared(column: str, values: Sequence[str]) -> Column:
 
 
 def quantiles_of(
-    histogram: DataFrame, probabilities: dict[str, float], by: Sequence[str] = (), closed: bool = False
+    histogram: DataFrame, probabilities: dict[str, float], by: Sequence[str] = (), closed: bool = False, most: int = RANKED
 ) -> DataFrame:
-    """(by..., measure, total, one column per probability) from a value histogram.
+    """(by..., measure, total, one column per probability) from a stored value histogram.
 
     ``closed=True`` says that the grouping columns only have values of a declared list, which the caller has verified.
     """
     keys, small = [*by, "measure"], closed or not by
-    ranged = _ranged(histogram, keys, small)
-    hit = _hit(ranged, keys, probabilities, small)
-    within = Window.partitionBy(*keys, "range").orderBy("value")
-    ranked = hit.withColumn("upto", F.col("ahead") + F.sum("n").over(within))
+    ranges = wanted_ranges(histogram, keys, probabilities, small, most)
+    if ranges is None:
+        every = Window.partitionBy(*keys)
+        ranked = histogram.withColumn("upto", F.sum("n").over(every.orderBy("value"))).withColumn("total", F.sum("n").over(every))
+    else:
+        hit = _on(histogram, ranges, keys, small).filter(F.col("value").between(F.col("low"), F.col("high")))
+        within = Window.partitionBy(*keys, "low").orderBy("value")
+        ranked = hit.withColumn("upto", F.col("ahead") + F.sum("n").over(within))
     bounds = []
     for name, p in probabilities.items():
         position = _position(p, F.col("total"))
@@ -119,7 +156,7 @@ def column_medians(df: DataFrame, columns: Sequence[str], approx: bool = False)
         present = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns]
         medians = df.agg(*[F.percentile_approx(v, 0.5).alias(c) for v, c in zip(present, columns)])
         return medians.unpivot([], list(columns), "measure", "median").filter(F.col("median").isNotNull())
-    return quantiles_of(value_histogram(df, columns), {"median": 0.5}).select("measure", "median")
+    return quantiles_of(stored_histogram(df, columns), {"median": 0.5}).select("measure", "median")
 
 
 def _grouped(df: DataFrame, by: str, closed: Sequence[str] | None) -> DataFrame:
@@ -134,7 +171,7 @@ def box_stats(df: DataFrame, measure: str, by: str, closed: Sequence[str] | None
 
     A whisker ends at the most extreme value within 1.5 IQR of its quartile, or at the quartile when there is none.
     """
-    histogram = value_histogram(_grouped(df, by, closed), [measure], [by])
+    histogram = stored_histogram(_grouped(df, by, closed), [measure], [by])
     fences = _fences(histogram, by, bool(closed))
     value, inside = F.col("value"), F.col("value").between(F.col("low_fence"), F.col("high_fence"))
     found = _on(histogram, fences, [by, "measure"], bool(closed)).groupBy(by, "q1", "median", "q3").agg(
@@ -158,7 +195,7 @@ def box_stats(df: DataFrame, measure: str, by: str, closed: Sequence[str] | None
 def box_outliers(df: DataFrame, measure: str, by: str, closed: Sequence[str] | None = None) -> DataFrame:
     """The rows beyond the fences of their group."""
     grouped = _grouped(df, by, closed)
-    fences = _fences(value_histogram(grouped, [measure], [by]), by, bool(closed)).select(by, "low_fence", "high_fence")
+    fences = _fences(stored_histogram(grouped, [measure], [by]), by, bool(closed)).select(by, "low_fence", "high_fence")
     value = F.col(measure)
     beyond = (value < F.col("low_fence")) | (value > F.col("high_fence"))  # NaN is a missing value, not a large one
     present = ~F.isnan(value.cast("double"))

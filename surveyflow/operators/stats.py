@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surveyflow.functions import ordinal
+from surveyflow.operators.ranges import running_totals
 from surveyflow.operators.score import SEVERITY_ORD
+from surveyflow.sources.scratch import materialize
 from surveyflow.spec import PATIENTS, Mean, SurveySpec
 
 
@@ -65,6 +67,40 @@ def crosstab_percent(df: DataFrame, row: str, column: str, values: Sequence[str]
     return counts.select(row, *[share(v).alias(v) for v in values])
 
 
+def numbered(values: DataFrame, column: str) -> DataFrame:
+    """(at, column): the distinct values of a column in order, numbered from 0 range by range; stored."""
+    placed = running_totals(values.select(column).distinct(), [F.col(column)], {"place": F.lit(1)}, "axis")
+    return materialize(placed.select((F.col("run_place") - 1).alias("at"), column), "axis")
+
+
+def zero_filled(counts: DataFrame, rows: DataFrame, row: str, axis: DataFrame, column: str) -> DataFrame:
+    """Every pair of a row of ``rows`` and a value of a numbered ``axis`` with its ``n`` of ``counts``, or 0.
+
+    The grid is the result itself: each row is repeated once a number of the axis and finds the values by number, so
+    nothing is crossed.
+    """
+    width = axis.count()
+    grid = rows.withColumn("__at", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(width - 1).cast("long"))))
+    named = grid.join(axis.withColumnsRenamed({"at": "__at", column: f"__{column}"}), "__at").drop("__at")
+    known = counts.select(F.col(row).alias("__row"), F.col(column).alias("__column"), "n")
+    same = (F.col(row) == F.col("__row")) & (F.col(f"__{column}") == F.col("__column"))
+    filled = named.join(known, same, "left").drop("__row", "__column").withColumnRenamed(f"__{column}", column)
+    return filled.withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
+
+
+def crosstab_open(df: DataFrame, row: str, column: str) -> DataFrame:
+    """(row, column, n, percent): the contingency table of any two columns, in long form and filled with zeros.
+
+    Both axes are what the data has, with no declared list, so a new class has its cells. ``percent`` is the share of the
+    row. Rows where either is null are left out. Rows are counted once; all else works on the counts.
+    """
+    present = df.filter(F.col(row).isNotNull() & F.col(column).isNotNull())
+    counts = materialize(present.groupBy(row, column).agg(F.count(F.lit(1)).alias("n")), "crosstab")
+    totals = counts.groupBy(row).agg(F.sum("n").alias("__total"))
+    filled = zero_filled(counts, totals, row, numbered(counts, column), column)
+    return filled.select(row, column, "n", (F.col("n") / F.col("__total") * 100).alias("percent"))
+
+
 def top_means(df: DataFrame, columns: Sequence[str], k: int) -> DataFrame:
     """(item, mean_value): the k columns with the largest mean. One aggregate, turned on its side afterwards."""
     means = df.agg(*[F.avg(c).alias(c) for c in columns]).unpivot([], list(columns), "item", "mean_value")

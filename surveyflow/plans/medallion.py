@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from surveyflow.operators.clean import drop_unscored
 from surveyflow.operators.evaluate import confusion_counts, weighted_metrics
 from surveyflow.operators.forest import PREDICTED_CLASS, FittedForest, save_model, train_forest
+from surveyflow.operators.quality import require_sound_key
 from surveyflow.operators.score import add_score
 from surveyflow.operators.stats import severity_stats
 from surveyflow.plans import stages
@@ -46,14 +47,15 @@ def run_tables(
     """Write bronze, silver, gold and the gold statistics.
 
     Row counts and the range check of the cleaned columns are metrics of the writes themselves, so no stage is scanned
-    again to be counted. Each stage reads the table the one before it wrote.
+    again to be counted. Each stage reads the table the one before it wrote. The key is proven on the stored bronze rows
+    before they become a table: with null or repeated keys no table is made or changed.
     """
     run = MedallionRun(database)
     ensure_database(spark, database)
 
     counted = Observation("bronze")
     bronze = _rows(counted, stages.bronze(raw, spec))
-    write_table(bronze, run.table("bronze"), fmt)
+    write_table(bronze, run.table("bronze"), fmt, audit=require_sound_key(spec.key))
     run.rows["bronze"], run.columns["bronze"] = counted.get["rows"], len(bronze.columns)
 
     adults, scored = Observation("eligible"), Observation("silver")

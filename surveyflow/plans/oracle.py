@@ -6,6 +6,8 @@ shares no logic with the DataFrame operators.
 
 from __future__ import annotations
 
+import math
+
 from surveyflow.sources.orders_survey import survey_select
 from surveyflow.spec import default_spec
 
@@ -141,6 +143,93 @@ _STUMP = (
     "JOIN features x USING (respondent_id) JOIN best b ON x.f = b.f "
     "JOIN nodes n ON n.f = b.f AND n.cut = b.cut AND n.below = (x.v <= b.cut) WHERE s.is_test)",
 )
+
+
+def _hash(text: str) -> str:
+    return f"(CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT) % 2147483647)"
+
+
+def _bins(values: str, most: int) -> tuple[str, ...]:
+    """Bins and cut points of (f, v)."""
+    return (
+        f"""histogram AS (
+  SELECT f, v, n, sum(n) OVER (PARTITION BY f ORDER BY v) - n AS ahead, sum(n) OVER (PARTITION BY f) AS total,
+    row_number() OVER (PARTITION BY f ORDER BY v) - 1 AS place, count(*) OVER (PARTITION BY f) AS kinds
+  FROM (SELECT f, v, count(*) AS n FROM {values} GROUP BY f, v)
+)""",
+        f"""bin_shares AS (
+  SELECT f, CASE WHEN kinds <= {most} THEN place ELSE ahead * {most} // total END AS share, min(v) AS low, max(v) AS high,
+    sum(n) AS n FROM histogram GROUP BY 1, 2
+)""",
+        """bins AS (
+  SELECT f, CAST(row_number() OVER (PARTITION BY f ORDER BY share) - 1 AS INTEGER) AS bin, low, high, CAST(n AS BIGINT) AS n,
+    CASE WHEN high + (nxt - high) / 2 < nxt THEN high + (nxt - high) / 2 WHEN nxt IS NOT NULL THEN high END AS cut
+  FROM (SELECT *, lead(low) OVER (PARTITION BY f ORDER BY share) AS nxt FROM bin_shares)
+)""",
+    )
+
+
+#: The shallow forest: three trees of two levels over four measures, two at a node, at most 16 bins.
+SHALLOW = (SPEC.items[0], SPEC.age, "WeightKg", "SleepHoursWeekdaysOrWorkdays")
+_POISSON = [math.floor(sum(math.exp(-1) / math.factorial(i) for i in range(k + 1)) * 2147483647) for k in range(12)]
+
+
+def _grown(at: str, level: int) -> tuple[str, ...]:
+    """The best cut of every node of a level, and the rows one level down; nodes without a cut keep their rows."""
+    return (
+        f"""chosen{level} AS (
+  SELECT tree, node, f FROM (SELECT tree, node, f, row_number() OVER (PARTITION BY tree, node
+    ORDER BY md5(concat('42:', tree, ':', node, ':', f))) AS place
+    FROM (SELECT DISTINCT tree, node FROM {at} WHERE node >= {2 ** level}) CROSS JOIN (SELECT DISTINCT f FROM bins)) WHERE place <= 2
+)""",
+        f"totals{level} AS (SELECT tree, node, sev, sum(w) AS n FROM {at} WHERE w > 0 GROUP BY ALL)",
+        f"""sides{level} AS (
+  SELECT c.tree, c.node, c.f, k.bin AS cut, a.sev, sum(CASE WHEN b.b <= k.bin THEN a.w ELSE 0 END) AS l,
+    sum(CASE WHEN b.b > k.bin THEN a.w ELSE 0 END) AS r
+  FROM chosen{level} c JOIN bins k ON k.f = c.f AND k.cut IS NOT NULL
+    JOIN {at} a ON a.tree = c.tree AND a.node = c.node AND a.w > 0
+    JOIN binned b ON b.respondent_id = a.respondent_id AND b.f = c.f GROUP BY ALL
+)""",
+        f"""scored{level} AS (
+  SELECT tree, node, f, cut, CAST(sum(l * l) AS DOUBLE) / CAST(sum(l) AS DOUBLE) + CAST(sum(r * r) AS DOUBLE) / CAST(sum(r) AS DOUBLE) AS score
+  FROM sides{level} GROUP BY tree, node, f, cut HAVING sum(l) > 0 AND sum(r) > 0
+)""",
+        f"""cuts{level} AS (
+  SELECT s.* FROM scored{level} s JOIN (SELECT tree, node, CAST(sum(n * n) AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS own, count(*) AS kinds
+    FROM totals{level} GROUP BY tree, node) t USING (tree, node) WHERE score > own AND kinds > 1
+  QUALIFY row_number() OVER (PARTITION BY tree, node ORDER BY score DESC, f, cut) = 1
+)""",
+        f"""at{level + 1} AS (
+  SELECT a.respondent_id, a.sev, a.is_test, a.tree, a.w,
+    CASE WHEN c.f IS NULL THEN a.node ELSE 2 * a.node + CAST(b.b > c.cut AS INTEGER) END AS node
+  FROM {at} a LEFT JOIN cuts{level} c USING (tree, node) LEFT JOIN binned b ON b.respondent_id = a.respondent_id AND b.f = c.f
+)""",
+    )
+
+
+_SHALLOW = (
+    *_MEDIANS,
+    "wide AS (SELECT respondent_id, Depression_Severity AS sev, "
+    + ", ".join(f"coalesce({c}, m_{c}) AS v{i}" if c in SPEC.numeric else f"{c} AS v{i}" for i, c in enumerate(SHALLOW))
+    + " FROM gold, medians)",
+    "long AS (" + " UNION ALL ".join(f"SELECT respondent_id, sev, {i} AS f, v{i} AS v FROM wide" for i in range(len(SHALLOW))) + ")",
+    "learned AS (SELECT f, v FROM long JOIN split USING (respondent_id) WHERE NOT is_test)",
+    *_bins("learned", 16),
+    "binned AS (SELECT respondent_id, l.f, count(k.cut) AS b FROM long l LEFT JOIN bins k ON k.f = l.f AND k.cut < l.v GROUP BY 1, 2)",
+    f"""bags AS (
+  SELECT respondent_id, Depression_Severity AS sev, is_test, tree, CASE WHEN is_test THEN 0 ELSE
+    {' + '.join(f'CAST(u >= {t} AS BIGINT)' for t in _POISSON)} END AS w, 1 AS node
+  FROM (SELECT *, ({_hash("concat('bag:42:', respondent_id)")} * {_hash("concat('42:', tree, ':a')")}
+    + {_hash("concat('42:', tree, ':b')")}) % 2147483647 AS u FROM split, (SELECT unnest([0, 1, 2]) AS tree))
+)""",
+    *_grown("bags", 0),
+    *_grown("at1", 1),
+    "leaves AS (SELECT tree, node, sev, CAST(sum(w) AS DOUBLE) AS n FROM at2 WHERE w > 0 GROUP BY ALL)",
+    "odds AS (SELECT tree, node, sev, n / sum(n) OVER (PARTITION BY tree, node) AS p FROM leaves)",
+    "votes AS (SELECT respondent_id, a.sev AS sev, o.sev AS guess, "
+    + " + ".join(f"coalesce(sum(CASE WHEN tree = {t} THEN p END), 0)" for t in range(3))
+    + " AS vote FROM at2 a JOIN odds o USING (tree, node) WHERE is_test GROUP BY 1, 2, 3)",
+)
 _REPORT = (
     *_GUESS,
     "classes AS (SELECT label AS class FROM cells UNION SELECT prediction FROM cells)",
@@ -317,6 +406,29 @@ def oracle_statements() -> dict[str, str]:
             "CAST(1 AS DOUBLE) AS total, CAST(10 AS INTEGER) AS listed"
         ),
         "rf_metric_identity": "SELECT true AS recall_is_accuracy",
+        "feature_bins": _sql(
+            "SELECT f AS feature, bin, low, high, n, cut FROM bins",
+            *_SPLIT,
+            *_MEDIANS,
+            "wide AS (SELECT respondent_id, "
+            + _list(SPEC.numeric, "coalesce({c}, m_{c}) AS {c}") + ", " + _list(SPEC.categorical, _INDEX) + " FROM gold, medians)",
+            "learned AS ("
+            + _union(SPEC.features, "SELECT '{c}' AS f, {c} AS v FROM wide JOIN split USING (respondent_id) WHERE NOT is_test")
+            + ")",
+            *_bins("learned", SPEC.max_bins),
+        ),
+        "shallow_predictions": _sql(
+            "SELECT respondent_id, sev AS Depression_Severity, guess AS predicted_class FROM votes "
+            "QUALIFY row_number() OVER (PARTITION BY respondent_id ORDER BY vote DESC, guess) = 1",
+            *_SPLIT,
+            *_SHALLOW,
+        ),
+        "shallow_cuts": _sql(
+            "SELECT CAST(c.tree AS INTEGER) AS tree, CAST(c.node AS INTEGER) AS node, CAST(c.f AS INTEGER) AS feature, k.cut AS cut FROM "
+            "(SELECT * FROM cuts0 UNION ALL SELECT * FROM cuts1) c JOIN bins k ON k.f = c.f AND k.bin = c.cut",
+            *_SPLIT,
+            *_SHALLOW,
+        ),
         "stump_predictions": _sql(
             "SELECT respondent_id, Depression_Severity, predicted_class FROM stump", *_SPLIT, *_STUMP
         ),
@@ -350,6 +462,20 @@ def oracle_statements() -> dict[str, str]:
             )
             + " FROM gold WHERE age_group IS NOT NULL GROUP BY 1"
         ),
+        "crosstab_open": _sql(
+            "SELECT r.age_group, c.seen, coalesce(n, 0) AS n, CAST(coalesce(n, 0) AS DOUBLE) / total * 100 AS percent "
+            "FROM (SELECT age_group, CAST(sum(n) AS BIGINT) AS total FROM tab GROUP BY 1) r CROSS JOIN (SELECT DISTINCT seen FROM tab) c "
+            "LEFT JOIN tab ON tab.age_group = r.age_group AND tab.seen = c.seen",
+            f"tab AS (SELECT age_group, CASE WHEN {SPEC.items[1]} = 0 THEN 'Altele' ELSE Depression_Severity END AS seen, "
+            "count(*) AS n FROM gold WHERE age_group IS NOT NULL GROUP BY 1, 2)",
+        ),
+        "confusion_open": _sql(
+            "SELECT a.c AS label, b.c AS prediction, coalesce(n, 0) AS n FROM kinds a CROSS JOIN kinds b "
+            "LEFT JOIN tab ON tab.label = a.c AND tab.prediction = b.c",
+            f"tab AS (SELECT Depression_Severity AS label, CASE WHEN {SPEC.items[2]} > 1 THEN 'Altele' ELSE "
+            f"{_class('4 * (' + ' + '.join(SPEC.items[:2]) + ')')} END AS prediction, count(*) AS n FROM gold GROUP BY 1, 2)",
+            "kinds AS (SELECT label AS c FROM tab UNION SELECT prediction FROM tab)",
+        ),
         "confusion_cells": _sql("SELECT label, prediction, n FROM cells", *_GUESS),
         "confusion_matrix": _sql(
             "SELECT axis.label AS label, "

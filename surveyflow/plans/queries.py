@@ -18,12 +18,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyflow.functions import display_or_self, ladder, row_sum
-from surveyflow.operators import clean, encode, evaluate, forest, quality, quantiles, score, split, stats
+from surveyflow.operators import bins, clean, encode, evaluate, forest, levelwise, quality, quantiles, score, split, stats
 from surveyflow.plans import charts, medallion, stages
+from surveyflow.sources.files import listing
 from surveyflow.sources.orders_survey import survey
 from surveyflow.sources.readers import normalize_missing, read_survey_tsv, survey_schema, write_survey_tsv
 from surveyflow.sources.scratch import materialize, scratch_path
-from surveyflow.sources.tables import ensure_database, listing, read_table, write_table
+from surveyflow.sources.tables import ensure_database, read_table, write_table
 from surveyflow.spec import default_spec
 
 SPEC = default_spec()
@@ -278,7 +279,8 @@ def _on_gold(operator: Callable, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def category_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode.category_dictionary(gold(spark, sf_dir), SPEC.categorical, SPEC.missing_category)
+    held = encode.category_dictionary(gold(spark, sf_dir), SPEC.categorical, SPEC.missing_category)
+    return held.select("column", "value", "idx")
 
 
 def encode_categoricals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -349,6 +351,32 @@ def stump_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.confusion_matrix(counts, SPEC.severity_classes)
 
 
+def feature_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bins of every model input, from the exact histogram of the training rows."""
+    train = fitted(spark, sf_dir).prepared.filter(~F.col(split.IS_TEST))
+    held = bins.feature_bins(levelwise.long_features(train, vector_to_array("features")), SPEC.max_bins)
+    name = F.element_at(F.array(*map(F.lit, SPEC.features)), F.col("feature") + 1)
+    return held.withColumn("feature", name)
+
+
+def shallow(spark: SparkSession, sf_dir: str) -> forest.FittedForest:
+    """Three trees of two levels over four measures, with bags and two features a node: SQL can grow them as well."""
+    item = SPEC.items[0]
+    columns = (item, SPEC.age, "WeightKg", "SleepHoursWeekdaysOrWorkdays")
+    spec = dataclasses.replace(SPEC, columns=columns, items=(), auxiliary=(), categorical=(), trees=3, depth=2, max_bins=16)
+    rows = gold(spark, sf_dir).select(SPEC.key, SPEC.severity, *columns)
+    return STORE.once(spark, sf_dir, "shallow", lambda: forest.train_forest(rows, spec))
+
+
+def shallow_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shallow(spark, sf_dir).predictions()
+
+
+def shallow_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(tree, node, feature, cut) of every split, nodes numbered from the root 1 with children 2n and 2n + 1."""
+    return levelwise.splits_of(shallow(spark, sf_dir).forest)
+
+
 def rf_confusion_margins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many test rows of each class the forest's confusion matrix holds."""
     matrix = evaluate.confusion_matrix(_forest_counts(spark, sf_dir), SPEC.severity_classes)
@@ -415,12 +443,27 @@ def rule_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def confusion_other(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A predictor with a class of its own: its rows stay in the matrix."""
+    return evaluate.confusion_matrix(_strange_counts(spark, sf_dir), SPEC.severity_classes, other="other")
+
+
+def _strange_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = F.when(F.col(SPEC.items[2]) > 1, F.lit("Altele")).otherwise(
         ladder(4 * row_sum(SPEC.items[:2]), SPEC.cuts, SPEC.top)
     )
     guessed = gold(spark, sf_dir).select(SPEC.severity, extra.alias("guess"))
-    counts = evaluate.confusion_counts(guessed, SPEC.severity, "guess")
-    return evaluate.confusion_matrix(counts, SPEC.severity_classes, other="other")
+    return evaluate.confusion_counts(guessed, SPEC.severity, "guess")
+
+
+def confusion_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same counts with the classes that occur, none declared."""
+    return evaluate.confusion_open(_strange_counts(spark, sf_dir))
+
+
+def crosstab_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Severity by age group, with a class that the spec lacks for those without a second item."""
+    grouped = score.add_age_group(gold(spark, sf_dir), SPEC)
+    strange = F.when(F.col(SPEC.items[1]) == 0, F.lit("Altele")).otherwise(F.col(SPEC.severity))
+    return stats.crosstab_open(grouped.withColumn("seen", strange), score.AGE_GROUP, "seen")
 
 
 def crosstab_other(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -518,9 +561,14 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         confusion_matrix,
         confusion_other,
         crosstab_other,
+        crosstab_open,
+        confusion_open,
         class_report,
         eval_metrics,
         chart_confusion_rule,
+        feature_bins,
+        shallow_predictions,
+        shallow_cuts,
         stump_predictions,
         stump_importances,
         stump_confusion,

@@ -12,6 +12,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from surveyflow.sources.files import remove
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 _local_root: list[str] = []
@@ -37,4 +39,13 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write once, read many: cuts the lineage with a columnar table in the shared folder."""
     path = scratch_path(df.sparkSession, purpose)
     df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    stored = df.sparkSession.read.parquet(path)
+    stored.scratch_path = path
+    return stored
+
+
+def discard(*stored: DataFrame | None) -> None:
+    """Deletes tables of `materialize` that nothing will read any more."""
+    for df in stored:
+        if df is not None:
+            remove(df.sparkSession, df.scratch_path)

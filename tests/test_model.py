@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -80,6 +81,32 @@ def test_saved_model_scores_new_respondents(spark, spec, quick, fitted, small_di
     assert scored.filter(F.col(forest.PREDICTED_CLASS).isNull()).count() == 0
 
 
+def test_half_written_and_changed_models_are_refused(spark, spec, quick, fitted, small_dir, tmp_path, monkeypatch):
+    path = tmp_path / "model"
+    gold = Q.gold(spark, small_dir)
+    predicted = lambda: sorted(forest.load_model(str(path)).transform(gold).select(spec.key, forest.PREDICTED_CLASS).collect())
+    with pytest.raises(ValueError, match="no whole model"):
+        forest.load_model(str(path))
+    forest.save_model(fitted.model, str(path))
+    before = predicted()
+
+    other = forest.train_forest(gold, dataclasses.replace(quick, trees=2, depth=2))
+    with monkeypatch.context() as m:
+        m.setattr(forest, "_digests", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            forest.save_model(other.model, str(path))
+    assert len(list((path / "versions").iterdir())) == 2 and predicted() == before
+    forest.save_model(other.model, str(path))
+    assert predicted() != before
+
+    newest = json.loads(sorted((path / "manifests").glob("*.json"))[-1].read_text())["version"]
+    (settings,) = (path / "versions" / newest / "settings").glob("part-*.txt")
+    (settings.parent / f".{settings.name}.crc").unlink()
+    settings.write_text(settings.read_text().replace("UNKNOWN", "NOTHING"))
+    with pytest.raises(ValueError, match="isn't the one that was saved"):
+        forest.load_model(str(path))
+
+
 def test_unseen_category_is_an_error(spark, fitted, small_dir):
     strange = Q.gold(spark, small_dir).limit(5).withColumn("Gender", F.lit("L9"))
     with pytest.raises(Exception):

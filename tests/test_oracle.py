@@ -49,6 +49,17 @@ def test_optional_operators_may_be_absent(tmp_path):
     assert done.stdout.split() == ["True", "True"], done.stderr
 
 
+def test_entry_without_what_only_the_optional_operators_need(tmp_path):
+    root = Path(entry_module.__file__).resolve().parent
+    (tmp_path / "tiktoken.py").write_text("raise ImportError('hidden')\n")
+    (tmp_path / "tokenizers.py").write_text("raise ImportError('hidden')\n")
+    (tmp_path / "xxhash.py").write_text("raise ImportError('hidden')\n")
+    code = "import __spark_entry__ as e; print(len(e.queries()) >= 69, len(e.oracle_sql()) > 60)"
+    env = {**os.environ, "PYTHONPATH": f"{tmp_path}:{root}"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
+    assert done.stdout.split() == ["True", "True"], done.stderr
+
+
 def test_flagship(spark):
     rows = {r["Depression_Severity"]: r["Total_Pacienti"] for r in entry_module.entry(spark).collect()}
     assert rows == {"Minimala": 570, "Usoara": 181, "Moderat_Severa": 103, "Severa": 94, "Moderata": 36}

@@ -28,11 +28,12 @@ def distributions():
     }
 
 
-@pytest.mark.parametrize("closed", [True, False])
-def test_against_numpy_by_group(spark, closed):
+@pytest.mark.parametrize(("closed", "most"), [(True, QT.RANKED), (False, QT.RANKED), (True, 40), (False, 2)])
+def test_against_numpy_by_group(spark, closed, most):
+    """With few distinct values a task, ranges are cut once or several times."""
     frames = [pd.DataFrame({"g": name, "x": values}) for name, values in distributions().items()]
     df = spark.createDataFrame(pd.concat(frames)).repartition(7)
-    found = QT.quantiles_of(QT.value_histogram(df, ["x"], ["g"]), PROBABILITIES, ["g"], closed).collect()
+    found = QT.quantiles_of(QT.stored_histogram(df, ["x"], ["g"]), PROBABILITIES, ["g"], closed, most).collect()
     assert {r["g"] for r in found} == set(distributions())
     for row in found:
         values = distributions()[row["g"]]
@@ -52,7 +53,7 @@ def test_many_columns_at_once(spark):
 
 def test_null_group_is_a_group(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "g string, x double")
-    found = QT.quantiles_of(QT.value_histogram(df, ["x"], ["g"]), {"median": 0.5}, ["g"]).collect()
+    found = QT.quantiles_of(QT.stored_histogram(df, ["x"], ["g"]), {"median": 0.5}, ["g"]).collect()
     assert {r["g"]: r["median"] for r in found} == {None: 2.0, "a": 5.0}
 
 
@@ -83,15 +84,20 @@ def test_approximate_medians(spark):
     assert set(found) == {"x"} and math.isclose(found["x"], 5000, abs_tol=5)
 
 
-def test_ranges_are_even_and_ordered(spark):
-    """What is ranked at the end is a constant share of the distinct values, however many and however spread."""
+def test_what_a_task_ranks_is_bounded(spark):
+    """Two million distinct values: no ranked range exceeds the constant, and the ranks come out exactly."""
     df = spark.range(2_000_000).select(F.exp(F.pmod(F.xxhash64("id"), F.lit(10**9)) / 1e8).alias("x"))
-    ranged = QT._ranged(QT.value_histogram(df, ["x"]), ["measure"], small=True)
-    ranges = ranged.groupBy("range").agg(F.min("value").alias("low"), F.max("value").alias("high"), F.count("value").alias("n"))
-    ranges = ranges.toPandas().sort_values("range")
-    assert ranges["range"].between(0, QT.RANGES - 1).all()
-    assert (ranges["high"].to_numpy()[:-1] < ranges["low"].to_numpy()[1:]).all()
-    assert ranges["n"].max() <= 3 * ranges["n"].sum() / QT.RANGES
+    stored = QT.stored_histogram(df, ["x"])
+    wanted = {"q1": 0.25, "median": 0.5}
+    ranges = QT.wanted_ranges(stored, ["measure"], wanted, True).collect()
+    assert 1 <= len(ranges) <= 4 and all(0 < r["distinct"] <= QT.RANKED for r in ranges)
+    for r in ranges:
+        assert r["ahead"] == stored.filter(F.col("value") < r["low"]).agg(F.sum("n")).first()[0]
+    found = QT.quantiles_of(stored, wanted).first()
+    exact = df.agg(F.percentile("x", F.array(F.lit(0.25), F.lit(0.5)))).first()[0]
+    assert [found["q1"], found["median"]] == pytest.approx(exact, rel=1e-12)
+    fine = QT.wanted_ranges(stored, ["measure"], {"median": 0.5}, True, most=100).collect()
+    assert all(r["distinct"] <= 100 for r in fine)
 
 
 def test_box_stats_against_brute_force(spark):
