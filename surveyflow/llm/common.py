@@ -10,12 +10,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyflow.operators.ranges import running_totals
-from surveyflow.sources.scratch import materialize
+from surveyflow.sources.scratch import discard, materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 
 __all__ = [
-    "WORD", "buffered", "fold", "lower_ascii", "materialize", "narrow", "running_totals", "table", "text_rows", "whole",
+    "WORD", "buffered", "discard", "document_key", "fold", "lower_ascii", "materialize", "narrow", "one_each", "running_totals",
+    "table", "text_rows", "whole",
 ]
 
 
@@ -44,6 +45,19 @@ def narrow(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*(F.col(f"`{source}`").alias(name) for name, source in columns.items()))
 
 
+def document_key(id_col: str, digest: Column) -> Column:
+    """Sixteen bytes that stand for an id, null or not, together with the digest (text) of a text."""
+    named = F.coalesce(F.concat(F.lit("="), F.col(id_col).cast("string")), F.lit("none"))
+    return F.unhex(F.md5(F.concat(digest, named)))
+
+
+def one_each(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Of the rows of each ``__key`` the one with the smallest hash of ``columns``, which are returned."""
+    every = [F.col(f"`{c}`") for c in columns]
+    chosen = rows.groupBy("__key").agg(F.min_by(F.struct(*every), F.xxhash64(*every)).alias("__row"))
+    return chosen.select("__row.*")
+
+
 def text_rows(batches: Iterator[pa.RecordBatch], text: str | int = "text", size: int = 8_000_000) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Arrow batches of at most some megabytes of text with the texts as Python strings; null counts as empty."""
     for batch in batches:

@@ -1,10 +1,15 @@
 """Substring dedup by level-wise doubling of repeated word windows.
 
-A window of ``length`` words can only occur twice if the windows of half that length inside it do. The first level looks
-at halves, and of these only at anchors: in every full window the half with the smallest hash, which is the same half
-wherever the window stands. Halves that occur once end there. Windows around a repeated half are extended to the full
-length, and of each that still occurs more than once all but the earliest occurrence are removed. Documents that repeat
-another word for word are settled before the first level by a digest of their words.
+A window of ``length`` words can only occur twice if the windows of a quarter and of half that length inside it do. The
+first level looks at quarters, and of these only at anchors: in every full window the quarter with the smallest hash, which
+is the same quarter wherever the window stands. Windows around an anchor that is repeated are extended to half the length,
+those around a repeated half to the full length, and of each full window that still occurs more than once all but the
+earliest occurrence are removed. Documents that repeat another word for word are settled before the first level by a digest
+of their words.
+
+What is known to be repeated goes back to the texts as a bitmap of fixed size: it holds back windows and texts that can't
+match, and what it lets through by chance ends at the next level or in the next join. So texts that have no part in a
+repetition are never shuffled.
 """
 
 from __future__ import annotations
@@ -15,12 +20,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from surveyflow.llm.common import buffered, materialize, narrow, table, text_rows, whole
+from surveyflow.llm.bitmaps import bitmap_of, matching, marked
+from surveyflow.llm.common import buffered, discard, materialize, narrow, table, text_rows, whole
 
-LAST = 2**63 - 1
+#: Bytes of text that are cut into words at a time.
+PIECE = 4_000_000
+#: Anchors that occur more often than FEW are hot: their windows are counted before they are shuffled. At most HOT anchors
+#: are; any other has less than one in HOT of all occurrences.
+FEW, HOT = 4096, 1024
 
 
 def half_of(length: int) -> int:
@@ -28,8 +38,21 @@ def half_of(length: int) -> int:
     return (length + 1) // 2
 
 
-def words_of(text: str) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").split()
+def pieces(text: str, length: int) -> Iterator[tuple[int, list[bytes], int]]:
+    """(number of the first word, words, how many of them came before): every window of ``length`` words is in one piece."""
+    data = text.encode("utf-8", "surrogatepass")
+    at, held, fresh, rest = 0, [], 0, b""
+    for low in range(0, len(data) or 1, PIECE):
+        part = rest + data[low : low + PIECE]
+        words, rest = part.split(), b""
+        last = low + PIECE >= len(data)
+        if not last and words and not part[-1:].isspace():
+            rest = words.pop()
+        held += words
+        if words or last:
+            yield at, held, fresh
+        kept = min(len(held), length - 1)
+        at, held, fresh = at + len(held) - kept, held[len(held) - kept :], kept
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
@@ -81,76 +104,161 @@ def anchors(half: np.ndarray, width: int) -> np.ndarray:
     return half[sliding(padded, width, np.maximum) == half]
 
 
-def first_level(docs: DataFrame, length: int) -> DataFrame:
-    """(at, key, digest, halves) of every row: its words' digest and the anchors of its windows, each twice at most."""
+def offsets(quarter: np.ndarray, least: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
+    """Where in the windows at ``start`` the first quarter with the smallest hash stands."""
+    found = np.zeros(len(start), dtype=np.int64)
+    for step in range(width - 1, -1, -1):
+        found[quarter[start + step] == least[start]] = step
+    return found
+
+
+def _twice_at_most(values: np.ndarray) -> np.ndarray:
+    hashes, counts = np.unique(values, return_counts=True)
+    return np.concatenate([hashes, hashes[counts > 1]])
+
+
+def first_level(rows: DataFrame, length: int) -> DataFrame:
+    """(at, key, row, digest, n_words, quarters) of every row: the digest of its words and the anchors of its windows."""
+    quarter = half_of(half_of(length))
+    schema = [("row", pa.binary()), ("digest", pa.binary()), ("n_words", pa.int64()), ("quarters", pa.list_(pa.int64()))]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made(batch: pa.RecordBatch, texts: list[str]) -> Iterator[tuple]:
+            known = (batch.column(c).to_pylist() for c in ("at", "key", "row"))
+            for at, key, row, text in zip(*known, texts):
+                digest, n_words, found = hashlib.sha256(), 0, []
+                for _, words, before in pieces(text, length):
+                    digest.update(b" ".join([b"", *words[before:]]))
+                    n_words += len(words) - before
+                    if len(words) >= length:
+                        hashes = window_hashes(word_hashes(words)[:1], quarter)[0]
+                        found.append(_twice_at_most(anchors(hashes, length - quarter + 1)))
+                quarters = np.concatenate(found) if found else np.empty(0, np.uint64)
+                yield at, key, row, digest.digest()[:16], n_words, quarters.view(np.int64)
+
+        for batch, texts in text_rows(batches):
+            out = pa.schema([batch.schema.field("at"), batch.schema.field("key"), *schema])
+            yield from buffered(made(batch, texts), out, 2048, lambda row: 8 * len(row[5]))
+
+    kind = rows.schema["at"].dataType.simpleString()
+    rows = rows.select("at", "key", "row", "text")
+    return rows.mapInArrow(work, f"at {kind}, key binary, row binary, digest binary, n_words long, quarters array<long>")
+
+
+def second_level(rows: DataFrame, length: int, repeated: np.ndarray, hot: np.ndarray) -> DataFrame:
+    """(row, halves, hot): of rows with repeated anchors, the halves around them, and whether any of them is hot."""
+    half, quarter = half_of(length), half_of(half_of(length))
+    schema = pa.schema([("row", pa.binary()), ("halves", pa.list_(pa.int64())), ("hot", pa.bool_())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("at", pa.int64()), ("key", pa.binary()), ("digest", pa.binary()), ("halves", pa.list_(pa.int64()))])
-
-        def rows(batch: pa.RecordBatch, texts: list[str]) -> Iterator[tuple]:
-            for at, key, text in zip(batch.column("at").to_pylist(), batch.column("key").to_pylist(), texts):
-                words = words_of(text)
-                digest = hashlib.sha256(b" ".join(words)).digest()[:16]
-                halves = np.empty(0, np.uint64)
-                if len(words) >= length:
-                    halves_of = window_hashes(word_hashes(words), half_of(length))[0]
-                    hashes, counts = np.unique(anchors(halves_of, length - half_of(length) + 1), return_counts=True)
-                    halves = np.concatenate([hashes, hashes[counts > 1]])
-                yield at, key, digest, halves.view(np.int64)
+        def made(batch: pa.RecordBatch, texts: list[str]) -> Iterator[tuple]:
+            for row, text in zip(batch.column("row").to_pylist(), texts):
+                found, any_hot = [], False
+                for _, words, _ in pieces(text, length):
+                    if len(words) < length:
+                        continue
+                    single = word_hashes(words)[:1]
+                    hashes = window_hashes(single, quarter)[0]
+                    least = anchored(hashes, length - quarter + 1)
+                    held, own = marked(repeated, least), np.isin(least, hot)
+                    any_hot |= bool((held & own).any())
+                    start = np.flatnonzero(held & ~own)
+                    if len(start):
+                        at = np.unique(start + np.minimum(offsets(hashes, least, start, length - quarter + 1), length - half))
+                        found.append(_twice_at_most(window_hashes(single, half)[0][at]))
+                if found or any_hot:
+                    halves = np.concatenate(found) if found else np.empty(0, np.uint64)
+                    yield row, halves.view(np.int64), any_hot
 
         for batch, texts in text_rows(batches):
-            yield from buffered(rows(batch, texts), schema, 2048, lambda row: 8 * len(row[3]))
+            yield from buffered(made(batch, texts), schema, 2048, lambda row: 8 * len(row[1]))
 
-    return docs.mapInArrow(work, "at bigint, key binary, digest binary, halves array<bigint>")
+    return rows.select("row", "text").mapInArrow(work, "row binary, halves array<long>, hot boolean")
 
 
-def full_windows(docs: DataFrame, length: int) -> DataFrame:
-    """(h1, h2, place, start) of the full windows of ``docs`` (place, text, halves) whose anchor is among the halves."""
+def full_windows(docs: DataFrame, length: int, repeated: np.ndarray, hot: np.ndarray, of_hot: bool) -> DataFrame:
+    """(h1, h2, place, start) of the full windows of ``docs`` (place, text, halves): those around a hot anchor, or those
+    around the others whose half is among the halves."""
+    half, quarter = half_of(length), half_of(half_of(length))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_rows(batches):
             halves = batch.column("halves")
             for k, (place, text) in enumerate(zip(batch.column("place").to_pylist(), texts)):
-                single = word_hashes(words_of(text))
-                half = window_hashes(single, half_of(length))
-                least = anchored(half[0], length - half_of(length) + 1)
-                known = np.asarray(halves[k].values).view(np.uint64)
-                start = np.flatnonzero(np.isin(least, known))
-                whole = joined(half[:, start], half[:, start + length - half_of(length)]).view(np.int64)
-                for low in range(0, len(start), 100_000):
-                    part = slice(low, low + 100_000)
-                    columns = [whole[0, part], whole[1, part], np.full(len(start[part]), place), start[part].astype(np.int32)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h1", "h2", "place", "start"])
+                known = np.asarray(halves[k].values).view(np.uint64) if halves[k].is_valid else np.empty(0, np.uint64)
+                for at, words, _ in pieces(text, length):
+                    if len(words) < length:
+                        continue
+                    single = word_hashes(words)
+                    hashes = window_hashes(single[:1], quarter)[0]
+                    least = anchored(hashes, length - quarter + 1)
+                    own = np.isin(least, hot)
+                    start = np.flatnonzero(marked(repeated, least) & (own if of_hot else ~own))
+                    if not of_hot and len(start):
+                        extended = start + np.minimum(offsets(hashes, least, start, length - quarter + 1), length - half)
+                        start = start[np.isin(window_hashes(single[:1], half)[0][extended], known)]
+                    if not len(start):
+                        continue
+                    full = window_hashes(single, length)[:, start].view(np.int64)
+                    for low in range(0, len(start), 100_000):
+                        part = slice(low, low + 100_000)
+                        columns = [full[0, part], full[1, part], np.full(len(start[part]), place), (start[part] + at).astype(np.int32)]
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h1", "h2", "place", "start"])
 
     return docs.mapInArrow(work, "h1 bigint, h2 bigint, place bigint, start int")
 
 
 def keep_words(docs: DataFrame, length: int) -> DataFrame:
     """Applies ``copied`` and ``starts`` (removed windows) to the words of each row."""
+    schema = [("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string())]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("at", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string())])
-
-        def rows(batch: pa.RecordBatch, texts: list[str]) -> Iterator[tuple]:
+        def made(batch: pa.RecordBatch, texts: list[str]) -> Iterator[tuple]:
             starts, copied = batch.column("starts"), batch.column("copied").to_pylist()
             for k, (at, text) in enumerate(zip(batch.column("at").to_pylist(), texts)):
-                words, size = words_of(text), 0
-                if copied[k] and len(words) >= length:
-                    size, words = len(words), []
-                elif starts[k].is_valid:
-                    turns = np.zeros(len(words) + 1, dtype=np.int32)
-                    own = np.asarray(starts[k].values)
+                gone = None
+                if starts[k].is_valid and not copied[k]:
+                    own = np.sort(np.asarray(starts[k].values).astype(np.int64))
+                    turns = np.zeros(own[-1] + length + 1, dtype=np.int32)
                     np.add.at(turns, own, 1)
                     np.add.at(turns, own + length, -1)
-                    keep = np.cumsum(turns[:-1]) == 0
-                    size, words = len(words), [words[i] for i in np.flatnonzero(keep)]
-                kept = b" ".join(words).decode("utf-8", "surrogatepass")
-                yield at, size or len(words), max(size - len(words), 0), kept
+                    gone = np.cumsum(turns) > 0
+                size, kept = 0, []
+                for first, words, _ in pieces(text, 1):
+                    size += len(words)
+                    if gone is not None:
+                        own = gone[first : first + len(words)]
+                        words = [w for w, out in zip(words, own.tolist()) if not out] + words[len(own) :]
+                    if not copied[k]:
+                        kept += [(len(words), b" ".join(words))] if words else []
+                text = b" ".join(part for _, part in kept).decode("utf-8", "surrogatepass")
+                yield at, size, size - sum(n for n, _ in kept), text
 
         for batch, texts in text_rows(batches):
-            yield from buffered(rows(batch, texts), schema, 2048, lambda row: len(row[3]))
+            out = pa.schema([batch.schema.field("at"), *schema])
+            yield from buffered(made(batch, texts), out, 2048, lambda row: len(row[3]))
+
+    kind = docs.schema["at"].dataType.simpleString()
+    return docs.mapInArrow(work, f"at {kind}, n_words bigint, n_removed bigint, kept_text string")
+
 
-    return docs.mapInArrow(work, "at bigint, n_words bigint, n_removed bigint, kept_text string")
+def _short(row: str = "row"):
+    return F.xxhash64(row).alias("short")
+
+
+def _later(cold: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """(place, start) of all but the earliest occurrence of each window.
+
+    Windows around hot anchors are counted before they are shuffled and then meet the earliest in a join that Spark splits
+    by size. All others are few, and meet in one exchange.
+    """
+    here, same = F.struct("place", "start"), Window.partitionBy("h1", "h2")
+    later = cold.withColumn("first", F.min(here).over(same)).filter(here > F.col("first")).select("place", "start")
+    if hot is None:
+        return later
+    earliest = hot.groupBy("h1", "h2").agg(F.min(here).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    earliest = materialize(earliest.drop("n"), "windows-earliest")
+    return later.union(hot.join(earliest, ["h1", "h2"]).filter(here > F.col("first")).select("place", "start"))
 
 
 def substring_dedup(docs: DataFrame, length: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -160,34 +268,63 @@ def substring_dedup(docs: DataFrame, length: int = 20, id_col: str = "doc_id", t
     removed still counts as an earlier start. Texts of fewer than ``length`` words keep all; a null text has no words. A
     null doc_id comes after all others. Unlike texts of one id, or of none, are documents of their own and follow each
     other by the MD5 of their texts; rows that repeat both stand at the same place, so they lose the same words. No rows
-    in, no rows out. Ids are whole numbers; further columns are not returned.
+    in, no rows out. Ids are of any type that has an order; further columns are not returned.
     """
-    rows = narrow(docs, doc_id=id_col, text=text_col).select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("at"), F.unhex(F.md5(whole("text"))).alias("key"), "text"
-    )
-    level = materialize(first_level(rows, length).withColumn("row", F.monotonically_increasing_id()), "windows-first")
+    rows = narrow(docs, at=id_col, text=text_col).withColumn("text", whole("text"))
+    named = F.coalesce(F.concat(F.lit("="), F.col("at").cast("string")), F.lit("none"))
+    rows = rows.withColumn("key", F.unhex(F.md5("text")))
+    rows = rows.withColumn("row", F.unhex(F.md5(F.concat(F.hex("key"), named))))
+    first = materialize(first_level(rows, length), "windows-first")
 
     # numbered in the order of documents: ranges in order, and rows in order in each; of repeated rows one stands for all
-    ordered = level.groupBy("at", "key", "digest").agg(F.min("row").alias("row")).repartitionByRange("at", "key").sortWithinPartitions("at", "key")
-    places = materialize(ordered.withColumn("place", F.monotonically_increasing_id()), "windows-places")
-    originals = places.groupBy("digest").agg(F.min("place").alias("original"))
-    copies = places.join(originals, "digest").filter("place > original").select("at", "key")
-    heads = level.join(copies, ["at", "key"], "left_anti")
-
-    halves = heads.select(F.explode("halves").alias("half"), "row")
-    repeated = halves.groupBy("half").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("half")
-    found = halves.join(repeated, "half", "left_semi").groupBy("row").agg(F.collect_set("half").alias("halves"))
-    survivors = materialize(found.join(places, "row").select("at", "key", "place", "halves"), "windows-halves")
-
-    windows = full_windows(rows.join(survivors, ["at", "key"]).select("place", "text", "halves"), length)
-    earliest = windows.groupBy("h1", "h2").agg(F.min(F.struct("place", "start")).alias("first"), F.count(F.lit(1)).alias("n"))
-    later = windows.join(earliest.filter("n > 1"), ["h1", "h2"]).filter(F.struct("place", "start") > F.col("first"))
-    starts = later.groupBy("place").agg(F.collect_list("start").alias("starts"))
-    removed = starts.join(places, "place").select("at", "key", "starts", F.lit(False).alias("copied"))
-    copied = copies.select("at", "key", F.lit(None).cast("array<int>").alias("starts"), F.lit(True).alias("copied"))
-    marked = rows.join(removed.unionByName(copied), ["at", "key"], "left").select("at", "text", "starts", F.coalesce("copied", F.lit(False)).alias("copied"))
-    kept = keep_words(marked, length)
-    return kept.select(F.when(F.col("at") != LAST, F.col("at")).alias("doc_id"), "n_words", "n_removed", "kept_text")
+    distinct = first.groupBy("row").agg(*[F.first(c).alias(c) for c in ("at", "key", "digest", "n_words")])
+    order = [F.col("at").isNull(), F.col("at"), F.col("key")]
+    ordered = distinct.repartitionByRange(*order).sortWithinPartitions(*order)
+    places = materialize(ordered.select("row", "digest", "n_words", F.monotonically_increasing_id().alias("place")), "windows-places")
+    long = places.filter(F.col("n_words") >= length)
+    originals = long.groupBy("digest").agg(F.min("place").alias("place"))  # joined with the place, so copies are spread
+    copies = materialize(long.join(originals, ["digest", "place"], "left_anti").select("row"), "windows-copies")
+
+    counted = first.join(copies, "row", "left_anti").select(F.explode("quarters").alias("quarter"))
+    counted = counted.groupBy("quarter").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    counted = materialize(counted, "windows-quarters")
+    discard(first)
+    repeated = bitmap_of(counted, "quarter")
+    often = counted.filter(F.col("n") > FEW).orderBy(F.desc("n"), "quarter").limit(HOT).select("quarter").collect()
+    hot = np.array([r["quarter"] for r in often], dtype=np.int64).view(np.uint64)
+
+    halves = materialize(second_level(rows, length, repeated, hot), "windows-halves")
+    heads = halves.join(copies, "row", "left_anti").withColumn("short", _short())
+    pairs = heads.select("short", F.explode("halves").alias("half"))
+    again = pairs.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("half"))).filter("n > 1")
+    # a row's short key may be another's too: it then gets halves that its text doesn't have, which is no harm
+    found = again.select("short", "half", F.lit(False).alias("hot")).union(
+        heads.filter("hot").select("short", F.lit(None).cast("long"), F.lit(True))
+    )
+    found = found.groupBy("short").agg(F.collect_set("half").alias("halves"), F.max("hot").alias("hot"))
+    known = places.select("row", "place", _short())
+    survivors = materialize(found.join(known, "short").select("short", "row", "place", "halves", "hot"), "windows-survivors")
+    discard(halves, counted)
+
+    held = matching(rows.select("row", "text", _short()), bitmap_of(survivors, "short"), "short", True).select("row", "text")
+    texts = held.join(survivors.drop("short"), "row").select("place", "text", "halves", "hot")
+    of_hot = materialize(full_windows(texts.filter("hot"), length, repeated, hot, True), "windows-hot") if len(hot) else None
+    later = _later(full_windows(texts, length, repeated, hot, False), of_hot)
+    starts = later.groupBy("place").agg(F.collect_list("start").alias("starts")).join(places, "place")
+    removed = starts.select("row", "starts", F.lit(False).alias("copied"))
+    copied = copies.select("row", F.lit(None).cast("array<int>").alias("starts"), F.lit(True).alias("copied"))
+    removed = materialize(removed.unionByName(copied).withColumn("short", _short()), "windows-removed")
+    discard(places, copies, survivors, of_hot)
+
+    wanted, losing = rows.select("at", "row", "text", _short()), bitmap_of(removed, "short")
+    whole_rows = matching(wanted, losing, "short", False).select(
+        "at", "text", F.lit(None).cast("array<int>").alias("starts"), F.lit(False).alias("copied")
+    )
+    cut_rows = matching(wanted, losing, "short", True).join(removed.drop("short"), "row", "left").select(
+        "at", "text", "starts", F.coalesce("copied", F.lit(False)).alias("copied")
+    )
+    kept = keep_words(whole_rows, length).union(keep_words(cut_rows, length))
+    return kept.select(F.col("at").alias("doc_id"), "n_words", "n_removed", "kept_text")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

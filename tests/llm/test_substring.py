@@ -6,7 +6,9 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 from llm_cases import edge_rows, frame, listed, prose
+from surveyflow.llm import bitmaps
 from surveyflow.llm import substring_dedup as S
 
 
@@ -41,6 +43,59 @@ def test_shared_passages(spark):
     assert listed(S.substring_dedup(frame(spark, rows)), "doc_id", "n_words", "n_removed", "kept_text") == brute(rows)
 
 
+@pytest.mark.parametrize("hot", [True, False])
+@pytest.mark.parametrize("bits", [1 << 15, 1 << 20])
+def test_any_share_of_hot_windows_and_of_false_positives(spark, monkeypatch, hot, bits):
+    """Texts cut into small pieces, a bitmap that is nearly full, and every repeated anchor hot."""
+    monkeypatch.setattr(S, "PIECE", 150)
+    monkeypatch.setattr(bitmaps, "BITS", bits)
+    if hot:
+        monkeypatch.setattr(S, "FEW", 2)
+        monkeypatch.setattr(S, "HOT", 12)
+    many = [(1000 + i, prose(1000 + i, 400), None, None) for i in range(30)]
+    rows = shared_rows() + many + edge_rows()[:-4]
+    rows = [r for r in rows if r[0] is not None]
+    assert listed(S.substring_dedup(frame(spark, rows)), "doc_id", "n_words", "n_removed", "kept_text") == brute(rows)
+
+
+def test_bitmaps(spark, monkeypatch):
+    monkeypatch.setattr(bitmaps, "BITS", 1 << 16)
+    keys = np.array([0, 1, 7, 8, 65535, 65536 + 9, -1, -(2**63), 2**63 - 1], dtype=np.int64)
+    bitmap = bitmaps.bitmap_of(spark.createDataFrame([(int(k),) for k in keys], "k long"), "k")
+    held = {int(k) % (1 << 16) for k in keys}
+    assert bitmaps.marked(bitmap, np.arange(1 << 16, dtype=np.int64)).sum() == len(held)
+    assert bitmaps.marked(bitmap, keys).all()
+    df = spark.range(100).selectExpr("id AS k", "CAST(id AS STRING) AS t")
+    assert {r["k"] for r in bitmaps.matching(df, bitmap, "k", True).collect()} == {k for k in range(100) if k in held}
+    assert bitmaps.matching(df, bitmap, "k", False).count() == 100 - len({k for k in range(100) if k in held})
+    assert not bitmaps.bitmap_of(df.limit(0), "k").any()
+
+
+@pytest.mark.parametrize("size", [1, 5, 40, 10_000])
+@pytest.mark.parametrize("length", [1, 3, 20])
+def test_pieces_hold_every_window_once(size, length, monkeypatch):
+    monkeypatch.setattr(S, "PIECE", size)
+    for text in ("", "  ", "one", prose(5, 60), " " + prose(6, 19) + "\n", "é " * 30):
+        words = text.encode().split()
+        found, fresh = {}, []
+        for at, held, before in S.pieces(text, length):
+            fresh += held[before:]
+            for k in range(len(held) - length + 1):
+                assert at + k not in found
+                found[at + k] = held[k : k + length]
+        assert fresh == words
+        assert found == {k: words[k : k + length] for k in range(len(words) - length + 1)}
+
+
+def test_largest_and_string_ids(spark):
+    rows = shared_rows() + [(2**63 - 1, prose(700, 30), None, None), (2**63 - 2, f"{prose(700, 30)} {prose(701, 9)}", None, None)]
+    found = S.substring_dedup(frame(spark, rows))
+    assert listed(found, "doc_id", "n_words", "n_removed", "kept_text") == brute(rows)
+    named = frame(spark, [r for r in rows if r[0] < 100]).withColumn("doc_id", S.F.format_string("d%02d", "doc_id"))
+    expected = sorted(((f"d{i:02d}", *rest) for i, *rest in brute([r for r in rows if r[0] < 100])), key=repr)
+    assert listed(S.substring_dedup(named), "doc_id", "n_words", "n_removed", "kept_text") == expected
+
+
 def test_edges(spark):
     rows = [r for r in edge_rows() if r[0] is not None]
     assert listed(S.substring_dedup(frame(spark, rows)), "doc_id", "n_words", "n_removed", "kept_text") == brute(rows)
