@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html as H
 import re
+import time
 
 import pytest
 from llm_cases import prose
@@ -89,3 +90,28 @@ def test_sections_of_an_article_stay_whatever_their_name(wrap, name):
 def test_a_form_around_the_page():
     page = f"<body><form id=aspnet><div class=menu><a href=x>Home</a></div><div><p>{A}</p><p>{B}</p></div></form><form><p>Search, please.</p></form></body>"
     assert html_extract.main_text(page) == f"{A}\n{B}"
+
+
+@pytest.mark.parametrize("wrap", ["article", "main", "div"])
+@pytest.mark.parametrize("name", ["feedback", "kommentare", "KommentarListe", "werbung", "publicité", "comentarios", "comments", "cookie-hinweis"])
+def test_prose_that_a_page_calls_something_else(wrap, name):
+    """Comments, adverts and notices go in any of the languages, inside and beside the article, however long they are."""
+    long = "".join(f"<p>{sentence(s, 80)}</p>" for s in range(40, 46))
+    inside = f"<{wrap}><h1>Title</h1><p>{A}</p><p>{B}</p><div class='{name}'>{long}</div></{wrap}>"
+    assert html_extract.main_text(f"<body><div class=menu><a href=x>Home</a></div>{inside}</body>") == f"Title\n{A}\n{B}"
+    beside = f"<{wrap}><h1>Title</h1><p>{A}</p><p>{B}</p></{wrap}><div class='{name}'>{long}</div>"
+    assert html_extract.main_text(f"<body>{beside}</body>") == f"Title\n{A}\n{B}"
+
+
+def test_the_ratio_selects_parts_without_names():
+    """Short texts without punctuation beside the paragraphs go, headings and lists of the text stay."""
+    links = "".join(f"<div><span>Item {k}</span></div>" for k in range(6))
+    page = f"<body><div><div><h1>Title</h1></div><p>{A}</p><div>{links}</div><p>{B}</p><ul><li>one<li>two</ul><p>{C}</p></div></body>"
+    assert html_extract.main_text(page) == f"Title\n{A}\n{B}\none\ntwo\n{C}"
+
+
+@pytest.mark.parametrize("opened", ["<div>", "<x-part>", "<section class=comments>", "<ul><li>", "<p><div>", "</b></div>", "<form>"])
+def test_deep_and_broken_pages_take_linear_time(opened):
+    start = time.perf_counter()
+    text = html_extract.main_text("<body>" + opened * 20_000 + f"<p>{A}<p>{B}")
+    assert time.perf_counter() - start < 3 and (A in text or "comments" in opened)
