@@ -143,41 +143,77 @@ class ChunkCodec:
         self.held += len(data)
         return known
 
-    def repaired(self, before: str, window: str, after: str) -> tuple[np.ndarray, bytes]:
-        """Ids and bytes of what lies around a join: encoded again with its neighbours, and both encodings must agree.
+    def agree(self, before: str, window: str, after: str) -> list[int] | None:
+        """Ids of ``window``, if encoding it by itself and together with its neighbours is the same."""
+        ids, left, right = (self.encode(p) if p else [] for p in (window, before, after))
+        return ids if self.encode(before + window + after) == left + ids + right else None
 
-        If they don't, the pieces depend on more than their neighbours, and such a tokenizer has no safe cuts.
-        """
+    def repaired(self, before: str, window: str, after: str) -> tuple[np.ndarray, bytes] | None:
+        """Ids and bytes of what lies around a join: encoded again with its neighbours, and both encodings must agree."""
         if (known := self.joins.get((before, window, after))) is not None:
             return known
-        ids, left, right = (self.encode(p) if p else [] for p in (window, before, after))
-        if self.encode(before + window + after) != left + ids + right:
-            raise ValueError("encodings around a join don't agree")
+        ids = self.agree(before, window, after)
+        if ids is None:
+            return None
         known = self.joins[before, window, after] = (np.array(ids, dtype=np.int32), self.decode(ids))
         return known
 
+    def parts(self, data: bytes) -> list[str]:
+        """The text as what lies around its joins and the cores between, in turn."""
+        out, start, open_text = [], 0, ""
+        for end in chunk_ends(data, self.rule).tolist():
+            head, _, tail, *_ = self.chunk(data[start:end])
+            text = data[start:end].decode("utf-8", "surrogatepass")
+            start, open_text = end, open_text + head
+            if tail is not None:
+                out += [open_text, text[len(head) : len(text) - len(tail)]]
+                open_text = tail
+        return [part for part in [*out, open_text] if part]
+
+    def widened(self, data: bytes) -> list[int]:
+        """Ids of a text in which an encoding around a join doesn't agree: windows take in their neighbours until all do,
+        at last the whole text."""
+        parts, at = self.parts(data), 0
+        while at < len(parts):
+            low, high = max(0, at - 1), min(len(parts), at + 2)
+            sides = ("".join(parts[low:at]), parts[at], "".join(parts[at + 1 : high]))
+            if high - low == 1 or self.agree(*sides) is not None:
+                at += 1
+                continue
+            parts[low:high] = ["".join(sides)]
+            at = max(0, low - 1)  # what stands before has another neighbour now
+        return list(chain.from_iterable(map(self.encode, parts)))
+
     def round_trip(self, text: str) -> tuple[np.ndarray, str]:
         """(ids, decoded text): what the tokenizer's own encode and decode of the whole text give."""
         data = text.encode("utf-8", "surrogatepass")
         ids: list[np.ndarray] = [np.empty(0, dtype=np.int32)]
         octets: list[bytes] = []
         start, open_text, before = 0, "", ""
+        joined = True
+
+        def repair(after: str) -> bool:
+            found = self.repaired(before, open_text, after)
+            if found is not None:
+                ids.append(found[0])
+                octets.append(found[1])
+            return found is not None
+
         for end in chunk_ends(data, self.rule).tolist():
             head, first, tail, last, core, decoded = self.chunk(data[start:end])
             start, open_text = end, open_text + head
             if tail is None:
                 continue
-            if open_text:
-                found = self.repaired(before, open_text, first)
-                ids.append(found[0])
-                octets.append(found[1])
+            if open_text and not (joined := repair(first)):
+                break
             ids.append(core)
             octets.append(decoded)
             before, open_text = last, tail
-        if open_text:
-            found = self.repaired(before, open_text, "")
-            ids.append(found[0])
-            octets.append(found[1])
+        if joined and open_text:
+            joined = repair("")
+        if not joined:
+            wide = self.widened(data)
+            ids, octets = [np.array(wide, dtype=np.int32)], [self.decode(wide)]
         if self.held > self.rule.held_chars or len(self.pieces) + len(self.joins) > self.rule.held_pieces:
             self.forget()
         return np.concatenate(ids), b"".join(octets).decode("utf-8", "replace")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from surveyflow.llm.common import lower_ascii, materialize, narrow, table, whole
+from surveyflow.llm.common import document_key, lower_ascii, materialize, narrow, one_each, table, whole
 
 
 def exact_dedup(
@@ -48,15 +48,14 @@ def exact_dedup(
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that exact dedup keeps, with all their columns; of repeated rows of a kept document, one."""
-    stay = exact_dedup(docs, id_col, text_col).filter("kept").select(
-        F.col("doc_id").alias("__stay_id"), F.col("text_sha256").alias("__stay_digest")
-    )
-    digest = F.sha2(lower_ascii(whole(f"`{text_col}`")), 256)
-    joined = docs.withColumn("__digest", digest).join(
-        stay, F.col(f"`{id_col}`").eqNullSafe(F.col("__stay_id")) & (F.col("__digest") == F.col("__stay_digest")), "left_semi"
-    )
-    return joined.dropDuplicates([id_col, "__digest"]).drop("__digest")
+    """The rows of ``docs`` that exact dedup keeps, with all their columns; of repeated rows of a kept document, one.
+
+    Rows that share id and normalised text may still differ in case or in other columns: the one with the smallest hash of
+    all its columns stays. Whole rows are shuffled once, by one key of id and text for both the choice and the join.
+    """
+    stay = exact_dedup(docs, id_col, text_col).filter("kept").select(document_key("doc_id", F.col("text_sha256")).alias("__key"))
+    key = document_key(f"`{id_col}`", F.sha2(lower_ascii(whole(f"`{text_col}`")), 256))
+    return one_each(docs.withColumn("__key", key).join(stay, "__key", "left_semi"), docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 
 from surveyflow.llm.common import WORD, materialize, narrow, running_totals, table, whole
 
-#: Hash digits by which a queue is cut into pieces: a source with a third of all rows is 4,096 windows, not one.
-DIGITS = 3
-
 
 @dataclass(frozen=True)
 class MixRule:
@@ -49,54 +46,67 @@ def source_targets(sized: DataFrame, rule: MixRule) -> DataFrame:
     return capped.select("source", "source_size", "weight", target.alias("target"))
 
 
+def _size():
+    return F.regexp_count(whole("text"), F.lit(WORD)).cast("long")
+
+
+def cut_off(copies: DataFrame, budget: int):
+    """The finish of the last copy that the budget reaches, or null.
+
+    Copies are sorted into ranges of finish. The totals of the ranges, one row each, tell the range in which the budget
+    runs out, and only that one is put in order.
+    """
+    dealt = materialize(copies.repartitionByRange("finish").withColumn("range", F.spark_partition_id()), "mix-served")
+    totals = dealt.groupBy("range").agg(F.sum("size").alias("held"), F.max("finish").alias("last"))
+    upto = F.sum("held").over(Window.orderBy("range"))  # one row a range
+    ranges = materialize(totals.withColumn("before", upto - F.col("held")), "mix-ranges")
+    whole_range = F.col("before") + F.col("held") <= budget
+    full = ranges.filter(whole_range).agg(F.max("last").alias("finish"))
+    ends = ranges.filter(~whole_range & (F.col("before") <= budget)).select(F.col("range").alias("in"), "before")
+    order = Window.partitionBy("range").orderBy("finish").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = dealt.join(F.broadcast(ends), F.col("range") == F.col("in")).withColumn("run", F.col("before") + F.sum("size").over(order))
+    part = inside.filter(F.col("run") <= budget).agg(F.max("finish").alias("finish"))
+    return full.union(part).agg(F.max("finish")).scalar()
+
+
 def mix_sources(
     docs: DataFrame, rule: MixRule = MixRule(), *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source"
 ) -> DataFrame:
-    """doc_id, size, source_size, target, taken and times (copies taken) of every row.
+    """doc_id, size, source_size, target, taken, times (copies taken), source and digest of the text of every row.
 
     The budget is the size of all documents. Documents are taken whole; each source ends within one document of its
-    target. A null text has size 0, a null source is a source of its own and comes last. Rows that repeat id, source
-    and text are taken equally often. The order inside a source is md5 of seed and id, then id, then size, so reruns
-    agree on any cluster. An empty table gives no rows. Further columns are not returned.
+    target, and all together within one of the budget. A null text has size 0, a null source is a source of its own and
+    comes last. The order inside a source is md5 of seed, id and text, so reruns agree on any cluster; a null id is one more
+    id, and each row has a place of its own, also among rows that repeat id, source and text: some of these may be taken
+    once more than the others. An empty table gives no rows. Further columns are not returned.
     """
-    rows = narrow(docs, doc_id=id_col, text=text_col, source=source_col)
-    size = F.regexp_count(whole("text"), F.lit(WORD)).cast("long")
-    key = F.md5(F.concat(F.lit(f"{rule.seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    sized = materialize(
-        rows.select("doc_id", "source", size.alias("size"), key.alias("key")).withColumn("piece", F.substring("key", 1, DIGITS)),
-        "mix-sizes",
-    )
+    rows = narrow(docs, doc_id=id_col, text=text_col, source=source_col).withColumn("digest", F.md5(whole("text")))
+    named = F.concat_ws(":", F.lit(rule.seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "digest")
+    sized = rows.select("doc_id", "source", _size().alias("size"), "digest", F.md5(named).alias("key"))
+    sized = materialize(sized.withColumn("row", F.monotonically_increasing_id()), "mix-sizes")  # parts rows that repeat
     budget = sized.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    targets = source_targets(sized, rule)
+    targets = source_targets(sized, rule).withColumnRenamed("source", "_source")
 
-    pieces = sized.groupBy("source", "piece").agg(F.sum("size").alias("piece_size"))
-    earlier = Window.partitionBy("source").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
-    queues = pieces.join(targets.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).select(
-        F.col("source").alias("_source"), F.col("piece").alias("_piece"), "source_size", "weight", "target",
-        F.coalesce(F.sum("piece_size").over(earlier), F.lit(0)).alias("before"),
-    )
-    inside = (
-        Window.partitionBy("source", "piece").orderBy("key", "doc_id", "size").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    queued = materialize(
-        sized.withColumn("inside", F.sum("size").over(inside))
-        .join(queues, F.col("source").eqNullSafe(F.col("_source")) & (F.col("piece") == F.col("_piece")))
-        .select("doc_id", "source", "size", "key", "source_size", "weight", "target", (F.col("before") + F.col("inside")).alias("end")),
-        "mix-queues",
+    order = [F.col("key"), F.col("doc_id"), F.col("row")]
+    placed = running_totals(sized, order, {"size": F.col("size")}, "mix-places", by=["source"])
+    queued = placed.join(targets, F.col("source").eqNullSafe(F.col("_source"))).select(
+        "doc_id", "source", "size", "digest", "key", "source_size", "weight", "target", F.col("run_size").alias("end")
     )
+    queued = materialize(queued, "mix-queues")
 
     def finish(copy: int | F.Column):
         return F.struct(
             ((F.col("end") + (copy - 1) * F.col("source_size")) / F.col("weight")).alias("finish"),
-            F.col("source").isNull().alias("last"), "source", "key", "doc_id", "size",
+            F.col("source").isNull().alias("last"), "source", "key", "end",
         )
 
     copies = queued.select(F.explode(F.sequence(F.lit(1), F.lit(rule.most))).alias("copy"), *queued.columns)
-    served = running_totals(copies.select(finish(F.col("copy")).alias("finish"), "size"), [F.col("finish")], {"size": F.col("size")}, "mix-served")
-    last = served.filter(F.col("run_size") <= budget).agg(F.max("finish")).scalar()  # the last copy the budget reaches
+    last = cut_off(copies.select(finish(F.col("copy")).alias("finish"), "size"), budget)
     times = sum((F.when(finish(c) <= last, 1).otherwise(0) for c in range(1, rule.most + 1)), F.lit(0))
     marked = queued.withColumn("times", times)
-    return marked.select("doc_id", "size", "source_size", "target", (F.col("times") * F.col("size")).alias("taken"), "times", "source")
+    return marked.select(
+        "doc_id", "size", "source_size", "target", (F.col("times") * F.col("size")).alias("taken"), "times", "source", "digest"
+    )
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,24 +114,40 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def repeat_mixed(docs: DataFrame, rule: MixRule = MixRule()) -> DataFrame:
-    """The rows of ``docs`` as the mix takes them: left out, once, or up to ``rule.most`` times; columns as they are."""
-    size = F.regexp_count(whole("text"), F.lit(WORD)).cast("long")
-    plan = mix_sources(docs, rule).filter("times > 0").select(
-        F.col("doc_id").alias("__mix_id"), F.col("source").alias("__mix_source"), F.col("size").alias("__mix_size"),
-        F.col("times").alias("__mix_times"),
-    ).distinct()
-    same = (
+    """The rows of ``docs`` as the mix takes them: left out, once, or up to ``rule.most`` times; columns as they are.
+
+    Rows that repeat id, source and text share what the mix takes of them evenly; what is left over goes to those first by a
+    digest of all columns.
+    """
+    same = [F.col("doc_id").alias("__mix_id"), F.col("source").alias("__mix_source"), F.col("digest").alias("__mix_text")]
+    plan = mix_sources(docs, rule).groupBy(*same).agg(F.sum("times").alias("__mix_times"), F.count(F.lit(1)).alias("__mix_rows"))
+    plan = materialize(plan.filter("__mix_times > 0"), "mix-plan")
+    mine = (
         F.col("doc_id").eqNullSafe(F.col("__mix_id")) & F.col("source").eqNullSafe(F.col("__mix_source"))
-        & (F.col("__mix_words") == F.col("__mix_size"))
+        & (F.col("__mix_own") == F.col("__mix_text"))
+    )
+    taken = docs.withColumn("__mix_own", F.md5(whole("text"))).join(plan, mine)
+    single = taken.filter("__mix_rows = 1").select(*docs.columns, "__mix_times")
+
+    group = ["__mix_id", "__mix_source", "__mix_text"]
+    columns = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    many = taken.filter("__mix_rows > 1").withColumn("__mix_all", F.sha2(F.to_json(columns), 256))
+    kinds = many.groupBy(*group, "__mix_all", "__mix_times", "__mix_rows").agg(
+        F.count(F.lit(1)).alias("__mix_n"), F.first(columns).alias("__mix_row")
     )
-    taken = docs.withColumn("__mix_words", size).join(plan, same)
-    return taken.withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_times")))).select(*docs.columns)
+    earlier = Window.partitionBy(*group).orderBy("__mix_all").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("__mix_n").over(earlier), F.lit(0))
+    extra = F.least(F.greatest(F.expr("__mix_times % __mix_rows") - before, F.lit(0)), F.col("__mix_n"))
+    shared = kinds.withColumn("__mix_share", F.expr("__mix_times div __mix_rows * __mix_n") + extra).filter("__mix_share > 0")
+    shared = shared.select("__mix_row.*", F.col("__mix_share").alias("__mix_times"))
+    every = single.union(shared)
+    return every.withColumn("__mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__mix_times")))).select(*docs.columns)
 
 
 SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key
+         md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS key, row_number() OVER () AS r
   FROM documents
 ), s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
@@ -139,15 +165,15 @@ WITH d AS (
   FROM c
 ), q AS (
   SELECT d.*, t.source_size, t.weight, t.target,
-         CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id, d.size) AS BIGINT) AS ended
+         CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.r ROWS UNBOUNDED PRECEDING) AS BIGINT) AS ended
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 ), k AS (
   SELECT q.*, (ended + (copy - 1) * source_size) / weight AS finish FROM q, range(1, 4) r(copy)
 ), a AS (
-  SELECT *, sum(size) OVER (ORDER BY finish, source NULLS LAST, key, doc_id, size ROWS UNBOUNDED PRECEDING) AS served,
-         row_number() OVER (ORDER BY finish, source NULLS LAST, key, doc_id, size) AS place FROM k
+  SELECT *, sum(size) OVER (ORDER BY finish, source NULLS LAST, key, ended ROWS UNBOUNDED PRECEDING) AS served,
+         row_number() OVER (ORDER BY finish, source NULLS LAST, key, ended) AS place FROM k
 ), e AS (SELECT max(place) AS cut FROM a WHERE served <= (SELECT sum(size) FROM d))
 SELECT doc_id, size, source_size, target,
        CAST(count(*) FILTER (WHERE place <= (SELECT cut FROM e)) * size AS BIGINT) AS taken
-FROM a GROUP BY doc_id, size, source, source_size, target
+FROM a GROUP BY r, doc_id, size, source_size, target
 """

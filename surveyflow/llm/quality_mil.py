@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyflow.llm.common import fold, materialize, narrow, table, text_rows
+from surveyflow.llm.common import fold, materialize, narrow, table, text_rows, whole
 
 #: Measures of a passage's form: shares of kinds of characters, repetition, size.
 FORMS = 14
@@ -165,7 +165,8 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, rule: BagRule) -> AttentionM
 def train(docs: DataFrame, labels: DataFrame, rule: BagRule = BagRule(), text_col: str = "text") -> AttentionModel | None:
     """Fits on at most ``rule.sample`` labelled documents: those of smallest hashed id. ``labels`` has doc_id and label.
 
-    Of several labels of a document the smallest counts; null labels and labels of unknown documents don't. None if no
+    Of several labels of a document the smallest counts; null labels and labels of unknown documents don't. Of rows that
+    share a labelled id the text of smallest digest counts, once, so the bound holds for bags as it does for ids. None if no
     labelled document is left.
     """
     known = narrow(labels, doc_id="doc_id", label="label").dropna().groupBy("doc_id").agg(F.min("label").alias("label"))
@@ -174,12 +175,16 @@ def train(docs: DataFrame, labels: DataFrame, rule: BagRule = BagRule(), text_co
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_rows(batches):
             bags = [passages(t, rule).astype(np.float16).tobytes() for t in texts]
-            yield pa.RecordBatch.from_arrays([*map(batch.column, ("doc_id", "label")), pa.array(bags, pa.binary())], names=["doc_id", "label", "bag"])
+            kept = [batch.column(c) for c in ("doc_id", "label", "digest")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(bags, pa.binary())], names=["doc_id", "label", "digest", "bag"])
 
-    # at most rule.sample rows are broadcast, and as many bags of at most rule.most passages come back
-    rows = narrow(docs, doc_id="doc_id", text=text_col).join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
+    # at most rule.sample rows are broadcast, and one bag of at most rule.most passages for each comes back
+    rows = narrow(docs, doc_id="doc_id", text=text_col).join(F.broadcast(chosen), "doc_id")
+    rows = rows.select("doc_id", "label", "text", F.md5(whole("text")).alias("digest"))
     kinds = dict(rows.dtypes)
-    bags = rows.mapInArrow(encode, f"doc_id {kinds['doc_id']}, label {kinds['label']}, bag binary").toArrow().sort_by("doc_id")
+    encoded = rows.mapInArrow(encode, f"doc_id {kinds['doc_id']}, label {kinds['label']}, digest string, bag binary")
+    single = encoded.groupBy("doc_id", "label").agg(F.min_by("bag", "digest").alias("bag"))
+    bags = single.toArrow().sort_by("doc_id")
     if not bags.num_rows:
         return None
     shaped = [np.frombuffer(b.as_py(), dtype=np.float16).reshape(-1, rule.width) for b in bags.column("bag")]

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import pytest
 from llm_cases import edge_rows, frame, listed, prose
 from surveyflow.llm import bpe
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models
 
 
 @pytest.fixture(scope="module")
@@ -66,3 +67,35 @@ def test_digests(spark, tokenizer):
         expected.append((doc_id, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
     assert found == sorted(expected, key=repr)
     assert bpe.encode_decode(frame(spark, []), bpe.default_tokenizer()).count() == 0
+
+
+def test_joins_that_do_not_agree_are_widened():
+    """A tokenizer that merges across spaces has no safe cuts: windows grow until encodings agree."""
+    vocab = {c: k for k, c in enumerate(["a", "b", "c", " ", "a ", "a b", "b ", "b c", "a ba b", "b cb c"])}
+    merges = [("a", " "), ("a ", "b"), ("b", " "), ("b ", "c"), ("a b", "a b"), ("b c", "b c")]
+    made = Tokenizer(models.BPE(vocab=vocab, merges=merges))
+    for rule in (bpe.ChunkRule(window=4, bits=2), bpe.ChunkRule(window=4, bits=1), bpe.ChunkRule()):
+        codec = bpe.ChunkCodec(made, rule)
+        asked = []
+        widened = codec.widened
+        codec.widened = lambda data: asked.append(data) or widened(data)
+        for seed in range(30):
+            rng = random.Random(seed)
+            text = "".join(rng.choice(["a b", "b c", "a ", "c", "b ", "a"]) for _ in range(rng.randrange(60)))
+            assert codec.round_trip(text)[0].tolist() == made.encode(text, add_special_tokens=False).ids
+        assert asked or rule.bits == 10
+
+
+def test_dictionaries_are_shared_by_the_documents_of_a_task(tokenizer):
+    """Two tasks with the same passages encode them twice, one task once: no ids are shuffled to share more."""
+    passages = [prose(100 + k, 3000) for k in range(4)]
+    calls = []
+    for parts in ([passages * 2], [passages, passages]):
+        count = 0
+        for part in parts:
+            codec = bpe.ChunkCodec(tokenizer)
+            for text in part:
+                codec.round_trip(text)
+            count += len(codec.chunks)
+        calls.append(count)
+    assert calls[1] == 2 * calls[0]

@@ -1,4 +1,4 @@
-"""Language identification and language-model scores."""
+"""Language-model scores."""
 
 from __future__ import annotations
 
@@ -9,49 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from llm_cases import edge_rows, frame
-from surveyflow.llm import language_id, lm_score
-
-
-def test_languages_of_held_out_documents(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "text")
-    found = language_id.query(spark, sf_dir).join(docs, "doc_id").toPandas()
-    assert found["held_out"].tolist() == [zlib.crc32(str(i).encode()) % 3 == 1 for i in found["doc_id"]]
-    held = found[found["held_out"]]
-    assert (held["lang"] == held["lang_pred"]).mean() > 0.98
-    assert found["score"].between(0, 1).all() and found["rejected"].mean() < 0.05
-
-
-def test_language_edges(spark):
-    found = language_id.identify_languages(frame(spark)).collect()
-    assert len(found) == len(edge_rows())
-    texts = {r[0]: r[1] for r in edge_rows() if r[0] is not None}
-    for row in found:
-        if row["doc_id"] is not None:
-            letters = any(c.isalpha() for c in texts[row["doc_id"]] or "")
-            assert (row["lang_pred"] == "und") == (not letters)
-    unlearned = language_id.identify_languages(frame(spark, [(1, "words", None, None)])).collect()
-    assert [r["lang_pred"] for r in unlearned] == ["und"]
-    assert language_id.identify_languages(frame(spark, [])).count() == 0
-
-
-def test_kneser_ney_sums_to_one():
-    symbols = language_id.symbol_table()
-    rng = np.random.default_rng(5)
-    texts = ["the cat sat on the mat and the dog ate", "zeit und ort sind das maß der dinge"]
-    tables = [np.unique(language_id.grams(t, symbols), return_counts=True) for t in texts]
-    model = language_id.KneserNey.of(["en", "de"], [(g.astype(np.int64), n.astype(float)) for g, n in tables])
-    size = language_id.SYMBOLS
-    contexts = [*(tables[0][0][:5] // size), *rng.integers(0, size**3, 5)]
-    for context in contexts:
-        each = np.array([model.entropies(np.array([context * size + w], dtype=np.int32)) for w in range(size)])
-        assert np.exp(-each).sum(axis=0) == pytest.approx([1, 1], abs=1e-4)
-
-
-def test_grams_of_a_word():
-    symbols = language_id.symbol_table()
-    grams = language_id.grams(" Ab!! ", symbols)
-    assert grams.tolist() == [1, 48 + 2, 48 * 48 + 2 * 48]
-    assert not len(language_id.grams("12 !? ", symbols))
+from surveyflow.llm import lm_score
 
 
 def brute_base(rows):

@@ -142,3 +142,43 @@ def test_gradients_match_differences():
         down = loss()
         w[at] += 1e-5
         assert slopes[name][at] == pytest.approx((up - down) / 2e-5, rel=1e-3, abs=1e-6), name
+
+
+def plain_score(model, rows: np.ndarray) -> float:
+    """Gated attention over the passages of one bag, by loops over plain numbers."""
+    w = {k: v.astype(float).tolist() for k, v in model.w.items()}
+    dot = lambda a, b: math.fsum(x * y for x, y in zip(a, b))
+    column = lambda m, k: [row[k] for row in m]
+    hidden = [[math.tanh(dot(x, column(w["enc"], k)) + w["enc0"][k]) for k in range(len(w["enc0"]))] for x in rows.tolist()]
+    weights = []
+    for h in hidden:
+        t = [math.tanh(dot(h, column(w["v"], k)) + w["v0"][k]) for k in range(len(w["v0"]))]
+        g = [1 / (1 + math.exp(-(dot(h, column(w["u"], k)) + w["u0"][k]))) for k in range(len(w["u0"]))]
+        weights.append(math.exp(dot([a * b for a, b in zip(t, g)], w["att"])))
+    mean = [sum(a * h[k] for a, h in zip(weights, hidden)) / sum(weights) for k in range(len(w["out"]))]
+    return 1 / (1 + math.exp(-(dot(mean, w["out"]) + w["out0"][0])))
+
+
+def test_scores_are_those_of_a_plain_forward_pass(spark):
+    rule = quality_mil.BagRule(passage=80, most=5, slots=16, hidden=5, attention=3, epochs=2)
+    rows = edge_rows() + [(100 + i, prose(i, 60) if i % 2 else "# $ % " * 50, "en", "a") for i in range(40)]
+    docs = frame(spark, rows)
+    labels = spark.createDataFrame([(100 + i, i % 2) for i in range(40)], "doc_id bigint, label int")
+    model = quality_mil.train(docs, labels, rule)
+    found = {(r["doc_id"], r["score"]) for r in quality_mil.score_documents(docs, model, rule).collect()}
+    for i, text, *_ in rows:
+        expected = plain_score(model, quality_mil.passages(text or "", rule))
+        assert any(j == i and s == pytest.approx(expected, abs=1e-4) for j, s in found), (i, expected)
+
+
+def test_a_labelled_id_on_many_rows_is_one_bag(spark, monkeypatch):
+    """The bound holds for bags, and the rows that share an id don't change which text is learned from."""
+    taught = []
+    fit = quality_mil.fit
+    monkeypatch.setattr(quality_mil, "fit", lambda bags, labels, rule: taught.append([b.tobytes() for b in bags]) or fit(bags, labels, rule))
+    rule = quality_mil.BagRule(sample=5, epochs=1)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 9)], "doc_id bigint, label int")
+    rows = [(i, prose(i, 20), "en", "a") for i in range(1, 9)] + [(i, prose(50 + k % 3, 10), "en", "a") for i in (1, 2, 3) for k in range(3000)]
+    for order in (rows, rows[::-1]):
+        quality_mil.train(frame(spark, order).repartition(4), labels, rule)
+    assert len(taught[0]) == 5 and taught[0] == taught[1]
