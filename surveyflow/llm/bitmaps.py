@@ -31,11 +31,11 @@ def marked(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
-def matching(rows: DataFrame, bitmap: np.ndarray, column: str, wanted: bool) -> DataFrame:
-    """The rows whose key has its bit set, or those that don't."""
+def matching(rows: DataFrame, bitmap: np.ndarray, column: str) -> DataFrame:
+    """The rows whose key has its bit set."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(marked(bitmap, batch.column(column).to_numpy()) == wanted))
+            yield batch.filter(pa.array(marked(bitmap, batch.column(column).to_numpy())))
 
     return rows.mapInArrow(work, rows.schema)

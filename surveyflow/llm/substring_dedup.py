@@ -112,6 +112,13 @@ def offsets(quarter: np.ndarray, least: np.ndarray, start: np.ndarray, width: in
     return found
 
 
+def among(hot: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Whether each value is in the sorted array ``hot``."""
+    if not len(hot):
+        return np.zeros(len(values), dtype=bool)
+    return hot[np.minimum(np.searchsorted(hot, values), len(hot) - 1)] == values
+
+
 def _twice_at_most(values: np.ndarray) -> np.ndarray:
     hashes, counts = np.unique(values, return_counts=True)
     return np.concatenate([hashes, hashes[counts > 1]])
@@ -160,9 +167,10 @@ def second_level(rows: DataFrame, length: int, repeated: np.ndarray, hot: np.nda
                     single = word_hashes(words)[:1]
                     hashes = window_hashes(single, quarter)[0]
                     least = anchored(hashes, length - quarter + 1)
-                    held, own = marked(repeated, least), np.isin(least, hot)
-                    any_hot |= bool((held & own).any())
-                    start = np.flatnonzero(held & ~own)
+                    start = np.flatnonzero(marked(repeated, least))
+                    own = among(hot, least[start])
+                    any_hot |= bool(own.any())
+                    start = start[~own]
                     if len(start):
                         at = np.unique(start + np.minimum(offsets(hashes, least, start, length - quarter + 1), length - half))
                         found.append(_twice_at_most(window_hashes(single, half)[0][at]))
@@ -177,8 +185,12 @@ def second_level(rows: DataFrame, length: int, repeated: np.ndarray, hot: np.nda
 
 
 def full_windows(docs: DataFrame, length: int, repeated: np.ndarray, hot: np.ndarray, of_hot: bool) -> DataFrame:
-    """(h1, h2, place, start) of the full windows of ``docs`` (place, text, halves): those around a hot anchor, or those
-    around the others whose half is among the halves."""
+    """(h1, h2, place, start, again) of the full windows of ``docs`` (place, text, halves): those around a hot anchor, or
+    those around the others whose half is among the halves.
+
+    ``again`` marks windows that stand before in the same piece of a text. They are later occurrences whatever else there is,
+    so they go by a key of their own: a line that fills a document is no hot key.
+    """
     half, quarter = half_of(length), half_of(half_of(length))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,32 +204,40 @@ def full_windows(docs: DataFrame, length: int, repeated: np.ndarray, hot: np.nda
                     single = word_hashes(words)
                     hashes = window_hashes(single[:1], quarter)[0]
                     least = anchored(hashes, length - quarter + 1)
-                    own = np.isin(least, hot)
-                    start = np.flatnonzero(marked(repeated, least) & (own if of_hot else ~own))
+                    start = np.flatnonzero(marked(repeated, least))
+                    start = start[among(hot, least[start]) == of_hot]
                     if not of_hot and len(start):
                         extended = start + np.minimum(offsets(hashes, least, start, length - quarter + 1), length - half)
                         start = start[np.isin(window_hashes(single[:1], half)[0][extended], known)]
                     if not len(start):
                         continue
-                    full = window_hashes(single, length)[:, start].view(np.int64)
+                    full = window_hashes(single, length)[:, start].view(np.int64).copy()
+                    again = np.ones(len(start), dtype=bool)
+                    again[np.unique(full, axis=1, return_index=True)[1]] = False
+                    full[0, again] = place
+                    full[1, again] = start[again] + at
                     for low in range(0, len(start), 100_000):
                         part = slice(low, low + 100_000)
-                        columns = [full[0, part], full[1, part], np.full(len(start[part]), place), (start[part] + at).astype(np.int32)]
-                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h1", "h2", "place", "start"])
+                        columns = [full[0, part], full[1, part], np.full(len(start[part]), place), (start[part] + at).astype(np.int32), again[part]]
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h1", "h2", "place", "start", "again"])
 
-    return docs.mapInArrow(work, "h1 bigint, h2 bigint, place bigint, start int")
+    return docs.mapInArrow(work, "h1 bigint, h2 bigint, place bigint, start int, again boolean")
 
 
-def keep_words(docs: DataFrame, length: int) -> DataFrame:
-    """Applies ``copied`` and ``starts`` (removed windows) to the words of each row."""
+def keep_words(docs: DataFrame, length: int, losing: np.ndarray | None = None) -> DataFrame:
+    """Applies ``copied`` and ``starts`` (removed windows) to the words of each row.
+
+    With ``losing``, only to rows whose ``short`` key isn't marked there: those lose nothing.
+    """
     schema = [("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string())]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made(batch: pa.RecordBatch, texts: list[str]) -> Iterator[tuple]:
-            starts, copied = batch.column("starts"), batch.column("copied").to_pylist()
+            starts = batch.column("starts") if losing is None else None
+            copied = batch.column("copied").to_pylist() if losing is None else [False] * len(texts)
             for k, (at, text) in enumerate(zip(batch.column("at").to_pylist(), texts)):
                 gone = None
-                if starts[k].is_valid and not copied[k]:
+                if starts is not None and starts[k].is_valid and not copied[k]:
                     own = np.sort(np.asarray(starts[k].values).astype(np.int64))
                     turns = np.zeros(own[-1] + length + 1, dtype=np.int32)
                     np.add.at(turns, own, 1)
@@ -234,6 +254,8 @@ def keep_words(docs: DataFrame, length: int) -> DataFrame:
                 text = b" ".join(part for _, part in kept).decode("utf-8", "surrogatepass")
                 yield at, size, size - sum(n for n, _ in kept), text
 
+        if losing is not None:
+            batches = (b.filter(pa.array(~marked(losing, b.column("short").to_numpy()))) for b in batches)
         for batch, texts in text_rows(batches):
             out = pa.schema([batch.schema.field("at"), *schema])
             yield from buffered(made(batch, texts), out, 2048, lambda row: len(row[3]))
@@ -252,13 +274,15 @@ def _later(cold: DataFrame, hot: DataFrame | None) -> DataFrame:
     Windows around hot anchors are counted before they are shuffled and then meet the earliest in a join that Spark splits
     by size. All others are few, and meet in one exchange.
     """
-    here, same = F.struct("place", "start"), Window.partitionBy("h1", "h2")
-    later = cold.withColumn("first", F.min(here).over(same)).filter(here > F.col("first")).select("place", "start")
+    here, same = F.struct("place", "start"), Window.partitionBy("h1", "h2", "again")
+    later = cold.withColumn("first", F.min(here).over(same)).filter(F.col("again") | (here > F.col("first"))).select("place", "start")
     if hot is None:
         return later
-    earliest = hot.groupBy("h1", "h2").agg(F.min(here).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    first = hot.filter(~F.col("again"))
+    earliest = first.groupBy("h1", "h2").agg(F.min(here).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     earliest = materialize(earliest.drop("n"), "windows-earliest")
-    return later.union(hot.join(earliest, ["h1", "h2"]).filter(here > F.col("first")).select("place", "start"))
+    others = first.join(earliest, ["h1", "h2"]).filter(here > F.col("first")).select("place", "start")
+    return later.union(hot.filter("again").select("place", "start")).union(others)
 
 
 def substring_dedup(docs: DataFrame, length: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -291,7 +315,7 @@ def substring_dedup(docs: DataFrame, length: int = 20, id_col: str = "doc_id", t
     discard(first)
     repeated = bitmap_of(counted, "quarter")
     often = counted.filter(F.col("n") > FEW).orderBy(F.desc("n"), "quarter").limit(HOT).select("quarter").collect()
-    hot = np.array([r["quarter"] for r in often], dtype=np.int64).view(np.uint64)
+    hot = np.sort(np.array([r["quarter"] for r in often], dtype=np.int64).view(np.uint64))
 
     halves = materialize(second_level(rows, length, repeated, hot), "windows-halves")
     heads = halves.join(copies, "row", "left_anti").withColumn("short", _short())
@@ -306,8 +330,9 @@ def substring_dedup(docs: DataFrame, length: int = 20, id_col: str = "doc_id", t
     survivors = materialize(found.join(known, "short").select("short", "row", "place", "halves", "hot"), "windows-survivors")
     discard(halves, counted)
 
-    held = matching(rows.select("row", "text", _short()), bitmap_of(survivors, "short"), "short", True).select("row", "text")
-    texts = held.join(survivors.drop("short"), "row").select("place", "text", "halves", "hot")
+    held = matching(rows.select("row", "text", _short()), bitmap_of(survivors, "short"), "short").select("row", "text")
+    # texts are joined in one way at any size, so small inputs tell what large ones take
+    texts = held.join(survivors.drop("short").hint("merge"), "row").select("place", "text", "halves", "hot")
     of_hot = materialize(full_windows(texts.filter("hot"), length, repeated, hot, True), "windows-hot") if len(hot) else None
     later = _later(full_windows(texts, length, repeated, hot, False), of_hot)
     starts = later.groupBy("place").agg(F.collect_list("start").alias("starts")).join(places, "place")
@@ -317,13 +342,10 @@ def substring_dedup(docs: DataFrame, length: int = 20, id_col: str = "doc_id", t
     discard(places, copies, survivors, of_hot)
 
     wanted, losing = rows.select("at", "row", "text", _short()), bitmap_of(removed, "short")
-    whole_rows = matching(wanted, losing, "short", False).select(
-        "at", "text", F.lit(None).cast("array<int>").alias("starts"), F.lit(False).alias("copied")
-    )
-    cut_rows = matching(wanted, losing, "short", True).join(removed.drop("short"), "row", "left").select(
+    cut_rows = matching(wanted, losing, "short").join(removed.drop("short").hint("merge"), "row", "left").select(
         "at", "text", "starts", F.coalesce("copied", F.lit(False)).alias("copied")
     )
-    kept = keep_words(whole_rows, length).union(keep_words(cut_rows, length))
+    kept = keep_words(wanted.select("at", "short", "text"), length, losing).union(keep_words(cut_rows, length))
     return kept.select(F.col("at").alias("doc_id"), "n_words", "n_removed", "kept_text")
 
 
