@@ -172,25 +172,27 @@ class Language:
 
 @dataclass
 class Models:
-    """Some languages, or parts of them (``seconds``: the second-last symbols), with one table of all seen 4-grams."""
+    """Some languages, or parts of them, with one table of all seen 4-grams. A part is about the second-last symbols
+    ``seconds`` or, the last of a language, about all but those."""
 
     names: list[str]
     languages: list[Language]
     keys: np.ndarray
     known: np.ndarray
     seconds: np.ndarray | None = None
+    last: bool = False
 
     @classmethod
-    def of(cls, languages: dict[str, Language], grams: list[tuple[np.ndarray, np.ndarray]], seconds: np.ndarray | None = None) -> Models:
-        context, last = (np.concatenate(x) for x in zip(*grams))
-        keys, first = np.unique(key4(context, last), return_index=True)
-        known = np.stack([m.logs(context[first], last[first]) for m in languages.values()], axis=1)
-        return cls(list(languages), list(languages.values()), keys, known.astype(np.float32), seconds)
+    def of(cls, languages: dict[str, Language], grams: list[tuple[np.ndarray, np.ndarray]], seconds: np.ndarray | None = None, last: bool = False) -> Models:
+        context, symbol = (np.concatenate(x) for x in zip(*grams))
+        keys, first = np.unique(key4(context, symbol), return_index=True)
+        known = np.stack([m.logs(context[first], symbol[first]) for m in languages.values()], axis=1)
+        return cls(list(languages), list(languages.values()), keys, known.astype(np.float32), seconds, last)
 
     def sums(self, context: np.ndarray, last: np.ndarray) -> np.ndarray:
         """Sum of the log probabilities under each language, over the 4-grams that this pass is about."""
         if self.seconds is not None:
-            own = found_at(self.seconds, context & ((1 << BITS) - 1))[0]
+            own = found_at(self.seconds, context & ((1 << BITS) - 1))[0] != self.last
             context, last = context[own], last[own]
         total = np.zeros(len(self.names))
         for start in range(0, len(last), 1 << 20):
@@ -265,33 +267,35 @@ class Training:
                 sizes[r["lang"]] = r["size"]
         return cls(counts, cuts, letters, sizes)
 
-    def passes(self) -> Iterator[tuple[list[str], list[int] | None]]:
-        """(languages, second-last symbols or None for all): counts times languages stay below CELLS, or it is one letter."""
+    def passes(self) -> Iterator[tuple[list[str], list[int] | None, bool]]:
+        """(languages, second-last symbols or None for all, whether all but those are meant): counts times languages stay
+        below CELLS, or it is one letter."""
         together: list[str] = []
         for lang in sorted(self.sizes, key=lambda x: x.encode()):
             if self.sizes[lang] > CELLS:
                 second = F.col("context").bitwiseAND(F.lit((1 << BITS) - 1)).alias("second")
-                parts, held = [], 0
+                parts, held, done = [], 0, []
                 rows = self.counts.filter(F.col("lang") == lang).groupBy(second).agg(F.count(F.lit(1)).alias("n"))
                 for r in rows.orderBy("second").collect():  # a row a letter
                     if parts and held + r["n"] > CELLS:
-                        yield [lang], parts
+                        yield [lang], parts, False
+                        done += parts
                         parts, held = [], 0
                     parts.append(r["second"])
                     held += r["n"]
-                yield [lang], parts
+                yield [lang], done, True  # and what training doesn't have
                 continue
             if together and (sum(self.sizes[x] for x in together) + self.sizes[lang]) * (len(together) + 1) > CELLS:
-                yield together, None
+                yield together, None, False
                 together = []
             together.append(lang)
         if together:
-            yield together, None
+            yield together, None, False
 
-    def models(self, languages: list[str], seconds: list[int] | None) -> Models:
+    def models(self, languages: list[str], seconds: list[int] | None, last: bool) -> Models:
         rows = self.counts.filter(F.col("lang").isin(languages))
         if seconds is not None:
-            rows = rows.filter(F.col("context").bitwiseAND(F.lit((1 << BITS) - 1)).isin(seconds))
+            rows = rows.filter(F.col("context").bitwiseAND(F.lit((1 << BITS) - 1)).isin(seconds) != F.lit(last))
         held = rows.toArrow().to_pandas()
         ones = self.letters.filter(F.col("lang").isin(languages)).toPandas()
         made, seen = {}, []
@@ -302,7 +306,7 @@ class Training:
             made[lang] = Language.of(
                 *part, own["n"].to_numpy(np.float64), letters["key"].to_numpy(np.int64), letters["n"].to_numpy(np.float64), self.cuts[lang]
             )
-        return Models.of(made, seen, None if seconds is None else np.array(seconds, dtype=np.int64))
+        return Models.of(made, seen, None if seconds is None else np.array(sorted(seconds), dtype=np.int64), last)
 
 
 # --- prediction ------------------------------------------------------------------------------------------------------
@@ -332,8 +336,8 @@ def _predicted_in_passes(rows: DataFrame, training: Training) -> DataFrame:
     """The same from the sums of several passes, which meet by document."""
     keyed = rows.withColumn("key", document_key("doc_id", F.md5(whole("text"))))
     sums = None
-    for languages, seconds in training.passes():
-        models = training.models(languages, seconds)
+    for part in training.passes():
+        models = training.models(*part)
 
         def work(batches: Iterator[pa.RecordBatch], models: Models = models) -> Iterator[pa.RecordBatch]:
             for batch, texts in text_rows(batches):
@@ -348,9 +352,9 @@ def _predicted_in_passes(rows: DataFrame, training: Training) -> DataFrame:
                 types = (pa.binary(), pa.string(), pa.float64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((keys, names, values, sizes), types)], names=["key", "name", "total", "size"])
 
-        part = keyed.select("key", "text").dropDuplicates(["key"]).mapInArrow(work, "key binary, name string, total double, size long")
-        part = materialize(part, "language-sums")
-        sums = part if sums is None else sums.union(part)
+        each = keyed.select("key", "text").dropDuplicates(["key"]).mapInArrow(work, "key binary, name string, total double, size long")
+        each = materialize(each, "language-sums")
+        sums = each if sums is None else sums.union(each)
     each = sums.groupBy("key", "name").agg(F.sum("total").alias("total"), F.max("size").alias("size"))
     each = each.withColumn("entropy", -F.col("total") / F.col("size"))
     least = F.min(F.struct("entropy", "name")).over(Window.partitionBy("key"))  # a row a language

@@ -147,7 +147,7 @@ def repeat_mixed(docs: DataFrame, rule: MixRule = MixRule()) -> DataFrame:
 SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS key, row_number() OVER () AS r
+         md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS key
   FROM documents
 ), s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
@@ -163,17 +163,18 @@ WITH d AS (
   SELECT source, source_size, weight, cap,
          least(CAST(cap AS DOUBLE), weight * (SELECT arg_min(level, reach) FROM l WHERE reach >= level)) AS target
   FROM c
-), q AS (
+), q AS MATERIALIZED (
   SELECT d.*, t.source_size, t.weight, t.target,
-         CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.r ROWS UNBOUNDED PRECEDING) AS BIGINT) AS ended
+         CAST(sum(d.size) OVER o AS BIGINT) AS ended, row_number() OVER o AS r
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+  WINDOW o AS (PARTITION BY d.source ORDER BY d.key ROWS UNBOUNDED PRECEDING)
 ), k AS (
   SELECT q.*, (ended + (copy - 1) * source_size) / weight AS finish FROM q, range(1, 4) r(copy)
-), a AS (
+), a AS MATERIALIZED (
   SELECT *, sum(size) OVER (ORDER BY finish, source NULLS LAST, key, ended ROWS UNBOUNDED PRECEDING) AS served,
          row_number() OVER (ORDER BY finish, source NULLS LAST, key, ended) AS place FROM k
 ), e AS (SELECT max(place) AS cut FROM a WHERE served <= (SELECT sum(size) FROM d))
 SELECT doc_id, size, source_size, target,
        CAST(count(*) FILTER (WHERE place <= (SELECT cut FROM e)) * size AS BIGINT) AS taken
-FROM a GROUP BY r, doc_id, size, source_size, target
+FROM a GROUP BY source, r, doc_id, size, source_size, target
 """
