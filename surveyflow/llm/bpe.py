@@ -92,8 +92,10 @@ class Pieces(dict):
 
 
 def piece_encoder(tokenizer: Tokenizer, octets: list[bytes]):
-    """str -> ids like ``tokenizer.encode``. The tokenizer's own merges run in the faster of two public libraries if its
-    file says that both do the same: byte-level, no normaliser, merges numbered in the order of their ids."""
+    """str -> ids like ``tokenizer.encode``, and whether pieces between safe cuts are encoded independently of each other.
+
+    The tokenizer's own merges run in the faster of two public libraries if its file says that both do the same:
+    byte-level, no normaliser, merges numbered in the order of their ids."""
 
     def plain(text: str) -> list[int]:
         return tokenizer.encode(text, add_special_tokens=False).ids
@@ -105,10 +107,10 @@ def piece_encoder(tokenizer: Tokenizer, octets: list[bytes]):
     simple = not (made["normalizer"] or made["post_processor"] or model.get("dropout") or model.get("ignore_merges"))
     level = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
     if not (simple and level and numbers == sorted(numbers) and len(model["vocab"].keys() - {*special}) == len(merges) + 256):
-        return plain
+        return plain, level and not made["normalizer"]
     ranks = {octets[k]: k for token, k in model["vocab"].items() if token not in special}
     fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    return lambda text: plain(text) if any(t in text for t in special) else fast(text)
+    return (lambda text: plain(text) if any(t in text for t in special) else fast(text)), True
 
 
 class ChunkCodec:
@@ -118,7 +120,7 @@ class ChunkCodec:
         tokenizer.no_truncation()
         tokenizer.no_padding()
         self.rule, self.octets = rule, token_bytes(tokenizer)
-        self.encode = piece_encoder(tokenizer, self.octets)
+        self.encode, self.safe = piece_encoder(tokenizer, self.octets)
         self.forget()
 
     def forget(self) -> None:
@@ -137,6 +139,10 @@ class ChunkCodec:
         head, *core = SAFE_CUT.split(data.decode("utf-8", "surrogatepass"))
         tail = " " + core.pop() if core else None
         core = [" " + piece for piece in core]
+        if not self.safe:  # merges may cross spaces, so a core is one piece, and joins are compared with whole cores
+            if not core:
+                head, tail = head + (tail or ""), None
+            core = ["".join(core)] if core else []
         ids = list(chain.from_iterable(map(self.pieces.__getitem__, core)))
         packed = np.array(ids, dtype=np.int32)
         known = self.chunks[data] = (head, core[0] if core else "", tail, core[-1] if core else "", packed, self.decode(ids))
