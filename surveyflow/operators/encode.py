@@ -85,8 +85,10 @@ class CategoryIndexer:
         if small:
             labels = [[value for value, _ in self.settled[c]] for c in small]
             filled = StringIndexerModel.from_arrays_of_labels(
-                labels, inputCols=[f"__v_{c}" for c in small], outputCols=[f"__{c}" for c in small], handleInvalid=self.invalid
+                labels, inputCols=[f"__v_{c}" for c in small], outputCols=[f"__{c}" for c in small], handleInvalid="keep"
             ).transform(filled)
+            known = {c: F.col(f"__{c}") < len(held) for c, held in zip(small, labels)}
+            filled = filled.withColumns({f"__{c}": F.when(inside, F.col(f"__{c}")) for c, inside in known.items()})
         if large:
             filled = self._looked_up(filled, large)
         return filled.select(*kept, *[self._index(c) for c in self.columns])
