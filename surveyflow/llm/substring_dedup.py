@@ -1,9 +1,9 @@
 """Substring dedup by level-wise doubling of repeated word windows.
 
-A window of ``length`` words can only occur twice if the windows of a quarter and of half that length inside it do. The
-first level looks at quarters, and of these only at anchors: in every full window the quarter with the smallest hash, which
-is the same quarter wherever the window stands. Windows around an anchor that is repeated are extended to half the length,
-those around a repeated half to the full length, and of each full window that still occurs more than once all but the
+A window of ``length`` words can only occur twice if the shorter windows inside it do. The first level looks at windows of
+three tenths of that length, and of these only at anchors: in every full window the short one with the smallest hash, which
+is the same one wherever the window stands. Windows around an anchor that is repeated are extended to twice its length, those
+around a repeated one of these to the full length, and of each full window that still occurs more than once all but the
 earliest occurrence are removed. Documents that repeat another word for word are settled before the first level by a digest
 of their words.
 
@@ -33,9 +33,18 @@ PIECE = 4_000_000
 FEW, HOT = 4096, 1024
 
 
-def half_of(length: int) -> int:
-    """Size of the halves of a window; those of an odd one share a word."""
-    return (length + 1) // 2
+def levels(length: int) -> tuple[int, int]:
+    """The window lengths before the full one: some three tenths of it, where few windows are repeated by chance, and twice
+    that (for 20 words: 6 and 12; twice 12 is beyond the full length)."""
+    first = -(-3 * length // 10)
+    return first, min(2 * first, length)
+
+
+def extended(offset: np.ndarray, length: int) -> np.ndarray:
+    """Where in a window its part of the second level starts: at the anchor, or so that it ends with the anchor. Both stand
+    by the anchor, so all windows around it have two such parts between them."""
+    first, half = levels(length)
+    return np.where(offset <= length - half, offset, np.clip(offset + first - half, 0, length - half))
 
 
 def pieces(text: str, length: int) -> Iterator[tuple[int, list[bytes], int]]:
@@ -126,7 +135,7 @@ def _twice_at_most(values: np.ndarray) -> np.ndarray:
 
 def first_level(rows: DataFrame, length: int) -> DataFrame:
     """(at, key, row, digest, n_words, quarters) of every row: the digest of its words and the anchors of its windows."""
-    quarter = half_of(half_of(length))
+    quarter, _ = levels(length)
     schema = [("row", pa.binary()), ("digest", pa.binary()), ("n_words", pa.int64()), ("quarters", pa.list_(pa.int64()))]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +163,7 @@ def first_level(rows: DataFrame, length: int) -> DataFrame:
 
 def second_level(rows: DataFrame, length: int, repeated: np.ndarray, hot: np.ndarray) -> DataFrame:
     """(row, halves, hot): of rows with repeated anchors, the halves around them, and whether any of them is hot."""
-    half, quarter = half_of(length), half_of(half_of(length))
+    quarter, half = levels(length)
     schema = pa.schema([("row", pa.binary()), ("halves", pa.list_(pa.int64())), ("hot", pa.bool_())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,7 +181,7 @@ def second_level(rows: DataFrame, length: int, repeated: np.ndarray, hot: np.nda
                     any_hot |= bool(own.any())
                     start = start[~own]
                     if len(start):
-                        at = np.unique(start + np.minimum(offsets(hashes, least, start, length - quarter + 1), length - half))
+                        at = np.unique(start + extended(offsets(hashes, least, start, length - quarter + 1), length))
                         found.append(_twice_at_most(window_hashes(single, half)[0][at]))
                 if found or any_hot:
                     halves = np.concatenate(found) if found else np.empty(0, np.uint64)
@@ -191,7 +200,7 @@ def full_windows(docs: DataFrame, length: int, repeated: np.ndarray, hot: np.nda
     ``again`` marks windows that stand before in the same piece of a text. They are later occurrences whatever else there is,
     so they go by a key of their own: a line that fills a document is no hot key.
     """
-    half, quarter = half_of(length), half_of(half_of(length))
+    quarter, half = levels(length)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_rows(batches):
@@ -207,8 +216,8 @@ def full_windows(docs: DataFrame, length: int, repeated: np.ndarray, hot: np.nda
                     start = np.flatnonzero(marked(repeated, least))
                     start = start[among(hot, least[start]) == of_hot]
                     if not of_hot and len(start):
-                        extended = start + np.minimum(offsets(hashes, least, start, length - quarter + 1), length - half)
-                        start = start[np.isin(window_hashes(single[:1], half)[0][extended], known)]
+                        at_half = start + extended(offsets(hashes, least, start, length - quarter + 1), length)
+                        start = start[np.isin(window_hashes(single[:1], half)[0][at_half], known)]
                     if not len(start):
                         continue
                     full = window_hashes(single, length)[:, start].view(np.int64).copy()
