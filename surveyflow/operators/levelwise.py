@@ -11,11 +11,13 @@ from __future__ import annotations
 import hashlib
 import json
 import math
+import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +25,9 @@ from pyspark.sql import functions as F
 from surveyflow.operators.bins import feature_bins
 from surveyflow.sources.scratch import materialize, scratch_path
 
+# Functions of this module travel to the executors by value, so Python workers need no copy of the package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PRIME = 2**31 - 1
 #: Cells of the counting arrays of a task: 64 MB. Levels with more nodes are counted in several passes.
 CELLS = 1 << 23
