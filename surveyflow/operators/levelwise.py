@@ -235,7 +235,8 @@ def _best_cuts(counted: DataFrame, level: Level, widths: np.ndarray, rule: Fores
 
 
 def binned_rows(train: DataFrame, key: str, label: str, features: str, cuts: list[np.ndarray], seed: int) -> DataFrame:
-    """(number, label, bins): the rows as the levels read them, two bytes a feature; stored."""
+    """(number, label, bins): the rows as the levels read them, two bytes a feature; spread evenly, however few files they
+    come from, and stored."""
     rows = train.select(bag_number(F.col(key), seed).alias("number"), F.col(label).cast("int").alias("label"), F.col(features).alias("v"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,7 +248,7 @@ def binned_rows(train: DataFrame, key: str, label: str, features: str, cuts: lis
             data = pa.array([row.tobytes() for row in bins], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("number"), batch.column("label"), data], names=["number", "label", "bins"])
 
-    return materialize(rows.mapInArrow(run, "number long, label int, bins binary"), "binned")
+    return materialize(rows.mapInArrow(run, "number long, label int, bins binary").repartition("number"), "binned")
 
 
 def grow(rows: DataFrame, widths: np.ndarray, rule: ForestRule) -> list[dict[int, Node]]:
