@@ -219,7 +219,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
     """(lang, context, last, n): 4-grams over all rows of ``docs`` (lang, text)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in text_rows(batches):
+        for batch, texts in text_rows(batches, size=2_000_000):  # sorting takes some fifty bytes a symbol
             by: dict[str, list] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), texts):
                 by.setdefault(lang, []).append(grams(text))
