@@ -1,0 +1,34 @@
+"""Work that must not follow the layout of the files."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from surveyflow.plans import queries as Q
+from surveyflow.sources.orders_survey import survey, survey_expressions
+
+
+@pytest.fixture(scope="module")
+def orders_dir(spark, tmp_path_factory):
+    """Orders in one file of one row group; keys repeat and some are null."""
+    where = str(tmp_path_factory.mktemp("orders"))
+    n = F.col("id")
+    rows = spark.range(3000).select(
+        F.when(n % 50 != 0, n % 1000).alias("o_orderkey"), F.when(n % 70 != 0, n % 300).alias("o_custkey"),
+        F.when(n % 3 != 0, F.lit("O")).alias("o_orderstatus"), (n * 1.5).alias("o_totalprice"),
+        F.timestamp_seconds(n * 86400).alias("o_orderdate"), F.lit("1-URGENT").alias("o_orderpriority"),
+    )
+    rows.unionByName(rows.limit(200)).coalesce(1).write.parquet(f"{where}/orders.parquet")
+    return where
+
+
+def test_orders_are_spread_before_they_are_widened(spark, orders_dir):
+    df = survey(spark, orders_dir, Q.EXTRA)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("respondent_id") < plan.index("Exchange hashpartitioning(o_orderkey") < plan.index("FileScan")
+    assert "o_orderpriority" in plan.split("Exchange hashpartitioning(")[1].split(")")[0]  # a key alone may be hot
+    plain = spark.read.parquet(f"{orders_dir}/orders.parquet").selectExpr(
+        *[f"{e} AS {c}" for c, e in survey_expressions().items()], *Q.EXTRA
+    )
+    assert df.exceptAll(plain).isEmpty() and plain.exceptAll(df).isEmpty()
