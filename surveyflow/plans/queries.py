@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from surveyflow.functions import display_or_self, ladder, row_sum
 from surveyflow.operators import bins, clean, encode, evaluate, forest, levelwise, quality, quantiles, score, split, stats
 from surveyflow.plans import charts, medallion, stages
+from surveyflow.session import limit_methods
 from surveyflow.sources.files import listing
 from surveyflow.sources.orders_survey import survey
 from surveyflow.sources.readers import normalize_missing, read_survey_tsv, survey_schema, write_survey_tsv
@@ -53,6 +54,7 @@ STORE = Store()
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide raw survey (key, 37 survey columns, further order columns) as a columnar table."""
+    limit_methods(spark)
     return STORE.once(
         spark, sf_dir, "bronze", lambda: materialize(stages.bronze(survey(spark, sf_dir, EXTRA), SPEC), "bronze")
     )

@@ -1,10 +1,11 @@
-"""Work that must not follow the layout of the files."""
+"""Work that must not follow the layout of the files, nor run in methods that the JVM interprets."""
 
 from __future__ import annotations
 
 import pytest
 from pyspark.sql import functions as F
 
+from surveyflow import session
 from surveyflow.plans import queries as Q
 from surveyflow.sources.orders_survey import survey, survey_expressions
 
@@ -32,3 +33,13 @@ def test_orders_are_spread_before_they_are_widened(spark, orders_dir):
         *[f"{e} AS {c}" for c, e in survey_expressions().items()], *Q.EXTRA
     )
     assert df.exceptAll(plain).isEmpty() and plain.exceptAll(df).isEmpty()
+
+
+def test_methods_are_limited_unless_the_session_says_otherwise(spark, orders_dir):
+    fresh = spark.newSession()
+    fresh.conf.unset(session.METHOD_LIMIT)
+    Q.bronze(fresh, orders_dir)
+    assert int(fresh.conf.get(session.METHOD_LIMIT)) <= 8000
+    fresh.conf.set(session.METHOD_LIMIT, 9000)
+    session.limit_methods(fresh)
+    assert int(fresh.conf.get(session.METHOD_LIMIT)) == 9000
