@@ -66,7 +66,16 @@ def bag_weights(numbers: np.ndarray, seed: int, tree: int, bootstrap: bool) -> n
     if not bootstrap:
         return np.ones(len(numbers), dtype=np.int64)
     a, b = _hashed(f"{seed}:{tree}:a") or 1, _hashed(f"{seed}:{tree}:b")
-    return np.searchsorted(poisson_steps(), (numbers * a + b) % PRIME, side="right")
+    place = numbers * a + b
+    if place.dtype.kind != "i":  # a null key among them
+        return np.searchsorted(poisson_steps(), place % PRIME, side="right")
+    for _ in range(2):  # the remainder by a prime of the form 2^31 - 1, without a division
+        place = (place & PRIME) + (place >> 31)
+    place[place >= PRIME] -= PRIME
+    weights = np.zeros(len(place), dtype=np.int64)
+    for step in poisson_steps():
+        weights += place >= step
+    return weights
 
 
 def node_features(seed: int, tree: int, node: int, features: int, chosen: int) -> list[int]:
@@ -123,15 +132,17 @@ def _passes(nodes, widths: np.ndarray, rule: ForestRule, features: int) -> Itera
         yield nodes[start : start + step]
 
 
-def _walk(splits: dict, tree: int, depth: int, bins: np.ndarray) -> np.ndarray:
-    """The node of ``depth`` that each row falls into, or 0 if its path ends above."""
-    node = np.ones(len(bins), dtype=np.int64)
+def _walk(splits: dict, tree: int, depth: int, bins: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """The node of ``depth`` that each row falls into, from all bins in a row and where those of each row start. A path that
+    ends above goes on to the left, to nodes that nothing is counted for."""
     features, cuts = splits[tree]
-    rows = np.arange(len(bins))
+    ends = features < 0
+    features, cuts = np.where(ends, 0, features), np.where(ends, 65535, cuts).astype(np.uint16)
+    node = np.ones(len(base), dtype=np.int64)
     for _ in range(depth):
-        feature = features[node]
-        right = bins[rows, np.maximum(feature, 0)] > cuts[node]
-        node = np.where((node > 0) & (feature >= 0), 2 * node + right, 0)
+        right = bins.take(base + features.take(node)) > cuts.take(node)
+        node += node
+        node += right
     return node
 
 
@@ -147,25 +158,29 @@ def _count_level(rows: DataFrame, level: Level, splits: dict, rule: ForestRule,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(int(level.ends[-1]), dtype=np.int64)
+        subsets, offsets = np.ascontiguousarray(level.subsets.T), np.ascontiguousarray(level.offsets.T)
 
         def count(held: list[pa.RecordBatch]) -> None:
             table = pa.Table.from_batches(held)
             numbers, label = table.column("number").to_numpy(), table.column("label").to_numpy().astype(np.int64)
-            bins = np.frombuffer(b"".join(table.column("bins").to_pylist()), dtype="<u2").reshape(len(numbers), features)
+            bins = np.frombuffer(b"".join(table.column("bins").to_pylist()), dtype="<u2")
             for tree, of_node in level.numbers.items():
                 weight = bag_weights(numbers, rule.seed, tree, rule.bootstrap)
                 kept = np.flatnonzero(weight)
-                node = _walk(splits, tree, level.depth, bins[kept])
-                kept, node = kept[node > 0], node[node > 0]
-                number = of_node[node - (1 << level.depth)]
-                kept, number = kept[number >= 0], number[number >= 0]
-                if not len(kept):
+                number = of_node.take(_walk(splits, tree, level.depth, bins, kept * features) - (1 << level.depth))
+                inside = np.flatnonzero(number >= 0)
+                if not len(inside):
                     continue
-                cells = level.offsets[number] + bins[kept[:, None], level.subsets[number]].astype(np.int64) * rule.classes
-                cells += label[kept][:, None]
-                first, last = int(cells.min()), int(cells.max()) + 1
-                weights = np.repeat(weight[kept], cells.shape[1])
-                total[first:last] += np.bincount(cells.ravel() - first, weights=weights, minlength=last - first).astype(np.int64)
+                kept, number = kept.take(inside), number.take(inside)
+                first, last = int(level.offsets[number.min(), 0]), int(level.ends[number.max()])
+                base, own = kept * features, label.take(kept) - first
+                cells = np.empty((len(subsets), len(kept)), dtype=np.int64)
+                for held_cells, subset, offset in zip(cells, subsets, offsets):
+                    np.multiply(bins.take(base + subset.take(number)), rule.classes, out=held_cells, dtype=np.int64)
+                    held_cells += offset.take(number)
+                    held_cells += own
+                weights = np.tile(weight.take(kept).astype(np.float64), len(subsets))
+                total[first:last] += np.bincount(cells.ravel(), weights=weights, minlength=last - first).astype(np.int64)
 
         held, size = [], 0
         for batch in batches:

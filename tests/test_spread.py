@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from surveyflow import session
+from surveyflow.operators import levelwise
 from surveyflow.plans import queries as Q
 from surveyflow.sources.orders_survey import survey, survey_expressions
 
@@ -43,3 +45,31 @@ def test_methods_are_limited_unless_the_session_says_otherwise(spark, orders_dir
     fresh.conf.set(session.METHOD_LIMIT, 9000)
     session.limit_methods(fresh)
     assert int(fresh.conf.get(session.METHOD_LIMIT)) == 9000
+
+
+def test_rows_walk_to_their_nodes_without_being_copied():
+    rng = np.random.default_rng(3)
+    bins = rng.integers(0, 6, (500, 4)).astype("<u2")
+    features, cuts = np.full(16, -1), np.zeros(16, dtype=np.int64)
+    for node, feature, cut in ((1, 2, 3), (2, 0, 1), (3, 3, 4), (5, 1, 2), (7, 2, 4)):  # 4 and 6 are leaves
+        features[node], cuts[node] = feature, cut
+    base = np.flatnonzero(rng.random(500) < 0.6) * 4
+    found = levelwise._walk({0: (features, cuts)}, 0, 3, bins.ravel(), base)
+    for start, node in zip(base, found):
+        own, at = bins[start // 4], 1
+        for _ in range(3):
+            if features[at] < 0:
+                break
+            at = 2 * at + int(own[features[at]] > cuts[at])
+        if at >= 8:
+            assert node == at
+        else:  # it ended above: what it goes on to is below a leaf
+            assert node == at << (3 - (int(at).bit_length() - 1))
+
+
+def test_bags_are_those_of_the_division():
+    numbers = np.array([0, 1, 5, 1 << 30, levelwise.PRIME - 1] + list(range(7, 10**9, 10**6 + 3)), dtype=np.int64)
+    for tree in range(5):
+        a, b = levelwise._hashed(f"42:{tree}:a") or 1, levelwise._hashed(f"42:{tree}:b")
+        plain = np.searchsorted(levelwise.poisson_steps(), [(int(n) * a + b) % levelwise.PRIME for n in numbers], side="right")
+        assert levelwise.bag_weights(numbers, 42, tree, True).tolist() == plain.tolist()
