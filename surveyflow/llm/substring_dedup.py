@@ -69,12 +69,28 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), dtype="<u8").reshape(-1, 2).T
 
 
+_SHIFTS = np.uint64(29), np.uint64(32), np.uint64(31)
+_FACTORS = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xBF58476D1CE4E5B9)
+
+
 def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Hashes of a sequence from those of its two parts."""
-    mixed = (left ^ (left >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + right * np.uint64(0xC2B2AE3D27D4EB4F)
-    mixed ^= mixed >> np.uint64(32)
-    mixed *= np.uint64(0xBF58476D1CE4E5B9)
-    return mixed ^ (mixed >> np.uint64(31))
+    """Hashes of a sequence from those of its two parts, which may overlap."""
+    (first, second, third), (a, b, c) = _SHIFTS, _FACTORS
+    mixed = left >> first
+    mixed ^= left
+    mixed *= a
+    mixed += right * b
+    mixed ^= mixed >> second
+    mixed *= c
+    mixed ^= mixed >> third
+    return mixed
+
+
+def longer(windows: np.ndarray, size: int, wanted: int) -> np.ndarray:
+    """Hashes of the windows of ``wanted`` words from all those of ``size`` words, at least half as many: a window is told by
+    the one that starts with it and the one that ends with it."""
+    step = wanted - size
+    return joined(windows[..., :-step], windows[..., step:]) if step else windows
 
 
 def window_hashes(single: np.ndarray, size: int) -> np.ndarray:
@@ -115,9 +131,10 @@ def anchors(half: np.ndarray, width: int) -> np.ndarray:
 
 def offsets(quarter: np.ndarray, least: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
     """Where in the windows at ``start`` the first quarter with the smallest hash stands."""
-    found = np.zeros(len(start), dtype=np.int64)
-    for step in range(width - 1, -1, -1):
-        found[quarter[start + step] == least[start]] = step
+    found = np.empty(len(start), dtype=np.int64)
+    for low in range(0, len(start), 1 << 14):
+        part = start[low : low + (1 << 14), None]
+        found[low : low + (1 << 14)] = (quarter[part + np.arange(width)] == least[part]).argmax(axis=1)
     return found
 
 
@@ -129,8 +146,18 @@ def among(hot: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 def _twice_at_most(values: np.ndarray) -> np.ndarray:
-    hashes, counts = np.unique(values, return_counts=True)
-    return np.concatenate([hashes, hashes[counts > 1]])
+    ordered = np.sort(values)
+    kept = np.ones(len(ordered), dtype=bool)
+    kept[2:] = ordered[2:] != ordered[:-2]
+    return ordered[kept]
+
+
+def repeats(keys: np.ndarray) -> np.ndarray:
+    """Which columns of (2, n) stand before in it."""
+    order = np.lexsort(keys)  # keeps equal ones in their order
+    again = np.zeros(keys.shape[1], dtype=bool)
+    again[order[1:]] = (keys[:, order[1:]] == keys[:, order[:-1]]).all(axis=0)
+    return again
 
 
 def first_level(rows: DataFrame, length: int) -> DataFrame:
@@ -181,8 +208,10 @@ def second_level(rows: DataFrame, length: int, repeated: np.ndarray, hot: np.nda
                     any_hot |= bool(own.any())
                     start = start[~own]
                     if len(start):
-                        at = np.unique(start + extended(offsets(hashes, least, start, length - quarter + 1), length))
-                        found.append(_twice_at_most(window_hashes(single, half)[0][at]))
+                        marks = np.zeros(len(hashes), dtype=bool)
+                        marks[start + extended(offsets(hashes, least, start, length - quarter + 1), length)] = True
+                        at = np.flatnonzero(marks)
+                        found.append(_twice_at_most(joined(hashes[at], hashes[at + half - quarter])))
                 if found or any_hot:
                     halves = np.concatenate(found) if found else np.empty(0, np.uint64)
                     yield row, halves.view(np.int64), any_hot
@@ -206,23 +235,22 @@ def full_windows(docs: DataFrame, length: int, repeated: np.ndarray, hot: np.nda
         for batch, texts in text_rows(batches):
             halves = batch.column("halves")
             for k, (place, text) in enumerate(zip(batch.column("place").to_pylist(), texts)):
-                known = np.asarray(halves[k].values).view(np.uint64) if halves[k].is_valid else np.empty(0, np.uint64)
+                known = np.sort(np.asarray(halves[k].values).view(np.uint64)) if halves[k].is_valid else np.empty(0, np.uint64)
                 for at, words, _ in pieces(text, length):
                     if len(words) < length:
                         continue
-                    single = word_hashes(words)
-                    hashes = window_hashes(single[:1], quarter)[0]
+                    both = window_hashes(word_hashes(words), quarter)
+                    hashes = both[0]
                     least = anchored(hashes, length - quarter + 1)
                     start = np.flatnonzero(marked(repeated, least))
                     start = start[among(hot, least[start]) == of_hot]
                     if not of_hot and len(start):
                         at_half = start + extended(offsets(hashes, least, start, length - quarter + 1), length)
-                        start = start[np.isin(window_hashes(single[:1], half)[0][at_half], known)]
+                        start = start[among(known, joined(hashes[at_half], hashes[at_half + half - quarter]))]
                     if not len(start):
                         continue
-                    full = window_hashes(single, length)[:, start].view(np.int64).copy()
-                    again = np.ones(len(start), dtype=bool)
-                    again[np.unique(full, axis=1, return_index=True)[1]] = False
+                    full = longer(longer(both, quarter, half), half, length)[:, start].view(np.int64)
+                    again = repeats(full)
                     full[0, again] = place
                     full[1, again] = start[again] + at
                     for low in range(0, len(start), 100_000):
