@@ -346,7 +346,10 @@ def substring_dedup(docs: DataFrame, length: int = 20, id_col: str = "doc_id", t
     originals = long.groupBy("digest").agg(F.min("place").alias("place"))  # joined with the place, so copies are spread
     copies = materialize(long.join(originals, ["digest", "place"], "left_anti").select("row"), "windows-copies")
 
-    counted = first.join(copies, "row", "left_anti").select(F.explode("quarters").alias("quarter"))
+    # anchors stay where they are: a copy that gets through by chance only lets a few more of them be looked at
+    heads = long.join(originals, ["digest", "place"]).select(_short())
+    anchored_rows = matching(first.select("quarters", _short()), bitmap_of(heads, "short"), "short")
+    counted = anchored_rows.select(F.explode("quarters").alias("quarter"))
     counted = counted.groupBy("quarter").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     counted = materialize(counted, "windows-quarters")
     discard(first)
@@ -370,13 +373,14 @@ def substring_dedup(docs: DataFrame, length: int = 20, id_col: str = "doc_id", t
     held = matching(rows.select("row", "text", _short()), bitmap_of(survivors, "short"), "short").select("row", "text")
     # texts are joined in one way at any size, so small inputs tell what large ones take
     texts = held.join(survivors.drop("short").hint("merge"), "row").select("place", "text", "halves", "hot")
+    texts = materialize(texts, "windows-texts") if len(hot) else texts  # read twice, but joined once
     of_hot = materialize(full_windows(texts.filter("hot"), length, repeated, hot, True), "windows-hot") if len(hot) else None
     later = _later(full_windows(texts, length, repeated, hot, False), of_hot)
     starts = later.groupBy("place").agg(F.collect_list("start").alias("starts")).join(places, "place")
     removed = starts.select("row", "starts", F.lit(False).alias("copied"))
     copied = copies.select("row", F.lit(None).cast("array<int>").alias("starts"), F.lit(True).alias("copied"))
     removed = materialize(removed.unionByName(copied).withColumn("short", _short()), "windows-removed")
-    discard(places, copies, survivors, of_hot)
+    discard(places, copies, survivors, of_hot, texts if len(hot) else None)
 
     wanted, losing = rows.select("at", "row", "text", _short()), bitmap_of(removed, "short")
     cut_rows = matching(wanted, losing, "short").join(removed.drop("short").hint("merge"), "row", "left").select(

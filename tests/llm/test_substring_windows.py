@@ -43,3 +43,24 @@ def test_offsets_and_pairs_are_those_of_the_plain_way():
     found = S.offsets(values, least, start, 15)
     assert found.tolist() == [int(np.argmin(values[k : k + 15])) for k in start]
     assert S._twice_at_most(np.array([3, 1, 3, 3, 2, 1], dtype=np.uint64)).tolist() == [1, 1, 2, 3, 3]
+
+
+def test_texts_meet_their_windows_once_and_anchors_are_not_joined(spark, monkeypatch):
+    """Whether or not there are hot anchors, texts take one join, and the lists of anchors none."""
+    shared = " ".join(f"s{k}" for k in range(40))
+    rows = [(k, f"{shared} own{k} " + " ".join(f"w{k}x{j}" for j in range(30))) for k in range(12)]
+    rows += [(100 + k, rows[k][1]) for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    stored = {}
+    plain = S.materialize
+    monkeypatch.setattr(S, "materialize", lambda df, purpose: stored.setdefault(purpose, (df, plain(df, purpose)))[1])
+    expected = sorted(map(tuple, S.substring_dedup(docs).collect()))
+    monkeypatch.setattr(S, "FEW", 3)
+    stored.clear()
+    assert sorted(map(tuple, S.substring_dedup(docs).collect())) == expected
+    plans = {p: df._jdf.queryExecution().executedPlan().toString() for p, (df, _) in stored.items()}
+    assert "Join" not in plans["windows-hot"] and "Join" in plans["windows-texts"]
+    below = plans["windows-quarters"]
+    assert "Generate explode(quarters" in below and "Join" not in below
+    lost = {doc_id: n for doc_id, _, n, _ in expected}
+    assert lost[0] == 0 and all(lost[k] == 40 for k in range(1, 12)) and all(lost[100 + k] == 71 for k in range(3))
