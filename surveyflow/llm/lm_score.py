@@ -14,21 +14,25 @@ all occurrences (at most 1 / frequent of them) are looked up in memory, all othe
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import cached_property
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from surveyflow.llm.common import buffered, fold, materialize, narrow, table, text_rows
+from surveyflow.llm.common import fold, materialize, narrow, table, text_rows
 
 END = b"\n"  # not part of any word
 SYMBOLS = 256
 #: Bytes of text that a task works on at once; longer texts are looked up in slices of as many places.
 SLICE = 2_000_000
+#: Bytes of counts that a task holds before it adds them up; what is more than half of it then is handed on.
+PENDING = 48_000_000
+BLANK = np.isin(np.arange(SYMBOLS), list(b" \t\n\v\f\r"))
 
 
 @dataclass(frozen=True)
@@ -53,26 +57,121 @@ def words_of(text: str) -> list[bytes]:
 
 def packed(lines: list[bytes], depth: int) -> np.ndarray:
     """Context and byte at each place of all lines, each line being preceded by end symbols only."""
-    data = b"".join(END * depth + line for line in lines)
-    octets = np.frombuffer(data, dtype=np.uint8)
-    count = max(len(octets) - depth, 0)
-    gram = octets[:count].astype(np.int64)
-    for k in range(1, depth + 1):
-        gram <<= 8
-        gram |= octets[k : k + count]
     sizes = np.array([len(line) for line in lines], dtype=np.int64)
-    firsts = np.cumsum(sizes + depth) - sizes - depth  # of what was put before each line, in gram's places
-    keep = np.ones(len(gram), dtype=bool)
-    for k in range(depth):
-        at = firsts + k - depth
-        keep[at[at >= 0]] = False
-    return gram[keep]
+    return np.concatenate([np.empty(0, np.int64), *(gram for _, gram in packed_slices(b"".join(lines), sizes, depth))])
+
+
+def packed_slices(octets: bytes, sizes: np.ndarray, depth: int) -> Iterator[tuple[int, np.ndarray]]:
+    """``packed`` of lines that lie one after the other, none of them empty, in slices with their first place."""
+    before = END * 7 + octets
+    firsts = np.cumsum(sizes) - sizes
+    for start in range(0, len(octets), SLICE):
+        stop = min(start + SLICE, len(octets))
+        gram = np.ndarray(stop - start, ">i8", before, start, strides=(1,)).astype(np.int64)  # a byte and the seven before it
+        gram &= (1 << 8 * (depth + 1)) - 1
+        for k in range(depth):  # what lies before a line is the line above it
+            at = firsts[sizes > k] + k
+            at = at[(at >= start) & (at < stop)] - start
+            own = (1 << 8 * (k + 1)) - 1
+            gram[at] = gram[at] & own | int.from_bytes(END * (depth + 1), "big") & ~own
+        yield start, gram
 
 
 def line_of(words: list[bytes]) -> bytes:
     return b" ".join(words) + END
 
 
+@dataclass
+class Lines:
+    """``line_of`` the ``words_of`` many texts, and where each of their words is among the distinct ones."""
+
+    octets: bytes
+    sizes: np.ndarray  # of the lines
+    words: np.ndarray  # of each line, how many
+    distinct: pa.Array
+    codes: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[str]) -> Lines:
+        stripped = [text.encode("utf-8", "surrogatepass").strip() for text in texts]
+        raw = np.frombuffer(END.join([*stripped, b""]).lower(), dtype=np.uint8)
+        blank = BLANK[raw]
+        letter = ~blank
+        ends = np.cumsum([len(text) + 1 for text in stripped], dtype=np.int64) - 1
+        lasts = np.flatnonzero(letter[:-1] & blank[1:])  # of each word
+        firsts = np.flatnonzero(letter & np.concatenate([[True], blank[:-1]]))
+        offsets = np.concatenate([[0], np.cumsum(lasts - firsts + 1)])
+        letters = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lasts), [None, pa.py_buffer(offsets), pa.py_buffer(raw[letter])])
+        encoded = letters.dictionary_encode()
+        before = np.searchsorted(lasts, ends)
+        words = np.diff(before, prepend=0)
+        keep = letter.copy()
+        keep[lasts + 1] = True
+        keep[ends] = True
+        octets = np.where(blank, np.uint8(ord(" ")), raw)
+        octets[ends] = ord(END)
+        # a word brings its letters and what closes it, a line without words its end
+        sizes = np.maximum(np.diff(offsets[before], prepend=0) + words, 1)
+        return cls(octets[keep].tobytes(), sizes, words, encoded.dictionary.cast(pa.binary()), encoded.indices.to_numpy())
+
+    def counted(self, held: np.ndarray) -> pa.Table:
+        """(word, n) of the lines that aren't ``held``; the end symbol counts as a word."""
+        n = np.bincount(self.codes[np.repeat(~held, self.words)], minlength=len(self.distinct))
+        ends = int(np.sum(~held))
+        found = pa.table({"word": pa.concat_arrays([self.distinct, pa.array([END], pa.binary())]), "n": np.append(n, ends)})
+        return found.filter(pa.array(np.append(n, ends) > 0))
+
+    def grams(self, held: np.ndarray, depth: int) -> Iterator[pa.Table]:
+        """(gram, n, seen) of each slice, ``n`` being of the lines that aren't ``held``."""
+        apart = np.repeat(held, self.sizes)
+        for start, gram in packed_slices(self.octets, self.sizes, depth):
+            for out in (False, True):
+                part, seen = np.unique(gram[apart[start : start + len(gram)] == out], return_counts=True)
+                yield pa.table({"gram": part, "n": np.zeros_like(seen) if out else seen, "seen": seen})
+
+
+@dataclass
+class Tally:
+    """Counts by ``key``; equal keys of a task are added up, as long as those that differ are few enough."""
+
+    key: str
+    parts: list[pa.Table] = field(default_factory=list)
+
+    def add(self, part: pa.Table) -> Iterator[pa.Table]:
+        """What is to be handed on so that the rest is bounded."""
+        self.parts.append(part)
+        if sum(p.nbytes for p in self.parts) > PENDING:
+            self.parts = [*self.rest()]
+            if self.parts[0].nbytes > PENDING // 2:
+                yield self.parts.pop()
+
+    def rest(self) -> Iterator[pa.Table]:
+        if self.parts:
+            names = [name for name in self.parts[0].column_names if name != self.key]
+            sums = pa.concat_tables(self.parts).group_by(self.key, use_threads=False).aggregate([(name, "sum") for name in names])
+            yield sums.select([self.key, *(f"{name}_sum" for name in names)]).rename_columns([self.key, *names])
+
+
+def task_counts(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.RecordBatch]:
+    """(word, gram, n, seen) of a task's texts, either word or gram being null."""
+
+    def rows(counts: pa.Table) -> list[pa.RecordBatch]:
+        columns = {name: counts.column(name) for name in counts.column_names}
+        columns = {"word": pa.nulls(len(counts), pa.binary()), "gram": pa.nulls(len(counts), pa.int64()), "seen": counts.column("n")} | columns
+        return pa.table(columns).select(["word", "gram", "n", "seen"]).to_batches(max_chunksize=1 << 16)
+
+    words, grams = Tally("word"), Tally("gram")
+    for batch, texts in text_rows(batches, size=SLICE):
+        lines, held = Lines.of(texts), np.array(batch.column("held").to_pylist(), dtype=bool)
+        for counts in words.add(lines.counted(held)):
+            yield from rows(counts)
+        for part in lines.grams(held, depth):
+            for counts in grams.add(part):
+                yield from rows(counts)
+    for counts in (*words.rest(), *grams.rest()):
+        yield from rows(counts)
+
+
 def corpus_counts(docs: DataFrame, rule: TreeRule) -> tuple[DataFrame, DataFrame]:
     """(word, n) and (gram, n, seen) over all rows of ``docs`` (text); the end symbol counts as a word.
 
@@ -80,23 +179,7 @@ def corpus_counts(docs: DataFrame, rule: TreeRule) -> tuple[DataFrame, DataFrame
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["word", "gram", "n", "seen"]
-        for batch, texts in text_rows(batches, size=SLICE):
-            words: Counter = Counter()
-            lines: dict[bool, list[bytes]] = {False: [], True: []}
-            for text, held in zip(texts, batch.column("held").to_pylist()):
-                own = words_of(text)
-                if not held:
-                    words.update(own)
-                lines[held].append(line_of(own))
-            if lines[False]:
-                words[END] = len(lines[False])
-            n = pa.array(words.values(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(words.keys(), pa.binary()), pa.nulls(len(words), pa.int64()), n, n], names=names)
-            for held in filter(lines.get, lines):
-                gram, seen = np.unique(packed(lines[held], rule.depth), return_counts=True)
-                n = np.zeros_like(seen) if held else seen
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(gram), pa.binary()), pa.array(gram), pa.array(n), pa.array(seen)], names=names)
+        return task_counts(batches, rule.depth)
 
     rows = docs.select("text", "held" if "held" in docs.columns else F.lit(False).alias("held"))
     counted = rows.mapInArrow(work, "word binary, gram bigint, n bigint, seen bigint").groupBy("word", "gram").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
@@ -172,45 +255,51 @@ def gram_values(grams: DataFrame, rule: TreeRule) -> DataFrame:
     return materialize(grams.select("gram", "seen").join(values, "gram"), "lm-values")
 
 
-def _slot(gram: np.ndarray) -> np.ndarray:
-    return (gram.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)
-
-
 @dataclass
 class Frequent:
-    """Sorted n-grams and their log10 probability."""
+    """N-grams, the most frequent first, and their log10 probability."""
 
     keys: np.ndarray
     values: np.ndarray
 
     @classmethod
     def of(cls, rows: pa.Table) -> Frequent:
-        keys, values = rows.column("gram").to_numpy(), rows.column("value").to_numpy()
-        order = np.argsort(keys)
+        keys, values, seen = (rows.column(name).to_numpy() for name in ("gram", "value", "seen"))
+        order = np.lexsort((keys, -seen))
         return cls(keys[order], values[order])
 
+    @cached_property
+    def slots(self) -> np.ndarray:
+        """For each slot the place of an n-gram, -1 if it is free: an n-gram whose slot is taken goes to the next free one."""
+        slots = np.full(1 << max(10, (2 * len(self.keys)).bit_length()), -1, dtype=np.int32)
+        rest = np.arange(len(self.keys), dtype=np.int32)
+        at = self._first(self.keys, slots)
+        while len(rest):
+            free = slots[at] < 0
+            slots[at[free][::-1]] = rest[free][::-1]
+            left = slots[at] != rest
+            rest, at = rest[left], (at[left] + 1) & (len(slots) - 1)
+        return slots
+
+    @staticmethod
+    def _first(gram: np.ndarray, slots: np.ndarray) -> np.ndarray:
+        return ((gram.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(65 - len(slots).bit_length())).view(np.int64)
+
     def log10_each(self, gram: np.ndarray) -> np.ndarray:
-        """The value of each n-gram, NaN for those that aren't here; each distinct one is looked up once.
-
-        Distinct grams are found by sorting; a table of slots, where the most frequent of those that share one stays,
-        leads from a gram to its value, and the few that meet another gram in their slot are looked up by themselves.
-        """
-        out = np.full(len(gram), np.nan)
-        for start in range(0, len(gram) if len(self.keys) else 0, SLICE):
-            part = gram[start : start + SLICE]
-            ordered = np.sort(part)
-            heads = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-            distinct, counts = ordered[heads], np.diff(np.append(heads, len(ordered)))
-            place = np.minimum(np.searchsorted(self.keys, distinct), len(self.keys) - 1)
-            values = np.where(self.keys[place] == distinct, self.values[place], np.nan)
-            by_count = np.argsort(counts)
-            table = np.zeros(1 << 20, dtype=np.int32)
-            table[_slot(distinct[by_count])] = by_count
-            at = table[_slot(part)]
-            missed = np.flatnonzero(distinct[at] != part)
-            at[missed] = np.searchsorted(distinct, part[missed])
-            out[start : start + len(part)] = values[at]
-        return out
+        """The value of each n-gram, NaN for those that aren't here."""
+        if not len(self.keys):
+            return np.full(len(gram), np.nan)
+        at = self._first(gram, self.slots)
+        place = self.slots[at]
+        rest = np.flatnonzero(self.keys[place] != gram)
+        at = at[rest]
+        while len(rest):  # in the next slot, up to a free one
+            taken = place[rest] >= 0
+            rest, at = rest[taken], (at[taken] + 1) & (len(self.slots) - 1)
+            place[rest] = self.slots[at]
+            other = self.keys[place[rest]] != gram[rest]
+            rest, at = rest[other], at[other]
+        return np.where(place >= 0, self.values[place], np.nan)
 
 
 @dataclass
@@ -282,6 +371,14 @@ class SuffixTree:
         return out
 
 
+def repeats(line: np.ndarray, gram: np.ndarray, lines: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct n-grams of each line, where each line's begin and the last ones end, and how often each occurs."""
+    order = np.lexsort((gram, line))
+    line, gram = line[order], gram[order]
+    heads = np.flatnonzero(np.diff(line, prepend=-1).astype(bool) | np.diff(gram, prepend=-1).astype(bool))
+    return gram[heads], np.searchsorted(line[heads], np.arange(lines + 1)), np.diff(heads, append=len(gram))
+
+
 def score_rows(docs: DataFrame, frequent: Frequent, common: pa.Table, tokens: int, kinds: int, ends: int, rule: TreeRule) -> DataFrame:
     """doc_id, n_tokens, n_known and base of the common tokens, score of the frequent n-grams, and what else each row has.
 
@@ -294,28 +391,31 @@ def score_rows(docs: DataFrame, frequent: Frequent, common: pa.Table, tokens: in
         known = dict(zip(common.column("word").to_pylist(), (np.log10(common.column("n").to_numpy() + 0.5) - norm).tolist()))
         at_end = float(np.log10(ends + 0.5) - norm)
         for batch, texts in text_rows(batches, size=SLICE):
-            split = [words_of(t) for t in texts]
-            lines = [line_of(w) for w in split]
-            grams = packed(lines, rule.depth)
-            each = frequent.log10_each(grams)
-            missing = np.isnan(each)
-            each[missing] = 0
-            ended = np.cumsum([len(line) for line in lines])
-            begun = np.concatenate([[0], ended[:-1]])
-            score = np.add.reduceat(each, begun) if lines else []
-            rows = []
-            for k, (key, words, value) in enumerate(zip(batch.column("doc_id").to_pylist(), split, score)):
-                logs = list(map(known.get, words))
-                rare = [w for w, x in zip(words, logs) if x is None] if None in logs else []
-                base = math.fsum(x for x in logs if x is not None) + at_end
-                own = slice(begun[k], ended[k])
-                odd, times = np.unique(grams[own][missing[own]], return_counts=True)
-                rows.append((key, len(words) + 1, len(words) - len(rare) + (ends > 0), base, float(value), rare, odd, times.astype(np.int32)))
-            schema = pa.schema([
-                ("doc_id", batch.schema.field("doc_id").type), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()),
-                ("rare", pa.list_(pa.binary())), ("odd", pa.list_(pa.int64())), ("times", pa.list_(pa.int32())),
-            ])
-            yield from buffered(iter(rows), schema, 1024, lambda row: 12 * (len(row[5]) + len(row[6])))
+            lines = Lines.of(texts)
+            ended = np.cumsum(lines.sizes)
+            each, others = np.empty(len(lines.octets)), []
+            for start, gram in packed_slices(lines.octets, lines.sizes, rule.depth):
+                value = frequent.log10_each(gram)
+                missing = np.flatnonzero(np.isnan(value))
+                value[missing] = 0
+                each[start : start + len(gram)] = value
+                others.append(repeats(np.searchsorted(ended, start + missing, side="right"), gram[missing], len(texts)))
+            score = np.add.reduceat(each, ended - lines.sizes)
+            odd, times = (np.concatenate([other[k] for other in others]) for k in (0, 2))
+            odd_offsets = sum(other[1] for other in others)  # later slices have later lines
+
+            log = np.array([known.get(word, np.nan) for word in lines.distinct.to_pylist()], dtype=np.float64)[lines.codes]
+            rare = np.isnan(log)
+            stops = np.cumsum(lines.words)
+            rare_offsets = np.concatenate([[0], np.cumsum(rare)])[np.concatenate([[0], stops])]
+            logs, of_line = log[~rare].tolist(), np.concatenate([[0], stops]) - rare_offsets
+            base = [math.fsum(logs[i:j]) + at_end for i, j in pairwise(of_line.tolist())]
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id"), pa.array(lines.words + 1), pa.array(np.diff(of_line) + (ends > 0)), pa.array(base, pa.float64()), pa.array(score),
+                pa.ListArray.from_arrays(rare_offsets.astype(np.int32), lines.distinct.take(pa.array(lines.codes[rare]))),
+                pa.ListArray.from_arrays(odd_offsets.astype(np.int32), pa.array(odd)),
+                pa.ListArray.from_arrays(odd_offsets.astype(np.int32), pa.array(times.astype(np.int32))),
+            ], names=["doc_id", "n_tokens", "n_known", "base", "score", "rare", "odd", "times"])
 
     return docs.select("doc_id", "text").mapInArrow(
         work, f"doc_id {kind}, n_tokens bigint, n_known bigint, base double, score double, rare array<binary>, odd array<bigint>, times array<int>"
@@ -337,7 +437,7 @@ def lm_scores(docs: DataFrame, rule: TreeRule = TreeRule(), id_col: str = "doc_i
     values = gram_values(grams, rule)
     places = values.agg(F.coalesce(F.sum("seen"), F.lit(0))).first()[0]
     often = F.col("seen") >= rule.frequent * places
-    frequent = Frequent.of(values.filter(often).select("gram", "value").toArrow())  # at most 1 / rule.frequent n-grams
+    frequent = Frequent.of(values.filter(often).select("gram", "value", "seen").toArrow())  # at most 1 / rule.frequent n-grams
     usual = F.col("n") >= rule.common * tokens
     common = words.filter(usual).toArrow()  # at most 1 / rule.common words
 
