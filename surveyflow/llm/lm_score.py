@@ -8,7 +8,8 @@ towards that suffix, and a byte is scored in the longest state that its past end
 
 Both tests are of absolute counts, so the tree grows with the corpus. It is a table: the probability of each distinct
 n-gram follows from joins, level by level, of at most 256 rows a context. N-grams of at least the part ``frequent`` of
-all occurrences (at most 1 / frequent of them) are looked up in memory, all others by a shuffled join.
+all occurrences, or else the ``grams_held`` most frequent ones (but at most 1 / frequent), are looked up in memory, all
+others by a shuffled join. So are words.
 """
 
 from __future__ import annotations
@@ -49,6 +50,9 @@ class TreeRule:
     common: float = 1e-6
     #: N-grams with at least this part of all occurrences are looked up in memory, others by a join.
     frequent: float = 2.5e-7
+    #: So many of the most frequent words and n-grams are looked up in memory in any case, within the bounds above.
+    words_held: int = 250_000
+    grams_held: int = 1_000_000
 
 
 def words_of(text: str) -> list[bytes]:
@@ -371,6 +375,23 @@ class SuffixTree:
         return out
 
 
+def often(rows: DataFrame, count: str, part: float, held: int) -> Column:
+    """Whether ``count`` is at least the ``part`` of all counts, or one of the highest that ``held`` rows and 1 / part have.
+
+    For the latter, counts are told apart by eighths of a power of two, of which there are a few hundred.
+    """
+    total = rows.agg(F.coalesce(F.sum(count), F.lit(0))).first()[0]
+    step = F.floor(8 * F.log2(count))
+    sizes = dict(rows.groupBy(step.alias("step")).count().collect())
+    lowest, most = 1 << 32, min(held, 1 / part) if part else held
+    for each in sorted(sizes, reverse=True):
+        most -= sizes[each]
+        if most < 0:
+            break
+        lowest = each
+    return (F.col(count) >= part * total) | (step >= lowest)
+
+
 def repeats(line: np.ndarray, gram: np.ndarray, lines: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The distinct n-grams of each line, where each line's begin and the last ones end, and how often each occurs."""
     order = np.lexsort((gram, line))
@@ -382,7 +403,7 @@ def repeats(line: np.ndarray, gram: np.ndarray, lines: int) -> tuple[np.ndarray,
 def score_rows(docs: DataFrame, frequent: Frequent, common: pa.Table, tokens: int, kinds: int, ends: int, rule: TreeRule) -> DataFrame:
     """doc_id, n_tokens, n_known and base of the common tokens, score of the frequent n-grams, and what else each row has.
 
-    That is the other words, and the other n-grams (``odd``) with how many ``times`` each occurs.
+    That is the other words (``rare``) and n-grams (``odd``), and how many times each occurs.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     norm = np.log10(tokens + 0.5 * (kinds + 1))
@@ -405,20 +426,22 @@ def score_rows(docs: DataFrame, frequent: Frequent, common: pa.Table, tokens: in
             odd_offsets = sum(other[1] for other in others)  # later slices have later lines
 
             log = np.array([known.get(word, np.nan) for word in lines.distinct.to_pylist()], dtype=np.float64)[lines.codes]
-            rare = np.isnan(log)
+            unknown = np.flatnonzero(np.isnan(log))
             stops = np.cumsum(lines.words)
-            rare_offsets = np.concatenate([[0], np.cumsum(rare)])[np.concatenate([[0], stops])]
-            logs, of_line = log[~rare].tolist(), np.concatenate([[0], stops]) - rare_offsets
+            rare, rare_offsets, rare_times = repeats(np.searchsorted(stops, unknown, side="right"), lines.codes[unknown], len(texts))
+            logs = log[~np.isnan(log)].tolist()
+            of_line = np.concatenate([[0], stops - np.searchsorted(unknown, stops)])
             base = [math.fsum(logs[i:j]) + at_end for i, j in pairwise(of_line.tolist())]
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(lines.words + 1), pa.array(np.diff(of_line) + (ends > 0)), pa.array(base, pa.float64()), pa.array(score),
-                pa.ListArray.from_arrays(rare_offsets.astype(np.int32), lines.distinct.take(pa.array(lines.codes[rare]))),
+                pa.ListArray.from_arrays(rare_offsets.astype(np.int32), lines.distinct.take(pa.array(rare))),
+                pa.ListArray.from_arrays(rare_offsets.astype(np.int32), pa.array(rare_times.astype(np.int32))),
                 pa.ListArray.from_arrays(odd_offsets.astype(np.int32), pa.array(odd)),
                 pa.ListArray.from_arrays(odd_offsets.astype(np.int32), pa.array(times.astype(np.int32))),
-            ], names=["doc_id", "n_tokens", "n_known", "base", "score", "rare", "odd", "times"])
+            ], names=["doc_id", "n_tokens", "n_known", "base", "score", "rare", "rare_times", "odd", "times"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        work, f"doc_id {kind}, n_tokens bigint, n_known bigint, base double, score double, rare array<binary>, odd array<bigint>, times array<int>"
+        work, f"doc_id {kind}, n_tokens bigint, n_known bigint, base double, score double, rare array<binary>, rare_times array<int>, odd array<bigint>, times array<int>"
     )
 
 
@@ -435,21 +458,21 @@ def lm_scores(docs: DataFrame, rule: TreeRule = TreeRule(), id_col: str = "doc_i
         F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.sum(F.when(F.col("word") == F.lit(END), F.col("n"))), F.lit(0))
     ).first()
     values = gram_values(grams, rule)
-    places = values.agg(F.coalesce(F.sum("seen"), F.lit(0))).first()[0]
-    often = F.col("seen") >= rule.frequent * places
-    frequent = Frequent.of(values.filter(often).select("gram", "value", "seen").toArrow())  # at most 1 / rule.frequent n-grams
-    usual = F.col("n") >= rule.common * tokens
+    frequent_gram = often(values, "seen", rule.frequent, rule.grams_held)
+    frequent = Frequent.of(values.filter(frequent_gram).select("gram", "value", "seen").toArrow())  # at most 1 / rule.frequent n-grams
+    usual = often(words, "n", rule.common, rule.words_held)
     common = words.filter(usual).toArrow()  # at most 1 / rule.common words
 
     scored = materialize(
         score_rows(rows, frequent, common, tokens, kinds, ends, rule).withColumn("row", F.monotonically_increasing_id()), "lm-scored"
     )
     c = F.coalesce("n", F.lit(0))
-    rare = scored.select("row", F.explode("rare").alias("word")).join(words.filter(~usual), "word", "left").select(
-        "row", F.log10(c + 0.5) - F.lit(float(np.log10(tokens + 0.5 * (kinds + 1)))), F.col("n").isNotNull().cast("int"), F.lit(0.0)
+    rare = scored.select("row", F.explode(F.arrays_zip("rare", "rare_times")).alias("r")).select("row", F.col("r.rare").alias("word"), F.col("r.rare_times").alias("times"))
+    rare = rare.join(words.filter(~usual), "word", "left").select(
+        "row", F.col("times") * (F.log10(c + 0.5) - F.lit(float(np.log10(tokens + 0.5 * (kinds + 1))))), F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0), F.lit(0.0)
     )
     odd = scored.select("row", F.explode(F.arrays_zip("odd", "times")).alias("o")).select("row", F.col("o.odd").alias("gram"), F.col("o.times").alias("times"))
-    odd = odd.join(values.filter(~often), "gram").select("row", F.lit(0.0), F.lit(0), F.col("times") * F.col("value"))
+    odd = odd.join(values.filter(~frequent_gram), "gram").select("row", F.lit(0.0), F.lit(0), F.col("times") * F.col("value"))
     parts = rare.union(odd).toDF("row", "more", "known", "less")
     sums = parts.groupBy("row").agg(F.sum("more").alias("more"), F.sum("known").alias("known"), F.sum("less").alias("less"))
     joined = scored.select("row", "doc_id", "n_tokens", "n_known", "base", "score").join(sums, "row", "left")

@@ -80,3 +80,22 @@ def test_frequent_ngrams_are_found_wherever_their_slot_is(count):
 def test_repeats_of_each_line():
     gram, begun, times = lm_score.repeats(np.array([0, 0, 0, 2]), np.array([7, 5, 7, 7]), 4)
     assert (gram.tolist(), begun.tolist(), times.tolist()) == ([5, 7, 7], [0, 2, 2, 3, 3], [1, 2, 1])
+
+
+@pytest.mark.parametrize(("part", "held", "expected"), [(0.2, 0, {8, 4}), (0.2, 3, {8, 4}), (0.2, 4, {8, 4, 2}), (0.2, 9, {8, 4, 2, 1}), (0.45, 9, {8, 4}), (0.45, 0, {8}), (2.0, 9, set()), (0.0, 0, {8, 4, 2, 1})])
+def test_most_frequent_rows(spark, part, held, expected):
+    rows = spark.createDataFrame([(n,) for n in (8, 4, 2, 2, 1)], "n bigint")
+    assert {r["n"] for r in rows.filter(lm_score.often(rows, "n", part, held)).collect()} == expected
+
+
+def test_rare_words_and_ngrams_count_each_time(spark):
+    """Held in memory or joined, once or often in a text."""
+    rows = [(k, text) for k, text in enumerate(["rare rare rare b", "b b rare only", "only", "", None, "b rare " * 50])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    joined, held = (
+        sorted(lm_score.lm_scores(docs, lm_score.TreeRule(common=part, frequent=part, words_held=most, grams_held=most)).collect(), key=lambda r: r["doc_id"])
+        for part, most in ((2.0, 0), (0.0, 100_000))
+    )
+    for one, other in zip(joined, held, strict=True):
+        assert one[:5] == other[:5]
+        assert one[5:] == pytest.approx(other[5:])
